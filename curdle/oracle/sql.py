@@ -551,8 +551,121 @@ def silver_queries() -> dict[str, str]:
     return {key: silver_query(model) for key, model in SILVER_KEYS.items()}
 
 
+# ── quality ──────────────────────────────────────────────────────────────────
+
+# The 48 declared tests as (model, column, test, extra). extra is
+# the accepted list or (parent model, parent column).
+_SITUACAO = "('ATIVO', 'INATIVO', 'SUSPENSO')"
+_STATUS = "('FATURADO', 'EM SEPARAÇÃO', 'ENTREGUE', 'CANCELADO')"
+_CENTRO = "('COLETA', 'PRODUÇÃO', 'LOGÍSTICA', 'COMERCIAL', 'ADMINISTRATIVO')"
+_ETAPA = "('Coleta', 'Produção', 'Estoque', 'Transporte')"
+
+DECLARED_TESTS = [
+    ("stg_cooperados", "id_cooperado", "not_null", None),
+    ("stg_cooperados", "id_cooperado", "unique", None),
+    ("stg_cooperados", "nome", "not_null", None),
+    ("stg_cooperados", "situacao", "not_null", None),
+    ("stg_cooperados", "situacao", "accepted_values", _SITUACAO),
+    ("stg_fazendas", "id_fazenda", "not_null", None),
+    ("stg_fazendas", "id_fazenda", "unique", None),
+    ("stg_fazendas", "id_cooperado", "not_null", None),
+    ("stg_fazendas", "id_cooperado", "relationships", ("stg_cooperados", "id_cooperado")),
+    ("stg_coletas", "id_coleta", "not_null", None),
+    ("stg_coletas", "id_coleta", "unique", None),
+    ("stg_coletas", "id_fazenda", "not_null", None),
+    ("stg_coletas", "id_fazenda", "relationships", ("stg_fazendas", "id_fazenda")),
+    ("stg_coletas", "data_coleta", "not_null", None),
+    ("stg_coletas", "volume_litros", "not_null", None),
+    ("stg_produtos", "id_produto", "not_null", None),
+    ("stg_produtos", "id_produto", "unique", None),
+    ("stg_pedidos", "id_pedido", "not_null", None),
+    ("stg_pedidos", "id_pedido", "unique", None),
+    ("stg_pedidos", "id_cliente", "not_null", None),
+    ("stg_pedidos", "id_cliente", "relationships", ("stg_clientes", "id_cliente")),
+    ("stg_pedidos", "status", "accepted_values", _STATUS),
+    ("stg_itens_pedido", "id_item", "not_null", None),
+    ("stg_itens_pedido", "id_item", "unique", None),
+    ("stg_itens_pedido", "id_pedido", "not_null", None),
+    ("stg_itens_pedido", "id_pedido", "relationships", ("stg_pedidos", "id_pedido")),
+    ("stg_itens_pedido", "id_produto", "not_null", None),
+    ("stg_itens_pedido", "id_produto", "relationships", ("stg_produtos", "id_produto")),
+    ("stg_entregas", "id_entrega", "not_null", None),
+    ("stg_entregas", "id_entrega", "unique", None),
+    ("stg_entregas", "id_pedido", "not_null", None),
+    ("stg_entregas", "id_pedido", "relationships", ("stg_pedidos", "id_pedido")),
+    ("stg_producao", "id_producao", "not_null", None),
+    ("stg_producao", "id_producao", "unique", None),
+    ("stg_producao", "id_produto", "not_null", None),
+    ("stg_producao", "id_produto", "relationships", ("stg_produtos", "id_produto")),
+    ("stg_custos", "id_custo", "not_null", None),
+    ("stg_custos", "id_custo", "unique", None),
+    ("stg_custos", "centro_custo", "not_null", None),
+    ("stg_custos", "centro_custo", "accepted_values", _CENTRO),
+    ("stg_perdas", "id_perda", "not_null", None),
+    ("stg_perdas", "id_perda", "unique", None),
+    ("stg_perdas", "etapa", "not_null", None),
+    ("stg_perdas", "etapa", "accepted_values", _ETAPA),
+    ("stg_rotas", "id_rota", "not_null", None),
+    ("stg_rotas", "id_rota", "unique", None),
+    ("stg_clientes", "id_cliente", "not_null", None),
+    ("stg_clientes", "id_cliente", "unique", None),
+]
+
+
+def _failures_sql(model: str, column: str, test: str, extra) -> str:
+    if test == "not_null":
+        return f"SELECT COUNT(*) FROM {model} WHERE {column} IS NULL"
+    if test == "unique":
+        return (
+            f"SELECT COUNT(*) FROM (SELECT {column} FROM {model} WHERE {column} IS NOT NULL "
+            f"GROUP BY {column} HAVING COUNT(*) > 1)"
+        )
+    if test == "accepted_values":
+        return f"SELECT COUNT(*) FROM (SELECT {column} FROM {model} WHERE {column} NOT IN {extra} GROUP BY {column})"
+    parent, field = extra
+    return (
+        f"SELECT COUNT(*) FROM {model} c LEFT JOIN {parent} p ON c.{column} = p.{field} "
+        f"WHERE c.{column} IS NOT NULL AND p.{field} IS NULL"
+    )
+
+
+def suite_query(tests: tuple[str, ...]) -> str:
+    chosen = [t for t in DECLARED_TESTS if t[2] in tests]
+    models = list(dict.fromkeys([t[0] for t in chosen] + [t[3][0] for t in chosen if t[2] == "relationships"]))
+    rows = [
+        f"SELECT '{m}' AS model, '{c}' AS column_name, '{t}' AS test, CAST(({_failures_sql(m, c, t, x)}) AS BIGINT) AS failures"
+        for m, c, t, x in chosen
+    ]
+    body = " UNION ALL ".join(rows)
+    return (
+        with_ctes(models)
+        + f"\nSELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({body})"
+    )
+
+
+def accepted_values_query() -> str:
+    chosen = [t for t in DECLARED_TESTS if t[2] == "accepted_values"]
+    rows = [
+        f"SELECT '{m}' AS model, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, COUNT(*) AS n_records "
+        f"FROM {m} WHERE {c} NOT IN {x} GROUP BY {c}"
+        for m, c, _, x in chosen
+    ]
+    return with_ctes([t[0] for t in chosen]) + "\n" + " UNION ALL ".join(rows)
+
+
+def quality_queries() -> dict[str, str]:
+    return {
+        "q01_not_null": suite_query(("not_null",)),
+        "q02_unique": suite_query(("unique",)),
+        "q03_accepted_values": accepted_values_query(),
+        "q04_relationships": suite_query(("relationships",)),
+        "q05_suite_summary": suite_query(("not_null", "unique", "accepted_values", "relationships")),
+    }
+
+
 def all_queries() -> dict[str, str]:
     out = {}
     out.update(silver_queries())
     out.update(gold_queries())
+    out.update(quality_queries())
     return out

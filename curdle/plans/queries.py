@@ -10,8 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from curdle.operators import quality
 from curdle.plans import gold
+from curdle.plans.quality_rules import RULES
 from curdle.plans.bronze import fixture_bronze
 from curdle.plans.silver import SILVER_MODELS, comparable
 
@@ -106,8 +109,58 @@ GOLD_QUERIES: dict[str, Query] = {
 }
 
 
+
+
+# ── quality ──────────────────────────────────────────────────────────────────
+
+
+def all_silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {model: silver(spark, sf_dir, model) for model in SILVER_MODELS}
+
+
+def _suite_for(tests: tuple[str, ...]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rules = [r for r in RULES if r.test in tests]
+        models = all_silver(spark, sf_dir)
+        return quality.run_suite({m: models[m] for m in models}, rules)
+
+    return run
+
+
+def q03_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value outside its accepted list, with its row count."""
+    models = all_silver(spark, sf_dir)
+    parts = []
+    for r in RULES:
+        if r.test != "accepted_values":
+            continue
+        bad = quality.accepted_values_failures(models[r.model], r.column, r.values)
+        parts.append(
+            bad.select(
+                F.lit(r.model).alias("model"),
+                F.lit(r.column).alias("column_name"),
+                F.col(r.column).cast("string").alias("value"),
+                F.col("n_records"),
+            )
+        )
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+QUALITY_QUERIES: dict[str, Query] = {
+    "q01_not_null": _suite_for(("not_null",)),
+    "q02_unique": _suite_for(("unique",)),
+    "q03_accepted_values": q03_accepted_values,
+    "q04_relationships": _suite_for(("relationships",)),
+    "q05_suite_summary": _suite_for(("not_null", "unique", "accepted_values", "relationships")),
+}
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(SILVER_QUERIES)
     out.update(GOLD_QUERIES)
+    out.update(QUALITY_QUERIES)
     return out
