@@ -663,9 +663,130 @@ def quality_queries() -> dict[str, str]:
     }
 
 
+# ── single operators ─────────────────────────────────────────────────────────
+
+
+_FIXO = "SUM(CASE WHEN tipo_custo = 'FIXO' THEN valor ELSE 0 END)"
+_VARIAVEL = "SUM(CASE WHEN tipo_custo = 'VARIÁVEL' THEN valor ELSE 0 END)"
+
+
+def operator_queries() -> dict[str, str]:
+    w = with_ctes
+    return {
+        "o01_latest_by_key": w([], ["pedidos"])
+        + "\nSELECT id_pedido, status, CAST(_batch AS BIGINT) AS _batch_id, _row_hash FROM live_pedidos",
+        "o02_left_join_enrich": w(["stg_coletas", "stg_fazendas"])
+        + "\nSELECT c.id_coleta, c.id_fazenda, f.nome_fazenda, f.municipio, f.id_cooperado "
+        "FROM stg_coletas c LEFT JOIN stg_fazendas f ON c.id_fazenda = f.id_fazenda",
+        "o03_inner_join": w(["stg_pedidos", "stg_itens_pedido"])
+        + "\nSELECT p.id_pedido, i.id_item, p.data_pedido, CAST(i.valor_total AS DOUBLE) AS valor_total, "
+        "CAST(p.desconto_pct AS DOUBLE) AS desconto_pct FROM stg_pedidos p JOIN stg_itens_pedido i "
+        "ON p.id_pedido = i.id_pedido WHERE p._dq_ok AND i._dq_ok AND p.status != 'CANCELADO'",
+        "o04_count_distinct": w(["stg_pedidos"])
+        + f"\nSELECT {month('data_pedido')} AS mes, COUNT(DISTINCT id_cliente) AS qtd_clientes, "
+        "COUNT(*) AS qtd_pedidos FROM stg_pedidos GROUP BY 1",
+        "o05_conditional_agg": w(["stg_custos"])
+        + f"\nSELECT competencia, {rd(_FIXO, 2)} AS custo_fixo, "
+        f"{rd(_VARIAVEL, 2)} AS custo_variavel, "
+        f"{rd('SUM(valor)', 2)} AS custo_total FROM stg_custos WHERE _dq_ok GROUP BY competencia",
+        "o06_safe_ratio": w(["stg_entregas"])
+        + f"\nSELECT id_rota, {rr(dratio('SUM(custo_frete)', 'SUM(km_percorrido)'), 4)} AS custo_por_km "
+        "FROM stg_entregas WHERE _dq_ok GROUP BY id_rota",
+        "o07_share_of_period": w(["stg_perdas"])
+        + f"\nSELECT {month('data_perda')} AS mes, etapa, {rd('SUM(valor_estimado)', 2)} AS valor_perdido, "
+        f"{rr(dratio('SUM(valor_estimado)', 'SUM(SUM(valor_estimado)) OVER (PARTITION BY ' + month('data_perda') + ')') + ' * 100', 2)} "
+        "AS pct_valor_no_mes FROM stg_perdas WHERE _dq_ok AND data_perda IS NOT NULL GROUP BY 1, 2",
+        "o08_month_bucket": w(["stg_coletas"])
+        + f"\nSELECT {month('data_coleta')} AS mes, COUNT(*) AS qtd_coletas FROM stg_coletas "
+        "WHERE data_coleta IS NOT NULL GROUP BY 1",
+        "o09_sla_days": w(["stg_entregas"])
+        + "\nSELECT id_entrega, data_prevista, data_realizada, dias_atraso FROM stg_entregas",
+        "o10_text_flag": w([], ["clientes", "rotas"])
+        + "\nSELECT source, record_key, raw_value, CASE WHEN left(lower(raw_value), 1) = 'n' THEN FALSE "
+        "WHEN left(lower(raw_value), 1) = 's' THEN TRUE ELSE FALSE END AS ativo FROM ("
+        "SELECT 'clientes' AS source, id_cliente AS record_key, ativo AS raw_value FROM live_clientes UNION ALL "
+        "SELECT 'rotas', id_rota, ativa FROM live_rotas)",
+        "o11_impute_total": w(["stg_itens_pedido"])
+        + "\nSELECT id_item, quantidade, CAST(preco_unitario AS DOUBLE) AS preco_unitario, "
+        "CAST(valor_total_raw AS DOUBLE) AS valor_total_raw, CAST(valor_total AS DOUBLE) AS valor_total, "
+        "_dq_valor_total_imputado FROM stg_itens_pedido",
+        "o12_abs_price": w(["stg_itens_pedido"])
+        + "\nSELECT id_item, CAST(preco_unitario_raw AS DOUBLE) AS preco_unitario_raw, "
+        "CAST(preco_unitario AS DOUBLE) AS preco_unitario, _dq_preco_negativo FROM stg_itens_pedido",
+        "o13_regexp_replace_first": w([], ["producao"])
+        + "\nSELECT linha_producao AS linha_raw, UPPER(TRIM(regexp_replace(linha_producao, '\\s+', ' '))) "
+        "AS linha_producao, COUNT(*) AS qtd FROM live_producao GROUP BY linha_producao",
+    }
+
+
+# ── bronze ───────────────────────────────────────────────────────────────────
+
+ALL_TABLES = list(TABLE_KEY)
+
+
+def _fixture_ctes(files: list[str]) -> str:
+    names = list(dict.fromkeys(FILE_FIXTURE[f] for f in files))
+    return "WITH " + ",\n".join(f"{n} AS ({FIXTURE_SQL[n].strip()})" for n in names)
+
+
+def bronze_queries() -> dict[str, str]:
+    date_rows = []
+    for spec in MANIFEST:
+        for col in spec.date_cols:
+            date_rows.append(
+                f"SELECT '{spec.file}' AS source_file, {spec.key} AS record_key, CAST(_batch AS BIGINT) AS _batch_id, "
+                f"'{col}' AS column_name, {col} AS raw_value, {normalize_date_sql(col)} AS normalized "
+                f"FROM {FILE_FIXTURE[spec.file]}"
+            )
+    date_files = [s.file for s in MANIFEST if s.date_cols]
+    numeric_rows = []
+    for spec in MANIFEST:
+        cols = COLLECTION_NUMERIC_LIKE.get(spec.source_format or "", ())
+        key = "collection_id" if spec.source_format == "fonte_b" else "c_coleta_id"
+        for col in cols:
+            numeric_rows.append(
+                f"SELECT '{spec.file}' AS source_file, {key} AS record_key, '{col}' AS column_name, "
+                f"{col} AS raw_value, {numeric_like_sql(col)} AS cleaned FROM {FILE_FIXTURE[spec.file]}"
+            )
+    numeric_files = [s.file for s in MANIFEST if COLLECTION_NUMERIC_LIKE.get(s.source_format or "", ())]
+    all_bronze = with_ctes([], ALL_TABLES)
+    hashes = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, _source_file, CAST(_batch AS BIGINT) AS _batch_id, _row_hash{{dup}} FROM bronze_{t}"
+        for t in ALL_TABLES
+    )
+    wide = ", ".join(COLLECTION_WIDE_COLUMNS)
+    log_rows = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, _source_file AS source_file, CAST(_batch AS BIGINT) AS _batch_id, "
+        f"COUNT(*) AS rows_read, COUNT(*) - COUNT(CASE WHEN _is_duplicate THEN 1 END) AS rows_inserted, "
+        f"CAST(0 AS BIGINT) AS rows_updated, COUNT(CASE WHEN _is_duplicate THEN 1 END) AS rows_skipped, "
+        f"'SUCCESS' AS status FROM bronze_{t} GROUP BY _source_file, _batch"
+        for t in ALL_TABLES
+    )
+    coletas_files = [s.file for s in MANIFEST if s.table == "coletas"]
+    evolution = " UNION ALL BY NAME ".join(
+        f"(SELECT *, '{f}' AS _source_file FROM {FILE_FIXTURE[f]})" for f in coletas_files
+    )
+    return {
+        "b01_normalize_date": _fixture_ctes(date_files) + "\n" + " UNION ALL ".join(date_rows),
+        "b02_numeric_like": _fixture_ctes(numeric_files) + "\n" + " UNION ALL ".join(numeric_rows),
+        "b03_unify_collection_formats": with_ctes([], ["coletas"])
+        + f"\nSELECT {wide}, _source_format, _source_file, CAST(_batch AS BIGINT) AS _batch_id, _row_hash FROM bronze_coletas",
+        "b04_row_hash": all_bronze + "\n" + hashes.format(dup=""),
+        "b05_flag_duplicates_in_batch": all_bronze + "\n" + hashes.format(dup=", _is_duplicate"),
+        "b06_incremental_hash_dedup": with_ctes([], ["pedidos"])
+        + "\nSELECT id_pedido, status, _row_hash, (_row_hash IN (SELECT _row_hash FROM bronze_pedidos WHERE _batch = 1) "
+        "OR row_number() OVER (PARTITION BY _row_hash) > 1) AS _is_duplicate FROM bronze_pedidos WHERE _batch = 2",
+        "b07_ingestion_log": all_bronze + "\n" + log_rows,
+        "b08_schema_evolution_union": _fixture_ctes(coletas_files)
+        + f"\nSELECT * REPLACE (CAST(_batch AS BIGINT) AS _batch) FROM ({evolution})",
+    }
+
+
 def all_queries() -> dict[str, str]:
     out = {}
+    out.update(bronze_queries())
     out.update(silver_queries())
     out.update(gold_queries())
     out.update(quality_queries())
+    out.update(operator_queries())
     return out

@@ -110,3 +110,28 @@ def fixture_bronze(spark: SparkSession, sf_dir: str, table: str, flag: bool = Tr
         bronze = bronze.unionByName(p, allowMissingColumns=True)
     return flag_duplicates(bronze, ["_ingested_at", "_row_id"]) if flag else bronze
 
+
+
+def ingestion_log(flagged: DataFrame, table: str) -> DataFrame:
+    """Load counters per (file, run): read = all rows, skipped = flagged, inserted = the rest.
+
+    ``rows_updated`` is always 0: loads append and flag, they never update.
+    """
+    per_load = flagged.groupBy("_source_file", "_batch_id").agg(
+        F.count(F.lit(1)).alias("rows_read"),
+        F.count_if(F.col("_is_duplicate")).alias("rows_skipped"),
+        F.max("_ingested_at").alias("ingested_at"),
+    )
+    return per_load.select(
+        F.lit(table).alias("table_name"),
+        F.col("_source_file").alias("source_file"),
+        "_batch_id",
+        "rows_read",
+        (F.col("rows_read") - F.col("rows_skipped")).alias("rows_inserted"),
+        F.lit(0).cast("bigint").alias("rows_updated"),
+        "rows_skipped",
+        F.lit(None).cast("bigint").alias("duration_ms"),
+        F.lit("SUCCESS").alias("status"),
+        F.lit(None).cast("string").alias("error_msg"),
+        "ingested_at",
+    )

@@ -159,8 +159,13 @@ QUALITY_QUERIES: dict[str, Query] = {
 
 
 def all_queries() -> dict[str, Query]:
+    from curdle.plans.bronze_queries import BRONZE_QUERIES
+    from curdle.plans.operator_queries import OPERATOR_QUERIES
+
     out: dict[str, Query] = {}
+    out.update(BRONZE_QUERIES)
     out.update(SILVER_QUERIES)
     out.update(GOLD_QUERIES)
     out.update(QUALITY_QUERIES)
+    out.update(OPERATOR_QUERIES)
     return out
