@@ -18,8 +18,12 @@ def row_hash(columns: Iterable[str]) -> Column:
     null, '' and a missing column are all distinct. Metadata columns must not
     be passed in.
     """
-    fields = [
-        F.coalesce(F.concat(F.lit(f"{name}="), F.col(f"`{name}`")), F.lit(f"{name}{NULL_MARK}"))
-        for name in sorted(columns)
-    ]
-    return F.md5(F.concat_ws(FIELD_SEP, *fields).cast("binary"))
+    # Built as one SQL expression: a single plan-building call however wide the row is.
+    fields = ", ".join(
+        f"coalesce(concat('{_sql_str(name)}=', `{name}`), '{_sql_str(name)}{NULL_MARK}')" for name in sorted(columns)
+    )
+    return F.expr(f"md5(cast(concat_ws('{FIELD_SEP}', {fields}) as binary))")
+
+
+def _sql_str(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Characters Python's ``str.strip()`` removes: Unicode White_Space plus the
-# four information separators 0x1C–0x1F.
-_PY_WS = r"[\s\p{IsWhite_Space}\x{1C}-\x{1F}]"
+# Every character Python's ``str.strip()`` removes (derived from ``str.isspace``).
+PY_WHITESPACE = "".join(chr(i) for i in range(sys.maxunicode + 1) if chr(i).isspace())
 
 
 def py_strip(c: Column) -> Column:
-    """Strip leading/trailing whitespace the way Python's ``str.strip()`` does."""
-    return F.regexp_replace(c, rf"\A{_PY_WS}+|{_PY_WS}+\z", "")
+    """Strip leading/trailing whitespace the way Python's ``str.strip()`` does (char-set trim, no regex)."""
+    return F.btrim(c, F.lit(PY_WHITESPACE))
 
 
 def sql_trim(c: Column) -> Column:

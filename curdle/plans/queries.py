@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curdle.operators import quality
+from curdle.operators.materialize import materialize
 from curdle.plans import gold
 from curdle.plans.quality_rules import RULES
 from curdle.plans.bronze import fixture_bronze
@@ -114,14 +115,18 @@ GOLD_QUERIES: dict[str, Query] = {
 # ── quality ──────────────────────────────────────────────────────────────────
 
 
-def all_silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {model: silver(spark, sf_dir, model) for model in SILVER_MODELS}
+def all_silver(spark: SparkSession, sf_dir: str, written: bool = False) -> dict[str, DataFrame]:
+    """Every silver model; ``written=True`` stores each once for many consumers."""
+    models = {model: silver(spark, sf_dir, model) for model in SILVER_MODELS}
+    if written:
+        models = {model: materialize(df, model) for model, df in models.items()}
+    return models
 
 
 def _suite_for(tests: tuple[str, ...]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         rules = [r for r in RULES if r.test in tests]
-        models = all_silver(spark, sf_dir)
+        models = all_silver(spark, sf_dir, written=True)
         return quality.run_suite({m: models[m] for m in models}, rules)
 
     return run

@@ -25,6 +25,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Building a plan from Python costs one JVM round trip per Column call;
+    # call-site capture for error messages adds several more to each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -72,3 +75,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def apply_runtime_tuning(spark: SparkSession) -> None:
+    """Best-effort throughput settings on a session this package did not build."""
+    for key in ("spark.python.sql.dataFrameDebugging.enabled",):
+        try:
+            spark.conf.set(key, DEFAULT_CONF[key])
+        except Exception:  # noqa: BLE001 — static in some deployments; only a speed setting
+            pass
