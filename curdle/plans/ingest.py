@@ -68,19 +68,23 @@ def _exists_fs(spark: SparkSession, path: str) -> bool:
 
 def load_file(spark: SparkSession, raw_dir: str, spec: SourceSpec, warehouse: str, batch_id: int) -> dict | None:
     """Load one manifest entry for run ``batch_id``; returns its log row (None if the file is missing)."""
-    started = time.monotonic()
-    ingested_at = datetime.now(timezone.utc).replace(tzinfo=None)
-    row = {
-        "table_name": spec.table,
-        "source_file": spec.file,
-        "_batch_id": batch_id,
-        "rows_updated": 0,
-        "ingested_at": ingested_at,
-    }
     try:
         raw = read_delimited(spark, os.path.join(raw_dir, spec.file), spec.delimiter)
-        if raw is None:
-            return None
+    except Exception as e:  # noqa: BLE001 — an unreadable file is logged like any failed load
+        return _log_failure(spark, warehouse, spec, batch_id, e, time.monotonic(), _now())
+    if raw is None:
+        return None
+    return load_rows(spark, raw, spec, warehouse, batch_id)
+
+
+def _now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
+def load_rows(spark: SparkSession, raw: DataFrame, spec: SourceSpec, warehouse: str, batch_id: int) -> dict:
+    """Load already-scanned raw rows (header columns + ``_corrupt_record``) as one bronze load."""
+    started, ingested_at = time.monotonic(), _now()
+    try:
         good = well_formed(raw)
         if spec.source_format:
             good = rename_layout_headers(good, spec.source_format)
@@ -104,24 +108,41 @@ def load_file(spark: SparkSession, raw_dir: str, spec: SourceSpec, warehouse: st
             (F.col("_batch_id") == batch_id) & (F.col("_source_file") == spec.file)
         )
         counts = written.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_is_duplicate")).alias("dup")).first()
-        bad = malformed_count(raw)
+        row = _log_row(spec, batch_id, ingested_at)
         row.update(
             rows_read=counts["n"],
             rows_skipped=counts["dup"],
             rows_inserted=counts["n"] - counts["dup"],
-            rows_quarantined=bad,
+            rows_quarantined=malformed_count(raw),
             status="SUCCESS",
             error_msg=None,
         )
     except Exception as e:  # noqa: BLE001 — one bad file must not stop the run; it is logged
-        log.error("load of %s failed: %s", spec.file, e)
-        row.update(rows_read=None, rows_inserted=None, rows_skipped=None, rows_quarantined=None)
-        row.update(status="ERROR", error_msg=str(e)[:2000])
+        return _log_failure(spark, warehouse, spec, batch_id, e, started, ingested_at)
     row["duration_ms"] = int((time.monotonic() - started) * 1000)
     append_log(spark, warehouse, row)
     return row
 
 
+def _log_row(spec: SourceSpec, batch_id: int, ingested_at: datetime) -> dict:
+    return {
+        "table_name": spec.table,
+        "source_file": spec.file,
+        "_batch_id": batch_id,
+        "rows_updated": 0,
+        "ingested_at": ingested_at,
+    }
+
+
+def _log_failure(spark, warehouse, spec, batch_id, error, started, ingested_at) -> dict:
+    log.error("load of %s failed: %s", spec.file, error)
+    row = _log_row(spec, batch_id, ingested_at)
+    row.update(rows_read=None, rows_inserted=None, rows_skipped=None, rows_quarantined=None)
+    row.update(status="ERROR", error_msg=str(error)[:2000], duration_ms=int((time.monotonic() - started) * 1000))
+    append_log(spark, warehouse, row)
+    return row
+
+
 def append_log(spark: SparkSession, warehouse: str, row: dict) -> None:
     values = [row.get(f.name) for f in LOG_SCHEMA.fields]
     spark.createDataFrame([values], LOG_SCHEMA).write.mode("append").parquet(
