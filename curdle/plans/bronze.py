@@ -22,6 +22,7 @@ from curdle.functions.dates import normalize_date
 from curdle.functions.hashing import row_hash
 from curdle.functions.text import numeric_like
 from curdle.operators.dedup import flag_duplicates
+from curdle.operators.materialize import materialize
 from curdle.sources.fixtures import fixture_loads
 from curdle.sources.manifest import (
     COLLECTION_LAYOUTS,
@@ -99,7 +100,13 @@ def fixture_ingested_at(batch: Column, spec: SourceSpec) -> Column:
 
 
 def fixture_bronze(spark: SparkSession, sf_dir: str, table: str, flag: bool = True) -> DataFrame:
-    """The bronze table as it stands after loading every fixture run in order."""
+    """The bronze table as it stands after loading every fixture run in order.
+
+    The stamped rows are written once before flagging (as a real load does):
+    ``_row_id`` is assigned after a shuffle, where row order — and so the id a
+    row gets — can differ between two evaluations; flagging reads the ids from
+    the written files in both of its branches, so they always agree.
+    """
     parts = []
     for spec, raw in fixture_loads(spark, sf_dir, table):
         rows = normalize_rows(raw, spec)
@@ -108,6 +115,7 @@ def fixture_bronze(spark: SparkSession, sf_dir: str, table: str, flag: bool = Tr
     bronze = parts[0]
     for p in parts[1:]:
         bronze = bronze.unionByName(p, allowMissingColumns=True)
+    bronze = materialize(bronze, f"fixture-{table}")
     return flag_duplicates(bronze, ["_ingested_at", "_row_id"]) if flag else bronze
 
 
