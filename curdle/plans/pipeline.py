@@ -45,14 +45,25 @@ def _write(spark: SparkSession, df: DataFrame, warehouse: str, layer: str, name:
     return spark.read.parquet(path)
 
 
-def run_silver(spark: SparkSession, warehouse: str, strict: bool = True) -> dict[str, DataFrame]:
+def run_silver(spark: SparkSession, warehouse: str, strict: bool = True, as_views: bool = False) -> dict[str, DataFrame]:
+    """Build the 12 silver models.
+
+    Default: each model is written once as ``silver.<model>`` and consumers read
+    the files. ``as_views=True`` registers lazy temporary views instead (every
+    consumer then re-runs the model's plan, as a SQL view would).
+    """
     catalog.ensure_layers(spark, warehouse)
     out = {}
     for model, (table, build) in SILVER_MODELS.items():
         bronze = read_bronze(spark, warehouse, table)
         if bronze is None:
             continue
-        out[model] = _write(spark, build(bronze, strict=strict), warehouse, "silver", model)
+        df = build(bronze, strict=strict)
+        if as_views:
+            df.createOrReplaceTempView(model)
+            out[model] = df
+        else:
+            out[model] = _write(spark, df, warehouse, "silver", model)
     return out
 
 

@@ -70,3 +70,17 @@ def test_quality_summary(spark, warehouse):
     assert got[("stg_pedidos", "id_pedido", "unique")] == "pass"
     expected = all_queries()["q05_suite_summary"](spark, SF_SMALL)
     assert rows(res.select(*expected.columns)) == rows(expected)
+
+
+def test_day_grain_shares_sum_to_100(spark, warehouse):
+    mart = spark.read.parquet(catalog.table_path(warehouse, "gold", "mart_perdas_consolidado"))
+    per_month = mart.groupBy("mes").agg(F.sum("pct_valor_no_mes").alias("s"), F.count("*").alias("n")).collect()
+    for r in per_month:
+        assert abs(r.s - 100.0) <= 0.005 * r.n + 1e-9
+
+
+def test_silver_keys_unique_and_views(spark, warehouse):
+    s = spark.read.parquet(catalog.table_path(warehouse, "silver", "stg_itens_pedido"))
+    assert s.groupBy("id_item").count().where("count > 1").count() == 0
+    views = pipeline.run_silver(spark, warehouse, as_views=True)
+    assert spark.table("stg_rotas").count() == views["stg_rotas"].count() == 25
