@@ -55,11 +55,15 @@ def flag_against_existing(
     """Flag a new batch: repeats inside it, or hashes already present in the table.
 
     ``existing_hashes`` is a one-column DataFrame of stored hashes (any number of
-    repeats); only its distinct values are shuffled, never the stored rows.
+    repeats). Only stored hashes that also occur in the batch are kept (semi
+    join) before they are de-duplicated, so when the batch's distinct hashes are
+    small enough for AQE to broadcast, history is filtered map-side and only
+    matching hashes are shuffled — never the stored rows.
     """
     first = batch.groupBy(hash_col).agg(F.min(F.struct(*order)).alias("__first"))
     if existing_hashes is not None:
-        known = existing_hashes.select(hash_col).distinct().withColumn("__known", F.lit(True))
+        seen = existing_hashes.select(hash_col).join(first.select(hash_col), on=hash_col, how="left_semi")
+        known = seen.distinct().withColumn("__known", F.lit(True))
         first = first.join(known, on=hash_col, how="left")
     else:
         first = first.withColumn("__known", F.lit(None).cast("boolean"))

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from curdle.session import scratch_path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet under ``spark.checkpoint.dir`` and read it back.
+def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` once as Parquet under ``spark.checkpoint.dir``; return the re-read DataFrame and its path.
 
     Later consumers scan the written files (with column pruning and filter
     pushdown) instead of recomputing the lineage, and a lost executor only
@@ -20,4 +20,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"curdle/{name}-{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``stage`` when the caller does not manage the folder's lifetime."""
+    return stage(df, name)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder once nothing reads it any more (best effort, any Hadoop file system)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+    except Exception:  # noqa: BLE001 — leaving a staged folder behind is harmless
+        pass

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curdle.operators.dedup import flag_against_existing
-from curdle.operators.materialize import materialize
+from curdle.operators.materialize import discard, stage
 from curdle.plans.bronze import normalize_rows, rename_layout_headers, stamp
 from curdle.sources.catalog import table_path
 from curdle.sources.csv import malformed_count, read_delimited, well_formed
@@ -84,12 +84,13 @@ def _now() -> datetime:
 def load_rows(spark: SparkSession, raw: DataFrame, spec: SourceSpec, warehouse: str, batch_id: int) -> dict:
     """Load already-scanned raw rows (header columns + ``_corrupt_record``) as one bronze load."""
     started, ingested_at = time.monotonic(), _now()
+    staged_path = None
     try:
         good = well_formed(raw)
         if spec.source_format:
             good = rename_layout_headers(good, spec.source_format)
         stamped = stamp(normalize_rows(good, spec), spec, F.lit(ingested_at).cast("timestamp"), F.lit(batch_id))
-        staged = materialize(stamped, f"stage-{spec.table}-{batch_id}")
+        staged, staged_path = stage(stamped, f"stage-{spec.table}-{batch_id}")
 
         target = table_path(warehouse, "bronze", spec.table)
         stored = read_bronze(spark, warehouse, spec.table)
@@ -119,6 +120,9 @@ def load_rows(spark: SparkSession, raw: DataFrame, spec: SourceSpec, warehouse:
         )
     except Exception as e:  # noqa: BLE001 — one bad file must not stop the run; it is logged
         return _log_failure(spark, warehouse, spec, batch_id, e, started, ingested_at)
+    finally:
+        if staged_path:
+            discard(spark, staged_path)
     row["duration_ms"] = int((time.monotonic() - started) * 1000)
     append_log(spark, warehouse, row)
     return row
