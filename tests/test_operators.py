@@ -93,3 +93,37 @@ def test_quality_tests(spark):
         ("c", "relationships"): (1, "fail"),
         ("p", "unique"): (1, "fail"),
     }
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+rows_strategy = st.lists(
+    st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 3), st.sampled_from(["x", "y", "z"])),
+    min_size=1,
+    max_size=25,
+)
+
+
+@settings(max_examples=25, deadline=None)
+@given(rows_strategy)
+def test_flags_and_latest_match_brute_force(spark, rows):
+    # (key, load, content) rows; the hash is the content incl. key; row id = position
+    data = [(k, t, v, f"{k}|{v}", i) for i, (k, t, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k string, t int, v string, _row_hash string, _row_id int")
+    flagged = {r["_row_id"]: r["_is_duplicate"] for r in flag_duplicates(df, ["t", "_row_id"]).collect()}
+    first_of = {}
+    for k, t, v, h, i in sorted(data, key=lambda r: (r[1], r[4])):
+        first_of.setdefault(h, i)
+    assert flagged == {i: first_of[h] != i for _, _, _, h, i in data}
+
+    live = [r for r in data if not flagged[r[4]]]
+    expected = {}
+    for k, t, v, h, i in live:
+        best = expected.get(k)
+        if best is None or (t, h) > (best[1], best[3]):
+            expected[k] = (k, t, v, h, i)
+    got = latest_by_key(
+        df.where(~F.col("_row_id").isin([i for i, d in flagged.items() if d] or [-1])), "k", [F.desc("t"), F.desc("_row_hash")]
+    )
+    assert {(r.k, r.t, r.v) for r in got.collect()} == {(k, t, v) for k, t, v, _, _ in expected.values()}
