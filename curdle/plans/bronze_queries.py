@@ -11,6 +11,7 @@ from curdle.functions.dates import normalize_date
 from curdle.functions.text import numeric_like
 from curdle.operators.dedup import flag_against_existing
 from curdle.plans.bronze import fixture_bronze, ingestion_log
+from curdle.plans.concurrency import run_all
 from curdle.sources.fixtures import FIXTURE_FILES
 from curdle.sources.manifest import BRONZE_TABLES, COLLECTION_NUMERIC_LIKE, COLLECTION_WIDE_COLUMNS, MANIFEST
 
@@ -74,12 +75,9 @@ def b03_unify_collection_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _all_bronze(spark: SparkSession, sf_dir: str, flag: bool) -> DataFrame:
-    parts = []
-    for table in BRONZE_TABLES:
-        b = fixture_bronze(spark, sf_dir, table, flag=flag)
-        cols = ["_source_file", "_batch_id", "_row_hash"] + (["_is_duplicate"] if flag else [])
-        parts.append(b.select(F.lit(table).alias("table_name"), *cols))
-    return _union(parts)
+    tables = run_all((t, lambda t=t: fixture_bronze(spark, sf_dir, t, flag=flag)) for t in BRONZE_TABLES)
+    cols = ["_source_file", "_batch_id", "_row_hash"] + (["_is_duplicate"] if flag else [])
+    return _union([tables[t].select(F.lit(t).alias("table_name"), *cols) for t in BRONZE_TABLES])
 
 
 def b04_row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,9 +99,8 @@ def b06_incremental_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def b07_ingestion_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One log row per (table, file, run); duration is left out (not deterministic)."""
-    parts = []
-    for table in BRONZE_TABLES:
-        parts.append(ingestion_log(fixture_bronze(spark, sf_dir, table), table))
+    tables = run_all((t, lambda t=t: fixture_bronze(spark, sf_dir, t)) for t in BRONZE_TABLES)
+    parts = [ingestion_log(tables[t], t) for t in BRONZE_TABLES]
     return _union(parts).drop("duration_ms", "ingested_at", "error_msg")
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from curdle.operators.quality import run_suite
 from curdle.plans import gold
+from curdle.plans.concurrency import run_all
 from curdle.plans.ingest import LOG_TABLE, load_file, read_bronze
 from curdle.plans.quality_rules import RULES
 from curdle.plans.silver import SILVER_MODELS
@@ -53,18 +54,16 @@ def run_silver(spark: SparkSession, warehouse: str, strict: bool = True, as_view
     consumer then re-runs the model's plan, as a SQL view would).
     """
     catalog.ensure_layers(spark, warehouse)
-    out = {}
+    built = {}
     for model, (table, build) in SILVER_MODELS.items():
         bronze = read_bronze(spark, warehouse, table)
-        if bronze is None:
-            continue
-        df = build(bronze, strict=strict)
-        if as_views:
+        if bronze is not None:
+            built[model] = build(bronze, strict=strict)
+    if as_views:
+        for model, df in built.items():
             df.createOrReplaceTempView(model)
-            out[model] = df
-        else:
-            out[model] = _write(spark, df, warehouse, "silver", model)
-    return out
+        return built
+    return run_all((m, lambda m=m: _write(spark, built[m], warehouse, "silver", m)) for m in built)
 
 
 def silver_tables(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
@@ -85,7 +84,7 @@ def run_gold(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
             s["stg_pedidos"], s["stg_itens_pedido"], s["stg_custos"], s["stg_perdas"], s["stg_entregas"]
         ),
     }
-    return {name: _write(spark, df, warehouse, "gold", name) for name, df in marts.items()}
+    return run_all((n, lambda n=n: _write(spark, marts[n], warehouse, "gold", n)) for n in marts)
 
 
 def run_tests(spark: SparkSession, warehouse: str) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from curdle.operators import quality
 from curdle.operators.materialize import materialize
 from curdle.plans import gold
+from curdle.plans.concurrency import run_all
 from curdle.plans.quality_rules import RULES
 from curdle.plans.bronze import fixture_bronze
 from curdle.plans.silver import SILVER_MODELS, comparable
@@ -47,18 +48,22 @@ SILVER_QUERIES: dict[str, Query] = {
 }
 
 
+def silvers(spark: SparkSession, sf_dir: str, *models: str) -> list[DataFrame]:
+    """Several silver models; their bronze loads are staged concurrently."""
+    built = run_all((m, lambda m=m: silver(spark, sf_dir, m)) for m in models)
+    return [built[m] for m in models]
+
+
 def g01(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.mart_coleta_fazenda_mensal(
-        silver(spark, sf_dir, "stg_coletas"), silver(spark, sf_dir, "stg_fazendas"), silver(spark, sf_dir, "stg_cooperados")
-    )
+    return gold.mart_coleta_fazenda_mensal(*silvers(spark, sf_dir, "stg_coletas", "stg_fazendas", "stg_cooperados"))
 
 
 def g02(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.mart_eficiencia_producao(silver(spark, sf_dir, "stg_producao"), silver(spark, sf_dir, "stg_produtos"))
+    return gold.mart_eficiencia_producao(*silvers(spark, sf_dir, "stg_producao", "stg_produtos"))
 
 
 def g03(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.mart_logistica_sla(silver(spark, sf_dir, "stg_entregas"), silver(spark, sf_dir, "stg_rotas"))
+    return gold.mart_logistica_sla(*silvers(spark, sf_dir, "stg_entregas", "stg_rotas"))
 
 
 def g04(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,16 +76,12 @@ def g04b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def g05(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.mart_resultado_mensal(
-        silver(spark, sf_dir, "stg_pedidos"),
-        silver(spark, sf_dir, "stg_itens_pedido"),
-        silver(spark, sf_dir, "stg_custos"),
-        silver(spark, sf_dir, "stg_perdas"),
-        silver(spark, sf_dir, "stg_entregas"),
+        *silvers(spark, sf_dir, "stg_pedidos", "stg_itens_pedido", "stg_custos", "stg_perdas", "stg_entregas")
     )
 
 
 def g05a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = gold.receita_mensal(silver(spark, sf_dir, "stg_pedidos"), silver(spark, sf_dir, "stg_itens_pedido"))
+    r = gold.receita_mensal(*silvers(spark, sf_dir, "stg_pedidos", "stg_itens_pedido"))
     return gold.rounded_parts(r)
 
 
@@ -116,11 +117,10 @@ GOLD_QUERIES: dict[str, Query] = {
 
 
 def all_silver(spark: SparkSession, sf_dir: str, written: bool = False) -> dict[str, DataFrame]:
-    """Every silver model; ``written=True`` stores each once for many consumers."""
-    models = {model: silver(spark, sf_dir, model) for model in SILVER_MODELS}
-    if written:
-        models = {model: materialize(df, model) for model, df in models.items()}
-    return models
+    """Every silver model; ``written=True`` stores each once for many consumers (models built concurrently)."""
+    if not written:
+        return {model: silver(spark, sf_dir, model) for model in SILVER_MODELS}
+    return run_all((m, lambda m=m: materialize(silver(spark, sf_dir, m), m)) for m in SILVER_MODELS)
 
 
 def _suite_for(tests: tuple[str, ...]) -> Query:
