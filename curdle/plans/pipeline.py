@@ -90,3 +90,32 @@ def run_gold(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
 def run_tests(spark: SparkSession, warehouse: str) -> DataFrame:
     summary = run_suite(silver_tables(spark, warehouse), RULES)
     return _write(spark, summary, warehouse, "gold", "dq_test_results")
+
+
+def compact_bronze(spark: SparkSession, warehouse: str, table: str) -> int:
+    """Rewrite a bronze table without its flagged copies; returns the rows removed.
+
+    Loads only ever append and flag; this optional maintenance step drops the
+    flagged rows. The kept rows are staged first, then replace the whole table
+    (a load whose rows were all copies leaves no partition behind), so the
+    table is never read and written by the same job.
+    """
+    from pyspark.sql import functions as F
+
+    from curdle.operators.materialize import discard, stage
+
+    bronze = read_bronze(spark, warehouse, table)
+    if bronze is None:
+        return 0
+    removed = bronze.where(F.col("_is_duplicate")).count()
+    if removed == 0:
+        return 0
+    kept, path = stage(bronze.where(~F.col("_is_duplicate")), f"compact-{table}")
+    (
+        kept.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("_batch_id", "_source_file")
+        .parquet(catalog.table_path(warehouse, "bronze", table))
+    )
+    discard(spark, path)
+    return removed

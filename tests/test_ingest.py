@@ -84,3 +84,18 @@ def test_schema_evolution_across_loads(spark, scratch):
     assert load_file(spark, raw2, spec, wh, 2)["status"] == "SUCCESS"
     got = {r.id_cliente: r.cidade for r in read_bronze(spark, wh, "clientes").collect()}
     assert got == {"1": None, "2": "Rio"}  # the later file's extra column; null for older rows
+
+
+def test_compact_drops_only_flagged_rows(spark, scratch):
+    from curdle.plans.pipeline import compact_bronze
+
+    raw, wh = os.path.join(scratch, "raw"), os.path.join(scratch, "wh")
+    write(os.path.join(raw, "rotas.csv"), "id_rota,nome_rota\n1,A\n1,A\n2,B\n")
+    spec = spec_for_file("rotas.csv")
+    load_file(spark, raw, spec, wh, 1)
+    load_file(spark, raw, spec, wh, 2)  # same file again: all flagged
+    assert read_bronze(spark, wh, "rotas").count() == 6
+    assert compact_bronze(spark, wh, "rotas") == 4
+    left = read_bronze(spark, wh, "rotas")
+    assert sorted((r.id_rota, r._batch_id) for r in left.collect()) == [("1", 1), ("2", 1)]
+    assert left.where("_is_duplicate").count() == 0
