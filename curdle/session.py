@@ -57,22 +57,34 @@ def apply_required_conf(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+_LOCAL_FALLBACK: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared (distributed) folder there and it is used as is.
-    Only when the setting is absent (local tests) a private scratch folder is
-    created and recorded in the session, so later calls agree.
+    Only when neither the setting nor the context's checkpoint directory is
+    present (a bare local session) a private scratch folder is created once
+    per application and registered as the context's checkpoint directory.
+    ``spark.checkpoint.dir`` itself cannot be changed at runtime.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="curdle-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+    if configured:
+        return configured
     try:
-        spark.sparkContext.setCheckpointDir(configured)
-    except Exception:  # noqa: BLE001 — remote sessions have no SparkContext; Parquet staging needs none
-        pass
-    return configured
+        sc = spark.sparkContext
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 — remote sessions have no SparkContext
+        sc, app = None, "remote"
+    if app not in _LOCAL_FALLBACK:
+        _LOCAL_FALLBACK[app] = tempfile.mkdtemp(prefix="curdle-ckpt-")
+        if sc is not None:
+            sc.setCheckpointDir(_LOCAL_FALLBACK[app])
+    return _LOCAL_FALLBACK[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
