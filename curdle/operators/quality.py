@@ -7,9 +7,9 @@ Four generic tests with the usual semantics:
   relationships(col → parent.field)  non-null keys without a parent    failures = rows
 
 ``run_suite`` evaluates a rule list over a dict of models and returns one row
-per rule. Per model, all not_null and accepted_values rules are fused into a
-single aggregation pass; unique rules are one grouped count each; relationships
-are left-anti joins against the parent's distinct keys.
+per rule. Per model, the unique rule's grouped pass also yields every column's
+null count; accepted values take one global aggregation; relationships are
+left-anti joins against the parent's distinct keys.
 """
 
 from __future__ import annotations
@@ -71,41 +71,66 @@ def _summary(model: str, column: str, test: str, failures: Column) -> list[Colum
     ]
 
 
-def _fused_row_checks(model: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame | None:
-    """All not_null / accepted_values rules of one model in one aggregation; one row per rule."""
-    aggs: list[Column] = []
-    for i, r in enumerate(rules):
-        c = F.col(r.column)
-        if r.test == "not_null":
-            aggs.append(F.count(F.when(c.isNull(), F.lit(1))).alias(f"r{i}"))
-        else:
-            aggs.append(F.count_distinct(F.when(~c.isin(*r.values), c)).alias(f"r{i}"))
-    if not aggs:
-        return None
-    counts = df.agg(*aggs)
-    stack = ", ".join(f"'{r.column}', '{r.test}', r{i}" for i, r in enumerate(rules))
+def _stacked(model: str, counts: DataFrame, named: list[tuple[str, str, str]]) -> DataFrame:
+    """One-row ``counts`` → one row per (column, test) named by ``(alias, column, test)``."""
+    stack = ", ".join(f"'{col}', '{test}', {alias}" for alias, col, test in named)
     return counts.select(
         F.lit(model).alias("model"),
-        F.expr(f"stack({len(rules)}, {stack}) AS (column_name, test, failures)"),
+        F.expr(f"stack({len(named)}, {stack}) AS (column_name, test, failures)"),
     )
 
 
+def _model_checks(model: str, df: DataFrame, rules: Sequence[Rule]) -> list[DataFrame]:
+    """not_null, unique and accepted_values rules of one model with as few passes as possible.
+
+    With a unique rule, one grouped pass on its column (partial aggregation
+    before the shuffle) yields the repeated-key count *and* every column's null
+    count (summed over the groups). Accepted values need the distinct invalid
+    values, which a pass grouped by another column cannot give: they get one
+    more global aggregation. Without a unique rule everything is one global
+    aggregation.
+    """
+    not_null = [r for r in rules if r.test == "not_null"]
+    unique = [r for r in rules if r.test == "unique"]
+    accepted = [r for r in rules if r.test == "accepted_values"]
+    out: list[DataFrame] = []
+    nulls = [(f"nn{i}", r) for i, r in enumerate(not_null)]
+    if unique:
+        key = unique[0].column
+        per_key = df.groupBy(key).agg(
+            F.count(F.lit(1)).alias("__n"),
+            *[F.count(F.when(F.col(r.column).isNull(), F.lit(1))).alias(a) for a, r in nulls],
+        )
+        counts = per_key.agg(
+            F.count(F.when(F.col(key).isNotNull() & (F.col("__n") > 1), F.lit(1))).alias("uq0"),
+            *[F.coalesce(F.sum(a), F.lit(0)).alias(a) for a, _ in nulls],
+        )
+        named = [("uq0", key, "unique")] + [(a, r.column, "not_null") for a, r in nulls]
+        out.append(_stacked(model, counts, named))
+        for r in unique[1:]:
+            n = unique_failures(df, r.column).agg(F.count(F.lit(1)).alias("failures"))
+            out.append(n.select(*_summary(model, r.column, "unique", F.col("failures"))))
+        nulls = []
+    vals = [(f"av{i}", r) for i, r in enumerate(accepted)]
+    if nulls or vals:
+        counts = df.agg(
+            *[F.count(F.when(F.col(r.column).isNull(), F.lit(1))).alias(a) for a, r in nulls],
+            *[F.count_distinct(F.when(~F.col(r.column).isin(*r.values), F.col(r.column))).alias(a) for a, r in vals],
+        )
+        named = [(a, r.column, "not_null") for a, r in nulls] + [(a, r.column, "accepted_values") for a, r in vals]
+        out.append(_stacked(model, counts, named))
+    return out
+
+
 def run_suite(models: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
     """One row per rule: model, column_name, test, failures, status."""
     parts: list[DataFrame] = []
     for model in dict.fromkeys(r.model for r in rules):
         df = models[model]
-        row_rules = [r for r in rules if r.model == model and r.test in ("not_null", "accepted_values")]
-        fused = _fused_row_checks(model, df, row_rules)
-        if fused is not None:
-            parts.append(fused)
-        for r in rules:
-            if r.model != model:
-                continue
-            if r.test == "unique":
-                n = unique_failures(df, r.column).agg(F.count(F.lit(1)).alias("failures"))
-                parts.append(n.select(*_summary(model, r.column, "unique", F.col("failures"))))
-            elif r.test == "relationships":
+        mine = [r for r in rules if r.model == model]
+        parts.extend(_model_checks(model, df, [r for r in mine if r.test != "relationships"]))
+        for r in mine:
+            if r.test == "relationships":
                 orphans = relationships_failures(df, r.column, models[r.parent], r.parent_column)
                 n = orphans.agg(F.count(F.lit(1)).alias("failures"))
                 parts.append(n.select(*_summary(model, r.column, "relationships", F.col("failures"))))

@@ -127,3 +127,20 @@ def test_flags_and_latest_match_brute_force(spark, rows):
         df.where(~F.col("_row_id").isin([i for i, d in flagged.items() if d] or [-1])), "k", [F.desc("t"), F.desc("_row_hash")]
     )
     assert {(r.k, r.t, r.v) for r in got.collect()} == {(k, t, v) for k, t, v, _, _ in expected.values()}
+
+
+def test_suite_on_empty_model_passes(spark):
+    empty = spark.createDataFrame([], "id int, s string")
+    rules = [
+        quality.Rule("e", "id", "not_null"),
+        quality.Rule("e", "id", "unique"),
+        quality.Rule("e", "s", "not_null"),
+        quality.Rule("e", "s", "accepted_values", ("A",)),
+    ]
+    got = {(r.column_name, r.test): (r.failures, r.status) for r in quality.run_suite({"e": empty}, rules).collect()}
+    assert got == {
+        ("id", "not_null"): (0, "pass"),
+        ("id", "unique"): (0, "pass"),
+        ("s", "not_null"): (0, "pass"),
+        ("s", "accepted_values"): (0, "pass"),
+    }
