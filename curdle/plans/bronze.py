@@ -31,7 +31,6 @@ from curdle.sources.manifest import (
     SourceSpec,
 )
 
-META_COLUMNS = ["_row_id", "_row_hash", "_source_file", "_source_format", "_ingested_at", "_batch_id", "_is_duplicate"]
 # Fixture loads: run n starts at this instant + n days; each file of the run a second later.
 _FIXTURE_EPOCH = 1_700_000_000
 

@@ -1,6 +1,5 @@
 """Files on disk through every layer equal the in-memory query path on the same data."""
 
-import os
 
 import pytest
 from pyspark.sql import functions as F
