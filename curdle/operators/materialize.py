@@ -1,13 +1,26 @@
-"""Cut lineage by writing an intermediate result to the shared checkpoint folder."""
+"""Cut lineage by writing an intermediate result to the shared checkpoint folder.
+
+Staged folders live as long as something may read them: a load deletes its own
+staging when the load is written; folders staged for queries are recorded and
+deleted by ``release_staged`` — called at interpreter exit, or explicitly by a
+caller that knows its results have been consumed.
+"""
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from curdle.session import scratch_path
 
+_STAGED: list[tuple[SparkSession, str]] = []
+_LOCK = threading.Lock()
+
 
 def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` once as Parquet under ``spark.checkpoint.dir``; return the re-read DataFrame and its path.
@@ -24,8 +37,11 @@ def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """``stage`` when the caller does not manage the folder's lifetime."""
-    return stage(df, name)[0]
+    """``stage`` for a result whose readers are not known; the folder is released later."""
+    out, path = stage(df, name)
+    with _LOCK:
+        _STAGED.append((df.sparkSession, path))
+    return out
 
 
 def discard(spark: SparkSession, path: str) -> None:
@@ -34,5 +50,22 @@ def discard(spark: SparkSession, path: str) -> None:
         jvm = spark.sparkContext._jvm
         hpath = jvm.org.apache.hadoop.fs.Path(path)
         hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
-    except Exception:  # noqa: BLE001 — leaving a staged folder behind is harmless
+        return
+    except Exception:  # noqa: BLE001 — stopped context: fall back to the local file system
         pass
+    local = path[len("file:") :] if path.startswith("file:") else path
+    if "://" not in local and os.path.isdir(local):
+        shutil.rmtree(local, ignore_errors=True)
+
+
+def release_staged() -> int:
+    """Delete every folder staged by ``materialize`` in this process; returns how many."""
+    with _LOCK:
+        staged = list(_STAGED)
+        _STAGED.clear()
+    for spark, path in staged:
+        discard(spark, path)
+    return len(staged)
+
+
+atexit.register(release_staged)

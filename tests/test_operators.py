@@ -144,3 +144,17 @@ def test_suite_on_empty_model_passes(spark):
         ("s", "not_null"): (0, "pass"),
         ("s", "accepted_values"): (0, "pass"),
     }
+
+
+def test_materialize_is_released(spark):
+    import os
+
+    from curdle.operators.materialize import _STAGED, materialize, release_staged
+
+    df = materialize(spark.range(10), "probe")
+    assert df.count() == 10
+    path = _STAGED[-1][1]
+    local = path[len("file:"):] if path.startswith("file:") else path
+    assert os.path.isdir(local)
+    assert release_staged() >= 1
+    assert not os.path.exists(local)
