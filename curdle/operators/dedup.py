@@ -39,7 +39,9 @@ def flag_duplicates(df: DataFrame, order: Sequence[str], hash_col: str = HASH) -
     Rows with the same hash have the same content, so which one counts as the
     first only matters for the metadata in ``order``. The first position per
     hash comes from a partial (map-side combined) aggregation; rows are then
-    matched back to it with an equi-join whose skewed partitions AQE splits.
+    matched back to it with an equi-join on the hash. (AQE's skew split does
+    not apply to that join, because its right side is the aggregate itself;
+    salting hot hashes is the planned fix.)
     """
     first = df.groupBy(hash_col).agg(F.min(F.struct(*order)).alias("__first"))
     flagged = df.join(first, on=hash_col, how="left")
