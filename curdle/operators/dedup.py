@@ -33,19 +33,41 @@ def latest_by_key(df: DataFrame, key: Column | str, order: Sequence[Column]) ->
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
 
 
-def flag_duplicates(df: DataFrame, order: Sequence[str], hash_col: str = HASH) -> DataFrame:
+# Copies of one content above which the join-back is salted, and the salt fan-out.
+# The hot set has at most rows / HOT_ROWS hashes — the bound that makes its broadcast safe.
+HOT_ROWS = 10_000_000
+SALTS = 32
+
+
+def flag_duplicates(
+    df: DataFrame, order: Sequence[str], hash_col: str = HASH, hot_rows: int = HOT_ROWS, salts: int = SALTS
+) -> DataFrame:
     """``_is_duplicate`` = the row is not the first occurrence of its hash by ``order``.
 
     Rows with the same hash have the same content, so which one counts as the
-    first only matters for the metadata in ``order``. The first position per
-    hash comes from a partial (map-side combined) aggregation; rows are then
-    matched back to it with an equi-join on the hash. (AQE's skew split does
-    not apply to that join, because its right side is the aggregate itself;
-    salting hot hashes is the planned fix.)
+    first only matters for the metadata in ``order``. One partial (map-side
+    combined) aggregation gives each hash's first position and its row count.
+    Rows are matched back to their hash's first position on (hash, salt): a hash
+    with more than ``hot_rows`` copies spreads its rows over ``salts`` salts (its
+    first-position row is replicated to each), every other hash uses salt 0. The
+    hot hashes are found by the same aggregation and number at most
+    rows / ``hot_rows``, so broadcasting them is bounded.
     """
-    first = df.groupBy(hash_col).agg(F.min(F.struct(*order)).alias("__first"))
-    flagged = df.join(first, on=hash_col, how="left")
-    return flagged.withColumn(DUP, F.struct(*order) != F.col("__first")).drop("__first")
+    stats = df.groupBy(hash_col).agg(F.min(F.struct(*order)).alias("__first"), F.count(F.lit(1)).alias("__n"))
+    hot = F.broadcast(stats.where(F.col("__n") > hot_rows).select(hash_col, F.lit(True).alias("__hot")))
+    rows = df.join(hot, on=hash_col, how="left").withColumn(
+        "__salt",
+        F.when(F.col("__hot"), F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(salts))).otherwise(F.lit(0)),
+    )
+    firsts = stats.join(hot, on=hash_col, how="left").select(
+        hash_col,
+        "__first",
+        F.explode(
+            F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        ).alias("__salt"),
+    )
+    flagged = rows.join(firsts, on=[hash_col, "__salt"], how="left")
+    return flagged.withColumn(DUP, F.struct(*order) != F.col("__first")).drop("__first", "__hot", "__salt")
 
 
 def flag_against_existing(

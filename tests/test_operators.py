@@ -158,3 +158,14 @@ def test_materialize_is_released(spark):
     assert os.path.isdir(local)
     assert release_staged() >= 1
     assert not os.path.exists(local)
+
+
+def test_salted_join_back_matches_unsalted(spark):
+    hot = [("h0", 1, i) for i in range(200)]
+    cold = [(f"h{i}", 1 + i % 2, i) for i in range(1, 301)] + [("h5", 0, 999)]
+    df = spark.createDataFrame(hot + cold, "_row_hash string, _batch int, _row_id int")
+    plain = {(r._row_hash, r._row_id): r._is_duplicate for r in flag_duplicates(df, ["_batch", "_row_id"]).collect()}
+    salted_df = flag_duplicates(df, ["_batch", "_row_id"], hot_rows=50, salts=7)
+    salted = {(r._row_hash, r._row_id): r._is_duplicate for r in salted_df.collect()}
+    assert len(salted) == 501 and plain == salted
+    assert sum(salted.values()) == 199 + 1  # hot copies after the first, and h5's later-run copy
