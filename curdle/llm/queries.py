@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curdle.llm import topk, urlrules
+import public_tokenizers
+
+from curdle.llm import bpe, chosenpath, outliers, quality, records, suffix, topk, urlrules
+from curdle.session import scratch_path
+
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,13 +23,50 @@ def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.repeated_spans(table(spark, sf_dir, "documents"))
+
+
+def op3_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality.classify(docs, model)
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+def op5_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosenpath.jaccard_classes(table(spark, sf_dir, "documents"))
+
+
+def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, f"curdle/records-{uuid.uuid4().hex}")
+    spec = bpe.read_spec(public_tokenizers.path(TOKENIZER))
+    records.write_records(table(spark, sf_dir, "documents"), spec, f"{folder}/shards")
+    index = records.build_index(spark, f"{folder}/shards", f"{folder}/index")
+    return records.with_starts(index).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op7_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_table(table(spark, sf_dir, "documents"), bpe.read_spec(public_tokenizers.path(TOKENIZER)))
+
+
+def op8_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.judge(table(spark, sf_dir, "documents"))
+
+
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urlrules.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict", "pattern")
 
 
+_QUERIES = (
+    op1_exact_topk, op2_suffix_dedup, op3_quality_votes, op5_chosen_path_join,
+    op6_token_records, op7_bpe_transducer, op8_robust_outliers, op9_url_rules,
+)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_topk, op9_url_rules)}
+    return {f.__name__: f for f in _QUERIES}
 
 
 def all_oracles() -> dict[str, str]:
