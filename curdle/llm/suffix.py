@@ -9,11 +9,14 @@ suffix there, and the two share at least ``PREFIX`` = MIN_WORDS - WINDOW + 1 wor
 Suffixes are sorted over the cluster by their first PREFIX words (as a hash: equal
 prefixes stand together, which is all that neighbours are compared for), then by
 place. Range partitions split a prefix that a third of all rows share; the first and
-last prefix of each partition are compared across partitions in a second step. Every
-suffix that equals a neighbour is then extended to the left and right: the
-MIN_WORDS windows around it that its minimiser stands for are hashed with 128 bits,
-all of them at the ends of a run of matched suffixes and the last one of each inside
-a run, and those found in two documents or more make up the spans.
+last prefix of each partition are compared across partitions in a second step.
+
+Matched suffixes are extended to the left and right over the windows that their
+minimiser stands for. The last of these windows is compared first. Where it is
+repeated, and the one of the suffix before is too, all between are covered. Where
+not, the extension ends somewhere between, or passes from one other document to the
+next: then every document with that prefix hashes all of its windows there, with 128
+bits, and those found in two documents or more make up the spans, with the others.
 
 Rows carry hashes and positions; texts move once, for documents with a match.
 
@@ -72,7 +75,7 @@ def minimisers(h: np.ndarray) -> np.ndarray:
 
 
 def slice_suffixes(data: np.ndarray, offsets: np.ndarray):
-    """(document, prefix hash, position, first and last window start the suffix stands for) of a slice."""
+    """(document, prefix hash, hash of the last window, first and last window start) of each kept suffix of a slice."""
     _, _, h, first = K.words(data, offsets)
     where = minimisers(h)
     good = np.flatnonzero(K.whole(max(0, len(h) - MIN_WORDS + 1), MIN_WORDS, first))
@@ -86,21 +89,24 @@ def slice_suffixes(data: np.ndarray, offsets: np.ndarray):
     lo, hi = good[at], good[np.append(at[1:], len(good)) - 1]
     doc, p = doc[at], p[at]
     base = first[doc]
-    return doc, K.window_hashes(h, PREFIX)[p], p - base, lo - base, hi - base
+    return doc, K.window_hashes(h, PREFIX)[p], K.window_hashes(h, MIN_WORDS, 1)[hi], lo - base, hi - base
+
+
+_SHAPE = "prefix long, doc_id long, th long, lo int, more byte, tail long"
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b, data, offsets in K.text_slices(batch.column(2)):
-            doc, prefix, p, lo, hi = slice_suffixes(data, offsets)
+            doc, prefix, tail, lo, hi = slice_suffixes(data, offsets)
             if len(doc):
                 rows = pa.array(doc)
                 yield pa.RecordBatch.from_arrays(
                     [
                         K.as_long(prefix), batch.column(0).slice(a, b - a).take(rows), batch.column(1).slice(a, b - a).take(rows),
-                        pa.array(p, pa.int32()), pa.array(p - lo, pa.int8()), pa.array(hi - lo, pa.int8()),
+                        pa.array(lo, pa.int32()), pa.array(hi - lo, pa.int8()), K.as_long(tail),
                     ],
-                    names=["prefix", "doc_id", "th", "pos", "back", "more"],
+                    names=["prefix", "doc_id", "th", "lo", "more", "tail"],
                 )
 
 
@@ -140,7 +146,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The 128-bit hashes of the windows that extend a document's matched suffixes."""
+    """The 128-bit hashes of all windows that a document's marked suffixes stand for."""
     for batch in batches:
         marks = batch.column(3)
         for a, b, data, offsets in K.text_slices(batch.column(2)):
@@ -148,26 +154,21 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x, y = K.window_hashes(h, MIN_WORDS, 1), K.window_hashes(h, MIN_WORDS, 2)
             for i in range(a, b):
                 m = marks[i].values
-                lo, more = m.field("lo").to_numpy(), m.field("more").to_numpy()
-                order = np.argsort(lo, kind="stable")
-                lo, hi = lo[order], (lo + more)[order]
-                lo, at = np.unique(lo, return_index=True)
-                hi = hi[at]
-                joined = lo[1:] == hi[:-1] + 1
-                inside = np.append(False, joined) & np.append(joined, False)
-                start = np.where(inside, hi, lo)
-                n = hi - start + 1
-                s = np.repeat(start, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                g = s + first[i - a]
+                lo, n = m.field("lo").to_numpy(), m.field("more").to_numpy().astype(np.int64) + 1
+                s = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                g, row = s + first[i - a], pa.array(np.zeros(len(s), np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(i, 1).take(pa.array(np.zeros(len(s), np.int32))), batch.column(1).slice(i, 1).take(pa.array(np.zeros(len(s), np.int32))),
-                        pa.array(s, pa.int32()), K.as_long(x[g]), K.as_long(y[g]),
-                    ],
+                    [batch.column(0).slice(i, 1).take(row), batch.column(1).slice(i, 1).take(row), pa.array(s, pa.int32()), K.as_long(x[g]), K.as_long(y[g])],
                     names=["doc_id", "th", "s", "x", "y"],
                 )
 
 
+def _in_two_documents(rows: DataFrame, *key: str) -> DataFrame:
+    """The keys that two documents have, and the smaller id; partial minima travel, so a frequent key weighs no more."""
+    ends = rows.groupBy(*key).agg(*[f(c).alias(f"{n}_{c}") for c in ("doc_id", "th") for n, f in (("min", F.min), ("max", F.max))])
+    return ends.where("min_doc_id <> max_doc_id OR min_th <> max_th").select(*key, F.col("min_doc_id").alias("first"))
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, start_word, end_word, n_words, first_doc_id) of every span made of repeated windows.
 
@@ -177,22 +178,26 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
     own = own.select("doc_id", F.xxhash64("text").alias("th"), "text")
-    shape = "prefix long, doc_id long, th long, pos int, back byte, more byte"
-    suffixes = materialize(own.mapInArrow(_suffixes, shape), "suffixes")
-    order = ["prefix", "doc_id", "th", "pos"]
+    suffixes = materialize(own.mapInArrow(_suffixes, _SHAPE), "suffixes")
+    order = ["prefix", "doc_id", "th", "lo"]
     array = suffixes.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    compared = materialize(array.mapInArrow(_neighbours, shape + ", edge boolean"), "neighbours")
-    matched = compared.where("NOT edge").drop("edge")
+    compared = materialize(array.mapInArrow(_neighbours, _SHAPE + ", edge boolean"), "neighbours")
     edges = compared.where("edge").drop("edge").distinct()
     going_on = edges.groupBy("prefix").agg(F.count("*").alias("n")).where("n > 1")
-    matched = matched.unionByName(edges.join(going_on, "prefix", "left_semi"))
+    matched = compared.where("NOT edge").drop("edge").unionByName(edges.join(going_on, "prefix", "left_semi")).distinct()
+    in_doc = Window.partitionBy("doc_id", "th").orderBy("lo")
+    known = matched.join(_in_two_documents(matched, "prefix", "tail"), ["prefix", "tail"], "left")
+    known = known.withColumn("hi", F.col("lo") + F.col("more"))
+    covered = F.col("first").isNotNull() & F.lag("first").over(in_doc).isNotNull() & (F.lag("hi").over(in_doc) + 1 == F.col("lo"))
+    known = materialize(known.withColumn("covered", F.coalesce(covered, F.lit(False))), "matched")
+    open_prefixes = known.where("NOT covered").select("prefix").distinct()
     # The positions of one document, bounded by its length.
-    marks = matched.groupBy("doc_id", "th").agg(F.collect_set(F.struct((F.col("pos") - F.col("back")).alias("lo"), F.col("more").cast("int").alias("more"))).alias("marks"))
+    mark = F.struct("lo", F.col("more").cast("int").alias("more"))
+    marks = known.join(open_prefixes, "prefix", "left_semi").groupBy("doc_id", "th").agg(F.collect_set(mark).alias("marks"))
     texts = own.join(marks, ["doc_id", "th"]).dropDuplicates(["doc_id", "th"]).select("doc_id", "th", "text", "marks")
     windows = materialize(texts.mapInArrow(_windows, "doc_id long, th long, s int, x long, y long"), "windows")
-    places = windows.groupBy("x", "y").agg(*[f(c).alias(f"{n}_{c}") for c in ("doc_id", "th") for n, f in (("min", F.min), ("max", F.max))])
-    places = places.where("min_doc_id <> max_doc_id OR min_th <> max_th").select("x", "y", F.col("min_doc_id").alias("first"))
-    found = windows.join(places, ["x", "y"])
+    found = windows.join(_in_two_documents(windows, "x", "y"), ["x", "y"]).select("doc_id", "th", "s", "first")
+    found = found.unionByName(known.where("first IS NOT NULL").select("doc_id", "th", F.col("hi").alias("s"), "first"))
     in_doc = Window.partitionBy("doc_id", "th").orderBy("s")
     new = F.coalesce(F.col("s") > F.lag("s").over(in_doc) + MIN_WORDS, F.lit(True)).cast("int")
     islands = found.withColumn("_new", new).withColumn("_span", F.sum("_new").over(in_doc))
