@@ -6,10 +6,11 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from curdle.llm import bpe, chosenpath, outliers, quality, records, suffix, topk, urlrules
+from curdle.llm import bpe, chosenpath, linededup, mixing, outliers, quality, records, suffix, topk, urlrules
 from curdle.session import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -34,6 +35,10 @@ def op3_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
 
 
+def op4_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "epoch", "block", "order")
+
+
 def op5_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosenpath.jaccard_classes(table(spark, sf_dir, "documents"))
 
@@ -59,9 +64,14 @@ def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict", "pattern")
 
 
+def op10_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.decisions(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
+
+
 _QUERIES = (
-    op1_exact_topk, op2_suffix_dedup, op3_quality_votes, op5_chosen_path_join,
-    op6_token_records, op7_bpe_transducer, op8_robust_outliers, op9_url_rules,
+    op1_exact_topk, op2_suffix_dedup, op3_quality_votes, op4_temperature_mix, op5_chosen_path_join,
+    op6_token_records, op7_bpe_transducer, op8_robust_outliers, op9_url_rules, op10_line_join,
 )
 
 
