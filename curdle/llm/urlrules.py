@@ -64,7 +64,7 @@ PATTERN_RULES = (
     Rule("xxx", "block", r"[./]xxx[./]", ("xxx",)),
     Rule("viagra", "block", r"[./_=-]viagra([./_&-]|$)", ("viagra",)),
     Rule("torrent-file", "block", r"\.torrent($|[?#])", ("torrent",)),
-    Rule("ad-host", "block", r"://ads?[0-9]*\.[^/]*/", ("ads",)),
+    Rule("ad-host", "block", r"://ads\.[^/]*/", ("ads",)),
     Rule("login-page", "block", r"/(user|account)/login($|[/?#])", ("login",)),
     Rule("cart-page", "block", r"/cart/(add|checkout)($|[/?#])", ("cart",)),
     Rule("session-id", "block", r"[?&;](jsessionid|phpsessid|sid)=[0-9a-f]{16,}", ()),
