@@ -8,19 +8,28 @@ half-up, which gives the same digits on any engine that follows the recipe.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 NUMERIC = DecimalType(18, 4)
-# Products that carry a percentage division (value × pct / 100).
-WIDE_NUMERIC = DecimalType(38, 6)
+# What text is parsed as before it is known to fit.
+_PARSE = DecimalType(38, 18)
 _RATIO_DECIMAL = DecimalType(38, 10)
 
 
 def to_numeric(c: Column, strict: bool = True) -> Column:
-    """Text → DECIMAL(18,4); strict raises on bad text, lenient yields null."""
-    return c.cast(NUMERIC) if strict else c.try_cast(NUMERIC)
+    """Text → DECIMAL(18,4), never rounded on the way.
+
+    A number that the type cannot hold exactly is like bad text: strict raises,
+    lenient yields null. Only texts that may hold more than four decimals are looked
+    at twice.
+    """
+    narrow = c.cast(NUMERIC) if strict else c.try_cast(NUMERIC)
+    full = c.cast(_PARSE) if strict else c.try_cast(_PARSE)
+    lost = F.raise_error(F.concat(F.lit("number does not fit DECIMAL(18,4): "), c)) if strict else F.lit(None)
+    checked = F.when(full == full.cast(NUMERIC), narrow).when(full.isNotNull(), lost.cast(NUMERIC))
+    return F.when(c.rlike(r"[.]\d{5}|[eE]"), checked).otherwise(narrow)
 
 
 def to_int(c: Column, strict: bool = True) -> Column:
@@ -40,16 +49,16 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return numerator.cast("double") / F.nullif(denominator.cast("double"), F.lit(0.0))
 
 
-def mean(c: Column) -> Column:
-    """AVG over non-null values as exact-sum / count, in DOUBLE (null when no values)."""
-    return ratio(F.sum(c), F.count(c))
-
-
 def round_ratio(c: Column, digits: int) -> Column:
-    """Round a DOUBLE half-up to ``digits`` through DECIMAL(38,10); result DOUBLE."""
-    return F.round(c.cast(_RATIO_DECIMAL), digits).cast("double")
+    """Round a DOUBLE half-up to ``digits`` through DECIMAL(38,10); the result stays DECIMAL."""
+    return F.round(c.cast(_RATIO_DECIMAL), digits)
 
 
 def round_decimal(c: Column, digits: int) -> Column:
-    """Round an exact DECIMAL half-up; result DOUBLE."""
-    return F.round(c, digits).cast("double")
+    """Round an exact DECIMAL half-up; the result stays DECIMAL."""
+    return F.round(c, digits)
+
+
+def as_doubles(df: DataFrame) -> DataFrame:
+    """Every DECIMAL column as DOUBLE, for comparison with other engines."""
+    return df.select(*[as_double(F.col(f.name)).alias(f.name) if isinstance(f.dataType, DecimalType) else F.col(f.name) for f in df.schema.fields])

@@ -33,41 +33,15 @@ def latest_by_key(df: DataFrame, key: Column | str, order: Sequence[Column]) ->
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
 
 
-# Copies of one content above which the join-back is salted, and the salt fan-out.
-# The hot set has at most rows / HOT_ROWS hashes — the bound that makes its broadcast safe.
-HOT_ROWS = 10_000_000
-SALTS = 32
-
-
-def flag_duplicates(
-    df: DataFrame, order: Sequence[str], hash_col: str = HASH, hot_rows: int = HOT_ROWS, salts: int = SALTS
-) -> DataFrame:
+def flag_duplicates(df: DataFrame, order: Sequence[str], hash_col: str = HASH) -> DataFrame:
     """``_is_duplicate`` = the row is not the first occurrence of its hash by ``order``.
 
-    Rows with the same hash have the same content, so which one counts as the
-    first only matters for the metadata in ``order``. One partial (map-side
-    combined) aggregation gives each hash's first position and its row count.
-    Rows are matched back to their hash's first position on (hash, salt): a hash
-    with more than ``hot_rows`` copies spreads its rows over ``salts`` salts (its
-    first-position row is replicated to each), every other hash uses salt 0. The
-    hot hashes are found by the same aggregation and number at most
-    rows / ``hot_rows``, so broadcasting them is bounded.
+    ``order`` must identify a row. One partial (map-side combined) aggregation gives
+    each hash's first place; a row is first iff hash and whole place equal it. The
+    join key is unique to a row, so however many copies a hash has, no task gets more
+    than its share.
     """
-    stats = df.groupBy(hash_col).agg(F.min(F.struct(*order)).alias("__first"), F.count(F.lit(1)).alias("__n"))
-    hot = F.broadcast(stats.where(F.col("__n") > hot_rows).select(hash_col, F.lit(True).alias("__hot")))
-    rows = df.join(hot, on=hash_col, how="left").withColumn(
-        "__salt",
-        F.when(F.col("__hot"), F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(salts))).otherwise(F.lit(0)),
-    )
-    firsts = stats.join(hot, on=hash_col, how="left").select(
-        hash_col,
-        "__first",
-        F.explode(
-            F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        ).alias("__salt"),
-    )
-    flagged = rows.join(firsts, on=[hash_col, "__salt"], how="left")
-    return flagged.withColumn(DUP, F.struct(*order) != F.col("__first")).drop("__first", "__hot", "__salt")
+    return _flag(df, _firsts(df, order, hash_col), order, hash_col)
 
 
 def flag_against_existing(
@@ -79,18 +53,24 @@ def flag_against_existing(
     """Flag a new batch: repeats inside it, or hashes already present in the table.
 
     ``existing_hashes`` is a one-column DataFrame of stored hashes (any number of
-    repeats). Only stored hashes that also occur in the batch are kept (semi
-    join) before they are de-duplicated, so when the batch's distinct hashes are
-    small enough for AQE to broadcast, history is filtered map-side and only
-    matching hashes are shuffled — never the stored rows.
+    repeats; they are combined before they move). The batch's first places whose hash
+    is stored are dropped, so every row of such a hash is a duplicate.
     """
-    first = batch.groupBy(hash_col).agg(F.min(F.struct(*order)).alias("__first"))
+    first = _firsts(batch, order, hash_col)
     if existing_hashes is not None:
-        seen = existing_hashes.select(hash_col).join(first.select(hash_col), on=hash_col, how="left_semi")
-        known = seen.distinct().withColumn("__known", F.lit(True))
-        first = first.join(known, on=hash_col, how="left")
-    else:
-        first = first.withColumn("__known", F.lit(None).cast("boolean"))
-    flagged = batch.join(first, on=hash_col, how="left")
-    is_dup = F.coalesce(F.col("__known"), F.lit(False)) | (F.struct(*order) != F.col("__first"))
-    return flagged.withColumn(DUP, is_dup).drop("__first", "__known")
+        stored = existing_hashes.select(F.col(hash_col).alias("__stored")).distinct()
+        first = first.join(stored, F.col("__hash") == F.col("__stored"), "left_anti")
+    return _flag(batch, first, order, hash_col)
+
+
+def _firsts(df: DataFrame, order: Sequence[str], hash_col: str) -> DataFrame:
+    first = df.groupBy(hash_col).agg(F.min(F.struct(*order)).alias("__first"))
+    return first.select(F.col(hash_col).alias("__hash"), *[F.col(f"__first.{c}").alias(f"__{c}") for c in order])
+
+
+def _flag(df: DataFrame, firsts: DataFrame, order: Sequence[str], hash_col: str) -> DataFrame:
+    same = F.col(hash_col) == F.col("__hash")
+    for c in order:
+        same = same & (F.col(c) == F.col(f"__{c}"))
+    marked = df.join(firsts, same, "left")
+    return marked.withColumn(DUP, F.col("__hash").isNull()).drop("__hash", *[f"__{c}" for c in order])

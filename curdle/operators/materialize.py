@@ -33,7 +33,7 @@ def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = scratch_path(spark, f"curdle/{name}-{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path), path
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

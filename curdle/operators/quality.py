@@ -28,6 +28,7 @@ class Rule:
     values: tuple[str, ...] = field(default_factory=tuple)  # accepted_values
     parent: str | None = None  # relationships: parent model
     parent_column: str | None = None  # relationships: parent key
+    severity: str = "error"  # error | warn: what a failure means
 
 
 def not_null_failures(df: DataFrame, column: str) -> DataFrame:
@@ -50,13 +51,18 @@ def accepted_values_failures(df: DataFrame, column: str, values: Sequence[str])
 
 
 def relationships_failures(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child rows whose non-null key has no parent row (anti join on the parent's distinct keys)."""
+    """(value, n_records) of non-null child keys without a parent row.
+
+    Child rows are counted per key before they move (partial aggregation), so a key
+    that a third of them hold weighs as much as any other.
+    """
     keys = parent.select(F.col(parent_column).alias(column)).where(F.col(column).isNotNull()).distinct()
-    return child.where(F.col(column).isNotNull()).join(keys, on=column, how="left_anti")
+    counts = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n_records"))
+    return counts.join(keys, on=column, how="left_anti")
 
 
-def _status(failures: Column) -> Column:
-    return F.when(failures == 0, F.lit("pass")).otherwise(F.lit("fail"))
+def _status(failures: Column, severity: Column) -> Column:
+    return F.when(failures == 0, F.lit("pass")).when(severity == "warn", F.lit("warn")).otherwise(F.lit("fail"))
 
 
 def _summary(model: str, column: str, test: str, failures: Column) -> list[Column]:
@@ -120,7 +126,7 @@ def _model_checks(model: str, df: DataFrame, rules: Sequence[Rule]) -> list[Data
 
 
 def run_suite(models: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
-    """One row per rule: model, column_name, test, failures, status."""
+    """One row per rule: model, column_name, test, failures, severity, status (pass, warn or fail)."""
     parts: list[DataFrame] = []
     for model in dict.fromkeys(r.model for r in rules):
         df = models[model]
@@ -129,10 +135,15 @@ def run_suite(models: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFra
         for r in mine:
             if r.test == "relationships":
                 orphans = relationships_failures(df, r.column, models[r.parent], r.parent_column)
-                n = orphans.agg(F.count(F.lit(1)).alias("failures"))
+                n = orphans.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("failures"))
                 parts.append(n.select(*_summary(model, r.column, "relationships", F.col("failures"))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     out = out.withColumn("failures", F.col("failures").cast("bigint"))
-    return out.withColumn("status", _status(F.col("failures")))
+    warn = F.lit(False)
+    for r in rules:
+        if r.severity == "warn":
+            warn = warn | ((F.col("model") == r.model) & (F.col("column_name") == r.column) & (F.col("test") == r.test))
+    out = out.withColumn("severity", F.when(warn, F.lit("warn")).otherwise(F.lit("error")))
+    return out.withColumn("status", _status(F.col("failures"), F.col("severity")))

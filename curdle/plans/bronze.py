@@ -15,6 +15,8 @@ Metadata columns:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,7 @@ from curdle.sources.manifest import (
     COLLECTION_NUMERIC_LIKE,
     COLLECTION_WIDE_COLUMNS,
     SourceSpec,
+    specs_for_table,
 )
 
 # Fixture loads: run n starts at this instant + n days; each file of the run a second later.
@@ -79,8 +82,14 @@ def normalize_rows(df: DataFrame, spec: SourceSpec) -> DataFrame:
     return df
 
 
-def stamp(df: DataFrame, spec: SourceSpec, ingested_at: Column, batch_id: Column) -> DataFrame:
-    """Add content hash and lineage metadata to normalised rows."""
+def load_position(table: str) -> Column:
+    """A load's place in its run: the manifest position of its ``_source_file``."""
+    place = [p for s in specs_for_table(table) for p in (F.lit(s.file), F.lit(s.position))]
+    return F.try_element_at(F.create_map(*place), F.col("_source_file"))
+
+
+def stamp(df: DataFrame, spec: SourceSpec, ingested_at: Column, batch_id: Column, keep: Sequence[str] = ()) -> DataFrame:
+    """Add content hash and lineage metadata to normalised rows; ``keep`` names further columns that pass through."""
     business = business_columns(df)
     return df.select(
         *[F.col(f"`{c}`") for c in business],
@@ -90,6 +99,7 @@ def stamp(df: DataFrame, spec: SourceSpec, ingested_at: Column, batch_id: Column
         F.lit(spec.source_format).cast("string").alias("_source_format"),
         ingested_at.alias("_ingested_at"),
         batch_id.cast("bigint").alias("_batch_id"),
+        *keep,
     )
 
 
@@ -114,9 +124,12 @@ def fixture_bronze(spark: SparkSession, sf_dir: str, table: str, flag: bool = Tr
     bronze = parts[0]
     for p in parts[1:]:
         bronze = bronze.unionByName(p, allowMissingColumns=True)
-    bronze = materialize(bronze, f"fixture-{table}")
-    return flag_duplicates(bronze, ["_ingested_at", "_row_id"]) if flag else bronze
-
+    bronze = materialize(bronze.withColumn("_position", load_position(table)), f"fixture-{table}")
+    if flag:
+        bronze = flag_duplicates(bronze, ["_batch_id", "_position", "_row_id"])
+    # A derived table has no line order: a fixture file's lines stand in order of their content hash.
+    line = F.conv(F.substring("_row_hash", 1, 15), 16, 10).cast("bigint")
+    return bronze.withColumn("_row_id", line).drop("_position")
 
 
 def ingestion_log(flagged: DataFrame, table: str) -> DataFrame:

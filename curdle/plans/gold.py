@@ -7,9 +7,9 @@ recombine exactly, so the result equals "join every fact row, then group", but
 the join sees months × keys rows instead of the whole fact table and no fact
 row is shuffled for the join.
 
-Output measures are DOUBLE: exact DECIMAL sums rounded half-up, and
-averages/ratios computed from exact sums and rounded through DECIMAL(38,10)
-(see functions.numeric).
+Output measures are DECIMAL: exact sums rounded half-up, and averages/ratios
+computed from exact sums and rounded through DECIMAL(38,10) (see
+functions.numeric).
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curdle.functions.dates import month_start
-from curdle.functions.numeric import WIDE_NUMERIC, ratio, round_decimal, round_ratio
+from curdle.functions.numeric import NUMERIC, ratio, round_decimal, round_ratio
 from curdle.operators.aggregates import count_when, reaggregate, share_of_period, sum_when
 
 
@@ -81,22 +81,19 @@ def mart_coleta_fazenda_mensal(coletas: DataFrame, fazendas: DataFrame, cooperad
 def mart_eficiencia_producao(producao: DataFrame, produtos: DataFrame) -> DataFrame:
     """Monthly production efficiency per line and product (valid orders only)."""
     vin, vout = F.col("volume_entrada_litros"), F.col("volume_saida")
-    per_product = (
-        producao.where(F.col("_dq_ok"))
-        .groupBy(month_start(F.col("data_producao")).alias("mes"), "linha_producao", "id_produto")
-        .agg(
-            F.count(F.lit(1)).alias("qtd_ordens"),
-            F.sum(vin).alias("in_sum"),
-            F.sum(vout).alias("out_sum"),
-            *_sum_count(F.col("rendimento_pct"), "yield"),
-            F.sum(vin - vout).alias("loss_sum"),
-            F.sum("custo_total").alias("cost_sum"),
-        )
-    )
+    # Few orders share a month, line and product: the fact is joined as it is (the product
+    # table is broadcast where it is small) and aggregated once.
     products = produtos.select("id_produto", F.col("categoria").alias("categoria_produto"), "nome_produto")
-    joined = per_product.join(products, "id_produto", "left")
-    partials = [c for c in per_product.columns if c not in ("mes", "linha_producao", "id_produto")]
-    grouped = reaggregate(joined, ["mes", "linha_producao", "categoria_produto", "nome_produto"], partials)
+    joined = producao.where(F.col("_dq_ok")).join(products, "id_produto", "left")
+    keys = [month_start(F.col("data_producao")).alias("mes"), "linha_producao", "categoria_produto", "nome_produto"]
+    grouped = joined.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("qtd_ordens"),
+        F.sum(vin).alias("in_sum"),
+        F.sum(vout).alias("out_sum"),
+        *_sum_count(F.col("rendimento_pct"), "yield"),
+        F.sum(vin - vout).alias("loss_sum"),
+        F.sum("custo_total").alias("cost_sum"),
+    )
     return grouped.select(
         "mes",
         "linha_producao",
@@ -211,25 +208,28 @@ COST_CENTRES = {
 }
 
 
+# With a percentage of DECIMAL(18,4) the product has 38 digits, so Spark keeps all its decimals.
+_ORDER_TOTAL = "decimal(19,4)"
+
+
 def receita_mensal(pedidos: DataFrame, itens: DataFrame) -> DataFrame:
     """Monthly revenue of valid, non-cancelled orders (exact DECIMAL sums).
 
-    Items are summed per order before the join, so the join sees one row per
-    order; the discount is distributive over an order's items, so
-    Σ(item × pct / 100) = (Σ item) × pct / 100 exactly.
+    Items are summed per order before the join, so the join sees one row per order.
+    The discount is summed as total × percent, exact to eight decimals, and divided by
+    100 once, in the month's sum.
     """
-    per_order = (
-        itens.where(F.col("_dq_ok")).groupBy("id_pedido").agg(F.sum("valor_total").alias("order_total"))
-    )
+    per_order = itens.where(F.col("_dq_ok")).groupBy("id_pedido").agg(F.sum("valor_total").cast(_ORDER_TOTAL).alias("order_total"))
     orders = pedidos.where(F.col("_dq_ok") & (F.col("status") != "CANCELADO")).select(
         "id_pedido", "data_pedido", "desconto_pct"
     )
     joined = orders.join(per_order, "id_pedido", "inner")
-    discount = (F.col("order_total") * F.coalesce(F.col("desconto_pct"), F.lit(0)) / 100).cast(WIDE_NUMERIC)
+    hundredfold = F.sum(F.col("order_total") * F.coalesce(F.col("desconto_pct"), F.lit(0).cast(NUMERIC)))
+    gross, discount = F.sum("order_total").cast("decimal(24,4)"), hundredfold.cast("decimal(30,8)") * F.lit("0.01").cast("decimal(2,2)")
     return joined.groupBy(month_start(F.col("data_pedido")).alias("mes")).agg(
-        F.sum("order_total").alias("receita_bruta"),
-        F.sum(discount).alias("desconto_total"),
-        (F.sum("order_total") - F.sum(discount)).alias("receita_liquida"),
+        gross.alias("receita_bruta"),
+        discount.alias("desconto_total"),
+        (gross - discount).alias("receita_liquida"),
         F.count_distinct("id_pedido").alias("qtd_pedidos"),
     )
 

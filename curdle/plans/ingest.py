@@ -1,13 +1,15 @@
 """Raw files → bronze tables, one manifest entry at a time.
 
-Per file: scan (all text) → set malformed rows apart → normalise → hash and
-stamp → stage to the shared checkpoint folder → flag against the hashes the
-table already stores → write the load's own partition → append one log row.
-
-The write replaces only the partition (``_batch_id``, ``_source_file``) of this
-load, and the stored hashes it is flagged against exclude that partition, so
-re-running a load after a failure gives the same table as running it once. The
-log row is written last.
+Per file: scan (all text) → judge malformed rows → normalise → hash and stamp →
+stage to the shared checkpoint folder → flag against the hashes of earlier loads →
+write the load's own partition → quarantine rows that cannot load → append one log
+row. The file is parsed once; every count comes from the staged rows.
+
+Loads are ordered by (run, place in the manifest). A row is a duplicate iff an
+earlier load, or an earlier row of its own load, has its content; when a load stood
+is irrelevant. So a load that is run again is compared with earlier loads only, and
+later loads whose flags depend on it are flagged anew. The write replaces only the
+load's own partition; the log row is written last.
 """
 
 from __future__ import annotations
@@ -21,11 +23,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curdle.operators.dedup import flag_against_existing
+from curdle.operators.dedup import DUP, flag_against_existing, flag_duplicates
 from curdle.operators.materialize import discard, stage
-from curdle.plans.bronze import normalize_rows, rename_layout_headers, stamp
+from curdle.plans.bronze import load_position, normalize_rows, rename_layout_headers, stamp
+from curdle.sources import files
 from curdle.sources.catalog import table_path
-from curdle.sources.csv import malformed_count, read_delimited, well_formed
+from curdle.sources.csv import judge_rows, read_delimited
 from curdle.sources.manifest import SourceSpec
 
 log = logging.getLogger(__name__)
@@ -49,23 +52,24 @@ LOG_SCHEMA = T.StructType(
 )
 
 
+QUARANTINE_TABLE = "quarantine"
+QUARANTINE_SCHEMA = "table_name string, raw_line string, ingested_at timestamp, _batch_id bigint, _source_file string"
+#: What flagging needs of a stored table; read with this schema, no footers are merged.
+KEYS_SCHEMA = f"_row_hash string, _row_id bigint, {DUP} boolean, _batch_id bigint, _source_file string"
+
+
+def has_rows(spark: SparkSession, warehouse: str, table: str) -> bool:
+    return files.any_match(spark, f"{table_path(warehouse, 'bronze', table)}/_batch_id=*")
+
+
 def read_bronze(spark: SparkSession, warehouse: str, table: str) -> DataFrame | None:
     """The stored bronze table (schema merged across loads), or None before its first load."""
-    path = table_path(warehouse, "bronze", table)
-    if not os.path.exists(path) and not _exists_fs(spark, path):
+    if not has_rows(spark, warehouse, table):
         return None
-    df = spark.read.option("mergeSchema", "true").parquet(path)
+    df = spark.read.option("mergeSchema", "true").parquet(table_path(warehouse, "bronze", table))
     return df.withColumn("_batch_id", F.col("_batch_id").cast("bigint"))
 
 
-def _exists_fs(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 — listing only
-        return True
-    except Exception:  # noqa: BLE001
-        return False
-
-
 def load_file(spark: SparkSession, raw_dir: str, spec: SourceSpec, warehouse: str, batch_id: int) -> dict | None:
     """Load one manifest entry for run ``batch_id``; returns its log row (None if the file is missing)."""
     try:
@@ -78,7 +82,7 @@ def load_file(spark: SparkSession, raw_dir: str, spec: SourceSpec, warehouse: st
 
 
 def _now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
+    return datetime.now(timezone.utc)
 
 
 def load_rows(spark: SparkSession, raw: DataFrame, spec: SourceSpec, warehouse: str, batch_id: int) -> dict:
@@ -86,35 +90,31 @@ def load_rows(spark: SparkSession, raw: DataFrame, spec: SourceSpec, warehouse:
     started, ingested_at = time.monotonic(), _now()
     staged_path = None
     try:
-        good = well_formed(raw)
-        if spec.source_format:
-            good = rename_layout_headers(good, spec.source_format)
-        stamped = stamp(normalize_rows(good, spec), spec, F.lit(ingested_at).cast("timestamp"), F.lit(batch_id))
-        staged, staged_path = stage(stamped, f"stage-{spec.table}-{batch_id}")
-
-        target = table_path(warehouse, "bronze", spec.table)
-        stored = read_bronze(spark, warehouse, spec.table)
-        if stored is not None:
-            this_load = (F.col("_batch_id") == batch_id) & (F.col("_source_file") == spec.file)
-            stored = stored.where(~this_load).select("_row_hash")
-        flagged = flag_against_existing(staged, stored, ["_row_id"])
-        (
-            flagged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_batch_id", "_source_file")
-            .parquet(target)
-        )
-
-        written = spark.read.parquet(target).where(
-            (F.col("_batch_id") == batch_id) & (F.col("_source_file") == spec.file)
-        )
-        counts = written.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_is_duplicate")).alias("dup")).first()
+        judged = judge_rows(raw, spec.delimiter, keep_surplus=spec.source_format is not None)
+        counts = {"n": 0, "dup": 0, "bad": 0}
+        partition = f"{table_path(warehouse, 'bronze', spec.table)}/_batch_id={batch_id}/_source_file={spec.file}"
+        had_rows = files.exists(spark, partition)
+        if len(judged.columns) > 1:
+            if spec.source_format:
+                judged = rename_layout_headers(judged, spec.source_format)
+            stamped = stamp(normalize_rows(judged, spec), spec, F.lit(ingested_at).cast("timestamp"), F.lit(batch_id), ["_quarantined"])
+            staged, staged_path = stage(stamped, f"stage-{spec.table}-{batch_id}")
+            good = staged.where(F.col("_quarantined").isNull()).drop("_quarantined")
+            counts["bad"] = _quarantine(staged, spec, warehouse, batch_id)
+            flagged = flag_against_existing(good, _earlier_hashes(spark, warehouse, spec, batch_id), ["_row_id"])
+            if had_rows:  # a dynamic overwrite leaves a partition alone that the new load has no row for
+                files.delete(spark, partition)
+            counts |= _write_load(spark, flagged, warehouse, spec, batch_id)
+        elif had_rows:
+            files.delete(spark, partition)
+        if counts["n"] or had_rows:
+            _reflag_later(spark, warehouse, spec, batch_id)
         row = _log_row(spec, batch_id, ingested_at)
         row.update(
             rows_read=counts["n"],
             rows_skipped=counts["dup"],
             rows_inserted=counts["n"] - counts["dup"],
-            rows_quarantined=malformed_count(raw),
+            rows_quarantined=counts["bad"],
             status="SUCCESS",
             error_msg=None,
         )
@@ -128,6 +128,85 @@ def load_rows(spark: SparkSession, raw: DataFrame, spec: SourceSpec, warehouse:
     return row
 
 
+def _keys(spark: SparkSession, warehouse: str, table: str) -> DataFrame | None:
+    """Hash, place and flag of every stored row, from a column-pruned scan."""
+    if not has_rows(spark, warehouse, table):
+        return None
+    return spark.read.schema(KEYS_SCHEMA).parquet(table_path(warehouse, "bronze", table)).withColumn("_position", load_position(table))
+
+
+def _earlier_hashes(spark: SparkSession, warehouse: str, spec: SourceSpec, batch_id: int) -> DataFrame | None:
+    """The distinct hashes of all loads before this one: those of their unflagged rows."""
+    keys = _keys(spark, warehouse, spec.table)
+    if keys is None:
+        return None
+    before = (F.col("_batch_id") < batch_id) | ((F.col("_batch_id") == batch_id) & (F.col("_position") < spec.position))
+    return keys.where(before & ~F.col(DUP)).select("_row_hash")
+
+
+def _write_load(spark: SparkSession, flagged: DataFrame, warehouse: str, spec: SourceSpec, batch_id: int) -> dict:
+    target = table_path(warehouse, "bronze", spec.table)
+    (
+        flagged.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("_batch_id", "_source_file")
+        .parquet(target)
+    )
+    written = spark.read.schema(KEYS_SCHEMA).parquet(target)
+    written = written.where((F.col("_batch_id") == batch_id) & (F.col("_source_file") == spec.file))
+    r = written.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(DUP)).alias("dup")).first()
+    return {"n": r["n"], "dup": r["dup"]}
+
+
+def _reflag_later(spark: SparkSession, warehouse: str, spec: SourceSpec, batch_id: int) -> None:
+    """Flag the loads after this one anew, and rewrite those of their partitions where a flag changes."""
+    keys = _keys(spark, warehouse, spec.table)
+    if keys is None:
+        return
+    later = (F.col("_batch_id") > batch_id) | ((F.col("_batch_id") == batch_id) & (F.col("_position") > spec.position))
+    if keys.where(later).isEmpty():
+        return
+    place = ["_batch_id", "_position", "_row_id"]
+    now = flag_duplicates(keys.withColumnRenamed(DUP, "_was"), place).where(later)
+    changed = now.where(F.col(DUP) != F.col("_was")).select("_batch_id", "_source_file").distinct()
+    bronze = read_bronze(spark, warehouse, spec.table)
+    # A partition's name stands for a load; the affected ones are rewritten whole.
+    rows = bronze.drop(DUP).join(changed, ["_batch_id", "_source_file"], "left_semi")
+    flags = now.select("_batch_id", "_source_file", "_row_id", DUP)
+    staged, path = stage(rows.join(flags, ["_batch_id", "_source_file", "_row_id"]), f"reflag-{spec.table}")
+    try:
+        if not staged.isEmpty():
+            (
+                staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy("_batch_id", "_source_file").parquet(table_path(warehouse, "bronze", spec.table))
+            )
+    finally:
+        discard(spark, path)
+
+
+def _quarantine(staged: DataFrame, spec: SourceSpec, warehouse: str, batch_id: int) -> int:
+    """Store the load's rows that cannot load, with their raw line; returns how many."""
+    spark = staged.sparkSession
+    bad = staged.where(F.col("_quarantined").isNotNull()).select(
+        F.lit(spec.table).alias("table_name"), F.col("_quarantined").alias("raw_line"), F.col("_ingested_at").alias("ingested_at"), "_batch_id", "_source_file"
+    )
+    n = bad.count()
+    target = table_path(warehouse, "bronze", QUARANTINE_TABLE)
+    partition = f"{target}/_batch_id={batch_id}/_source_file={spec.file}"
+    if files.exists(spark, partition):
+        files.delete(spark, partition)
+    if n:
+        bad.write.mode("append").partitionBy("_batch_id", "_source_file").parquet(target)
+    return n
+
+
+def read_quarantine(spark: SparkSession, warehouse: str) -> DataFrame:
+    """Rows that could not load: table, raw line, load time, run and file."""
+    if not has_rows(spark, warehouse, QUARANTINE_TABLE):
+        return spark.createDataFrame([], QUARANTINE_SCHEMA)
+    return spark.read.schema(QUARANTINE_SCHEMA).parquet(table_path(warehouse, "bronze", QUARANTINE_TABLE))
+
+
 def _log_row(spec: SourceSpec, batch_id: int, ingested_at: datetime) -> dict:
     return {
         "table_name": spec.table,
@@ -142,7 +221,7 @@ def _log_failure(spark, warehouse, spec, batch_id, error, started, ingested_at)
     log.error("load of %s failed: %s", spec.file, error)
     row = _log_row(spec, batch_id, ingested_at)
     row.update(rows_read=None, rows_inserted=None, rows_skipped=None, rows_quarantined=None)
-    row.update(status="ERROR", error_msg=str(error)[:2000], duration_ms=int((time.monotonic() - started) * 1000))
+    row.update(status="ERROR", error_msg=str(error), duration_ms=int((time.monotonic() - started) * 1000))
     append_log(spark, warehouse, row)
     return row
 

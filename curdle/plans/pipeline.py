@@ -18,10 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from curdle.operators.quality import run_suite
 from curdle.plans import gold
 from curdle.plans.concurrency import run_all
-from curdle.plans.ingest import LOG_TABLE, load_file, read_bronze
+from curdle.plans.ingest import LOG_TABLE, QUARANTINE_TABLE, has_rows, load_file, read_bronze
 from curdle.plans.quality_rules import RULES
 from curdle.plans.silver import SILVER_MODELS
-from curdle.sources import catalog
+from curdle.sources import catalog, files
 from curdle.sources.manifest import MANIFEST
 
 
@@ -33,15 +33,20 @@ def run_bronze(spark: SparkSession, raw_dir: str, warehouse: str, batch_id: int)
         row = load_file(spark, raw_dir, spec, warehouse, batch_id)
         if row is not None:
             rows.append(row)
-            catalog.register(spark, warehouse, "bronze", spec.table)
+            if has_rows(spark, warehouse, spec.table):
+                catalog.register(spark, warehouse, "bronze", spec.table)
     if rows:
         catalog.register(spark, warehouse, "bronze", LOG_TABLE)
+    if has_rows(spark, warehouse, QUARANTINE_TABLE):
+        catalog.register(spark, warehouse, "bronze", QUARANTINE_TABLE)
     return rows
 
 
 def _write(spark: SparkSession, df: DataFrame, warehouse: str, layer: str, name: str) -> DataFrame:
     path = catalog.table_path(warehouse, layer, name)
-    df.write.mode("overwrite").parquet(path)
+    # Readers see the old table until the new one is whole; a failed write leaves it as it is.
+    df.write.mode("overwrite").parquet(f"{path}__new")
+    files.swap(spark, f"{path}__new", path)
     catalog.register(spark, warehouse, layer, name)
     return spark.read.parquet(path)
 

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curdle.functions.numeric import as_doubles
 from curdle.operators import quality
 from curdle.operators.materialize import materialize
 from curdle.plans import gold
@@ -116,29 +117,26 @@ GOLD_QUERIES: dict[str, Query] = {
 # ── quality ──────────────────────────────────────────────────────────────────
 
 
-def all_silver(spark: SparkSession, sf_dir: str, written: bool = False) -> dict[str, DataFrame]:
-    """Every silver model; ``written=True`` stores each once for many consumers (models built concurrently)."""
-    if not written:
-        return {model: silver(spark, sf_dir, model) for model in SILVER_MODELS}
-    return run_all((m, lambda m=m: materialize(silver(spark, sf_dir, m), m)) for m in SILVER_MODELS)
+def silver_for(spark: SparkSession, sf_dir: str, rules: list[quality.Rule]) -> dict[str, DataFrame]:
+    """The models that ``rules`` need, built concurrently, each written once for its many readers."""
+    names = list(dict.fromkeys(m for r in rules for m in (r.model, r.parent) if m))
+    return run_all((m, lambda m=m: materialize(silver(spark, sf_dir, m), m)) for m in names)
 
 
 def _suite_for(tests: tuple[str, ...]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         rules = [r for r in RULES if r.test in tests]
-        models = all_silver(spark, sf_dir, written=True)
-        return quality.run_suite({m: models[m] for m in models}, rules)
+        return quality.run_suite(silver_for(spark, sf_dir, rules), rules)
 
     return run
 
 
 def q03_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every value outside its accepted list, with its row count."""
-    models = all_silver(spark, sf_dir)
+    """Every value outside its accepted list, with its row count (each model is read once, so none is written)."""
+    rules = [r for r in RULES if r.test == "accepted_values"]
+    models = dict(zip((r.model for r in rules), silvers(spark, sf_dir, *(r.model for r in rules))))
     parts = []
-    for r in RULES:
-        if r.test != "accepted_values":
-            continue
+    for r in rules:
         bad = quality.accepted_values_failures(models[r.model], r.column, r.values)
         parts.append(
             bad.select(
@@ -170,7 +168,11 @@ def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(BRONZE_QUERIES)
     out.update(SILVER_QUERIES)
-    out.update(GOLD_QUERIES)
+    out.update({name: _in_doubles(q) for name, q in GOLD_QUERIES.items()})
     out.update(QUALITY_QUERIES)
-    out.update(OPERATOR_QUERIES)
+    out.update({name: _in_doubles(q) for name, q in OPERATOR_QUERIES.items()})
     return out
+
+
+def _in_doubles(query: Query) -> Query:
+    return lambda spark, sf_dir: as_doubles(query(spark, sf_dir))

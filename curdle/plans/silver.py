@@ -2,8 +2,9 @@
 
 Every model has the same shape:
   1. drop rows flagged as duplicates in bronze,
-  2. keep the newest row per raw key (``_ingested_at`` DESC, then ``_row_hash`` DESC
-     so equal load times still give a stable pick),
+  2. keep the newest row per raw key: of the latest run, in it of the last file in the
+     manifest, in that the last row (never by the clock: a load that is run again keeps
+     its place),
   3. one ``select`` that casts and cleans.
 
 Inside that select, the ``_dq_ok`` expressions read the *raw* bronze columns
@@ -23,6 +24,7 @@ from curdle.functions.dates import days_between, iso_date, multi_format_date
 from curdle.functions.numeric import NUMERIC, as_double, ratio, round_ratio, to_bigint, to_int, to_numeric
 from curdle.functions.text import blank_to_null, collapse_first_whitespace_run, sql_trim, upper_trim, yes_no_flag
 from curdle.operators.dedup import DUP, latest_by_key
+from curdle.sources.manifest import MANIFEST
 
 LINEAGE = ["_row_hash", "_source_file", "_ingested_at"]
 
@@ -37,7 +39,8 @@ def _c(name: str) -> Column:
 def latest_rows(bronze: DataFrame, key: Column | str) -> DataFrame:
     """Steps 1–2 of every model."""
     live = bronze.where(~F.col(DUP))
-    return latest_by_key(live, key, [F.desc("_ingested_at"), F.desc("_row_hash")])
+    place = F.try_element_at(F.create_map(*[p for s in MANIFEST for p in (F.lit(s.file), F.lit(s.position))]), F.col("_source_file"))
+    return latest_by_key(live, key, [F.desc("_batch_id"), place.desc_nulls_last(), F.desc("_row_id")])
 
 
 def _lineage() -> list[Column]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 # Settings every run needs for the results to be right and comparable.
@@ -64,10 +65,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared (distributed) folder there and it is used as is.
-    Only when neither the setting nor the context's checkpoint directory is
-    present (a bare local session) a private scratch folder is created once
-    per application and registered as the context's checkpoint directory.
-    ``spark.checkpoint.dir`` itself cannot be changed at runtime.
+    Only a local master (one JVM) may go without: it gets a private scratch folder,
+    created once per application and registered as the context's checkpoint
+    directory. On a cluster executors do not share local folders, so a missing
+    setting is an error there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -77,9 +78,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
-        app = sc.applicationId
-    except Exception:  # noqa: BLE001 — remote sessions have no SparkContext
-        sc, app = None, "remote"
+        app, master = sc.applicationId, sc.master
+    except PySparkException:  # remote sessions have no SparkContext
+        sc, app, master = None, "remote", "remote"
+    if master.split("[")[0] != "local":
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master is {master})")
     if app not in _LOCAL_FALLBACK:
         _LOCAL_FALLBACK[app] = tempfile.mkdtemp(prefix="curdle-ckpt-")
         if sc is not None:

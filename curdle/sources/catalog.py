@@ -23,10 +23,14 @@ def table_path(warehouse: str, layer: str, name: str) -> str:
     return os.path.join(warehouse, layer, name)
 
 
+def _sql_str(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def ensure_layers(spark: SparkSession, warehouse: str, layers: tuple[str, ...] = LAYERS) -> None:
     """``CREATE DATABASE IF NOT EXISTS`` for each layer, located under the warehouse folder."""
     for layer in layers:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{os.path.join(warehouse, layer)}'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{_sql_str(os.path.join(warehouse, layer))}'")
 
 
 def register(spark: SparkSession, warehouse: str, layer: str, name: str) -> None:
@@ -34,7 +38,7 @@ def register(spark: SparkSession, warehouse: str, layer: str, name: str) -> None
     path = table_path(warehouse, layer, name)
     spark.sql(f"DROP TABLE IF EXISTS {qualified(layer, name)}")
     spark.sql(
-        f"CREATE TABLE {qualified(layer, name)} USING parquet OPTIONS (path '{path}', mergeSchema 'true')"
+        f"CREATE TABLE {qualified(layer, name)} USING parquet OPTIONS (path '{_sql_str(path)}', mergeSchema 'true')"
     )
     spark.sql(f"REFRESH TABLE {qualified(layer, name)}")
 
@@ -47,6 +51,3 @@ def list_tables(spark: SparkSession, layer: str) -> list[str]:
 def read(spark: SparkSession, layer: str, name: str) -> DataFrame:
     return spark.table(qualified(layer, name))
 
-
-def exists(spark: SparkSession, layer: str, name: str) -> bool:
-    return spark.catalog.tableExists(name, layer)

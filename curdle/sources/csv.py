@@ -3,8 +3,8 @@
 * header row binds columns by name; every column is read as text (no inference);
 * an empty field is the empty string '' (Spark's CSV reader yields null for
   empty fields, so well-formed rows get '' back);
-* rows with too few or too many fields are not guessed at: they are set apart
-  with their raw line (``quarantine``) and counted by the load log;
+* a row with too few fields keeps those it has, the rest null; other malformed
+  rows are set apart with their raw line (``judge_rows``);
 * a missing file is reported, not fatal.
 """
 
@@ -61,32 +61,39 @@ def read_delimited(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("multiLine", multiline)
         .option("enforceSchema", False)
+        # Malformed rows are judged over all columns, whatever a query reads.
+        .option("columnPruning", False)
         .csv(path)
     )
 
 
-def well_formed(df: DataFrame) -> DataFrame:
-    """Rows with the header's field count; empty fields restored to ''."""
-    business = [c for c in df.columns if c != CORRUPT]
-    good = df.where(F.col(CORRUPT).isNull())
-    return good.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in business])
-
+_END = "\u0001"
 
-def quarantine(df: DataFrame) -> DataFrame:
-    """Malformed rows: the raw line plus whatever fields the parser recovered.
 
-    (Spark rejects scans that read only the corrupt-record column, so the
-    recovered fields are kept alongside it.)
-    """
-    return df.where(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "raw_line")
+def judge_rows(df: DataFrame, delimiter: str = ",", keep_surplus: bool = False) -> DataFrame:
+    """The header's columns and ``_quarantined``: the raw line of a row that cannot be loaded, else null.
 
+    * a row with the header's field count loads, empty fields as '';
+    * a shorter row loads, the fields it lacks as null;
+    * a longer row loads without its surplus where ``keep_surplus`` is set, else it is quarantined;
+    * a row with a broken quote is quarantined.
 
-def malformed_count(df: DataFrame) -> int:
-    """Number of malformed rows.
-
-    The CSV parser judges a row's field count only over the columns a query
-    reads, so the count references every column, as the bronze load does.
+    A malformed line is parsed once more with an end mark behind it: the field that
+    holds the mark tells how many the line has; a mark inside a field tells of a
+    quote that never closes.
     """
-    business = [F.col(f"`{c}`") for c in df.columns if c != CORRUPT]
-    row = df.agg(F.count_if(F.col(CORRUPT).isNotNull()).alias("bad"), F.max(F.hash(*business)).alias("_")).first()
-    return int(row["bad"])
+    business = [c for c in df.columns if c != CORRUPT]
+    if not business:
+        return df.select(F.col(CORRUPT).alias("_quarantined"))
+    names = [f"f{i}" for i in range(len(business) + 1)]
+    options = {"sep": delimiter, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    marked = F.concat(F.col(CORRUPT), F.lit(delimiter + _END))
+    again = F.from_csv(marked, ", ".join(f"{n} string" for n in names), options)
+    df = df.withColumn("_fields", F.when(F.col(CORRUPT).isNotNull(), F.array(*[again[n] for n in names])))
+    at = F.array_position("_fields", F.lit(_END))
+    n_fields = F.when(at > 0, at - 1).otherwise(F.lit(len(names)))
+    broken = F.exists("_fields", lambda f: f.contains(_END) & (f != _END))
+    df = df.withColumn("_n", F.when(F.col(CORRUPT).isNull(), F.lit(len(business))).when(F.coalesce(broken, F.lit(False)), F.lit(-1)).otherwise(n_fields))
+    loads = (F.col("_n") >= 0) & (F.lit(keep_surplus) | (F.col("_n") <= len(business)))
+    fields = [F.when(F.col("_n") > i, F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias(c) for i, c in enumerate(business)]
+    return df.select(*fields, F.when(~loads, F.col(CORRUPT)).alias("_quarantined"))

@@ -11,6 +11,7 @@ own partition, so retries do not duplicate rows.
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from curdle.plans.ingest import load_rows
-from curdle.session import scratch_path
 from curdle.sources.csv import CORRUPT, read_header
 from curdle.sources.manifest import SourceSpec
 
@@ -37,10 +37,23 @@ def file_stream(spark: SparkSession, folder: str, spec: SourceSpec, header: list
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("enforceSchema", False)
+        .option("columnPruning", False)
         .csv(folder)
     )
 
 
+def checkpoint_path(spark: SparkSession, raw_dir: str, spec: SourceSpec, warehouse: str) -> str:
+    """Where a stream records which files it took: one place for each warehouse and raw folder.
+
+    It must outlive the session, so ``spark.checkpoint.dir`` has to be set.
+    """
+    durable = spark.conf.get("spark.checkpoint.dir", None)
+    if not durable:
+        raise RuntimeError("set spark.checkpoint.dir: a stream's progress must outlive the session")
+    where = hashlib.sha256(f"{warehouse.rstrip('/')}\n{raw_dir.rstrip('/')}".encode()).hexdigest()[:24]
+    return os.path.join(durable, "curdle", "streams", where, spec.table, spec.file)
+
+
 def start_ingestion(
     spark: SparkSession, raw_dir: str, spec: SourceSpec, warehouse: str, run_base: int = 1_000_000
 ) -> StreamingQuery | None:
@@ -55,12 +68,14 @@ def start_ingestion(
         return None
 
     def load(batch: DataFrame, epoch_id: int) -> None:
-        load_rows(batch.sparkSession, batch, spec, warehouse, run_base + epoch_id)
+        row = load_rows(batch.sparkSession, batch, spec, warehouse, run_base + epoch_id)
+        if row["status"] != "SUCCESS":  # the micro-batch must not be committed: the next run takes its files again
+            raise RuntimeError(f"load of {spec.file} failed: {row['error_msg']}")
 
     return (
         file_stream(spark, folder, spec, header)
         .writeStream.foreachBatch(load)
-        .option("checkpointLocation", scratch_path(spark, f"curdle/streams/{spec.table}/{spec.file}"))
+        .option("checkpointLocation", checkpoint_path(spark, raw_dir, spec, warehouse))
         .trigger(availableNow=True)
         .start()
     )
