@@ -543,6 +543,12 @@ def bronze_queries() -> dict[str, str]:
         "b06_incremental_hash_dedup": with_ctes([], ["pedidos"])
         + "SELECT id_pedido, status, _row_hash, _is_duplicate FROM bronze_pedidos WHERE _batch = 2",
         "b07_ingestion_log": with_ctes([], TABLES) + log,
+        "b09_rerun_flags": with_ctes([], ["pedidos"]) + "SELECT id_pedido, status, _batch::BIGINT AS _batch_id, _row_hash, _is_duplicate FROM bronze_pedidos",
+        "b10_malformed_rows": """
+            SELECT if(kind IN (3, 4), NULL, id) AS id_pedido, if(kind IN (3, 4), NULL, cust) AS cliente, CASE WHEN kind IN (1, 3, 4) THEN NULL WHEN kind = 2 THEN '' ELSE 'x; y' END AS nota,
+                   CASE WHEN kind IN (1, 3, 4) THEN NULL WHEN kind = 2 THEN '' ELSE price END AS total,
+                   CASE kind WHEN 3 THEN id || ';' || cust || ';a;b;c;' WHEN 4 THEN id || ';' || cust || ';"open;1' END AS quarantined
+            FROM (SELECT o_orderkey::VARCHAR AS id, o_custkey::VARCHAR AS cust, o_orderkey % 11 AS kind, floor(o_totalprice)::BIGINT::VARCHAR AS price FROM orders)""",
         "b08_schema_evolution_union": with_raw(loads_of("coletas")) + f"SELECT * REPLACE (_batch::BIGINT AS _batch) FROM ({appended})",
     }
 

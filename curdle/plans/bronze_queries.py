@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,12 @@ from curdle.functions.text import numeric_like
 from curdle.operators.dedup import flag_against_existing
 from curdle.plans.bronze import fixture_bronze, ingestion_log
 from curdle.plans.concurrency import run_all
+from curdle.plans.ingest import load_rows, read_bronze
+from curdle.session import scratch_path
+from curdle.sources.csv import CORRUPT, judge_rows
 from curdle.sources.fixtures import FIXTURE_FILES
-from curdle.sources.manifest import BRONZE_TABLES, COLLECTION_NUMERIC_LIKE, COLLECTION_WIDE_COLUMNS, MANIFEST
+from curdle.sources.manifest import BRONZE_TABLES, COLLECTION_NUMERIC_LIKE, COLLECTION_WIDE_COLUMNS, MANIFEST, spec_for_file
+from curdle.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,6 +119,37 @@ def b08_schema_evolution_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _union(parts).withColumn("_batch", F.col("_batch").cast("bigint"))
 
 
+def b09_rerun_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders loaded by the load path as runs 1 and 2, then run 1 once more: flags follow the order of runs."""
+    spec = spec_for_file("pedidos.csv")
+    warehouse = scratch_path(spark, f"curdle/b09-{uuid.uuid4().hex}")
+    raw = FIXTURE_FILES[spec.file](spark, sf_dir).withColumn(CORRUPT, F.lit(None).cast("string"))
+    for run in (1, 2, 1):
+        row = load_rows(spark, raw.where(F.col("_batch") == run).drop("_batch"), spec, warehouse, run)
+        if row["status"] != "SUCCESS":
+            raise RuntimeError(row["error_msg"])
+    return read_bronze(spark, warehouse, spec.table).select("id_pedido", "status", "_batch_id", "_row_hash", "_is_duplicate")
+
+
+_ORDER_LINE = ", ".join(f"{c} string" for c in ("id_pedido", "cliente", "nota", "total", CORRUPT))
+
+
+def b10_malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delimited lines of every order, some short, long or with an open quote: what loads, and what is set apart."""
+    k = F.col("o_orderkey")
+    head = F.concat(k.cast("string"), F.lit(";"), F.col("o_custkey").cast("string"))
+    line = (
+        F.when(k % 11 == 1, head)
+        .when(k % 11 == 2, F.concat(head, F.lit(";;")))
+        .when(k % 11 == 3, F.concat(head, F.lit(";a;b;c;")))
+        .when(k % 11 == 4, F.concat(head, F.lit(';"open;1')))
+        .otherwise(F.concat(head, F.lit(';"x; y";'), F.floor("o_totalprice").cast("string")))
+    )
+    options = {"sep": ";", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    lines = read_table(spark, sf_dir, "orders").select(F.from_csv(line, _ORDER_LINE, options).alias("r"))
+    return judge_rows(lines.select("r.*"), ";").withColumnRenamed("_quarantined", "quarantined")
+
+
 BRONZE_QUERIES: dict[str, Query] = {
     "b01_normalize_date": b01_normalize_date,
     "b02_numeric_like": b02_numeric_like,
@@ -123,4 +159,6 @@ BRONZE_QUERIES: dict[str, Query] = {
     "b06_incremental_hash_dedup": b06_incremental_hash_dedup,
     "b07_ingestion_log": b07_ingestion_log,
     "b08_schema_evolution_union": b08_schema_evolution_union,
+    "b09_rerun_flags": b09_rerun_flags,
+    "b10_malformed_rows": b10_malformed_rows,
 }

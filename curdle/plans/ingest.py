@@ -59,7 +59,7 @@ KEYS_SCHEMA = f"_row_hash string, _row_id bigint, {DUP} boolean, _batch_id bigin
 
 
 def has_rows(spark: SparkSession, warehouse: str, table: str) -> bool:
-    return files.any_match(spark, f"{table_path(warehouse, 'bronze', table)}/_batch_id=*")
+    return files.any_match(spark, f"{table_path(warehouse, 'bronze', table)}/_batch_id=*/_source_file=*")
 
 
 def read_bronze(spark: SparkSession, warehouse: str, table: str) -> DataFrame | None:

@@ -95,5 +95,5 @@ def judge_rows(df: DataFrame, delimiter: str = ",", keep_surplus: bool = False)
     broken = F.exists("_fields", lambda f: f.contains(_END) & (f != _END))
     df = df.withColumn("_n", F.when(F.col(CORRUPT).isNull(), F.lit(len(business))).when(F.coalesce(broken, F.lit(False)), F.lit(-1)).otherwise(n_fields))
     loads = (F.col("_n") >= 0) & (F.lit(keep_surplus) | (F.col("_n") <= len(business)))
-    fields = [F.when(F.col("_n") > i, F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias(c) for i, c in enumerate(business)]
+    fields = [F.when(loads & (F.col("_n") > i), F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias(c) for i, c in enumerate(business)]
     return df.select(*fields, F.when(~loads, F.col(CORRUPT)).alias("_quarantined"))

@@ -4,9 +4,9 @@ import os
 
 from pyspark.sql import functions as F
 
-from curdle.plans.ingest import load_file, read_bronze, read_log
+from curdle.plans.ingest import load_file, read_bronze, read_log, read_quarantine
 from curdle.sources import catalog
-from curdle.sources.csv import quarantine, read_delimited, well_formed
+from curdle.sources.csv import judge_rows, read_delimited
 from curdle.sources.manifest import spec_for_file
 
 
@@ -18,11 +18,14 @@ def write(path, text):
 
 def test_csv_scan_semantics(spark, scratch):
     p = os.path.join(scratch, "t.csv")
-    write(p, 'a;b;c\n1;;x\n2;"";y\n3;only\n4;p;q;r\n5;"1,5";z\n')
+    write(p, 'a;b;c\n1;;x\n2;"";y\n3;only\n4;p;q;r\n5;"1,5";z\n6;p;q;\n7\n8;"open;z\n9;;\n')
     raw = read_delimited(spark, p, ";")
-    good = {r.a: (r.b, r.c) for r in well_formed(raw).collect()}
-    assert good == {"1": ("", "x"), "2": ("", "y"), "5": ("1,5", "z")}  # empty field = '', quoted comma kept
-    assert sorted(r.raw_line for r in quarantine(raw).collect()) == ["3;only", "4;p;q;r"]
+    rows = {r.a: (r.b, r.c) for r in judge_rows(raw, ";").collect() if not r._quarantined}
+    # empty field = '', quoted comma kept, missing field = null
+    assert rows == {"1": ("", "x"), "2": ("", "y"), "3": ("only", None), "5": ("1,5", "z"), "7": (None, None), "9": ("", "")}
+    assert sorted(r._quarantined for r in judge_rows(raw, ";").collect() if r._quarantined) == ['4;p;q;r', '6;p;q;', '8;"open;z']
+    wide = {r.a: (r.b, r.c) for r in judge_rows(raw, ";", keep_surplus=True).collect() if not r._quarantined}
+    assert wide == rows | {"4": ("p", "q"), "6": ("p", "q")}
     assert read_delimited(spark, os.path.join(scratch, "missing.csv")) is None
 
 
@@ -32,20 +35,21 @@ def test_load_is_idempotent_and_second_copy_is_flagged(spark, scratch):
         os.path.join(raw_dir, "pedidos.csv"),
         "id_pedido,id_cliente,data_pedido,status,canal,desconto_pct\n"
         "1,10,05/01/2024,Faturado,Direto,\n2,11,2024-01-06,Cancelado,Direto,5\n2,11,2024-01-06,Cancelado,Direto,5\n"
-        "3,12, 1/2/24 ,x,y,z\n4,13\n",
+        "3,12, 1/2/24 ,x,y,z\n4,13\n5,1,2,3,4,5,6\n",
     )
     spec = spec_for_file("pedidos.csv")
     row = load_file(spark, raw_dir, spec, wh, 1)
     assert row["status"] == "SUCCESS"
-    assert (row["rows_read"], row["rows_inserted"], row["rows_skipped"], row["rows_quarantined"]) == (4, 3, 1, 1)
+    assert (row["rows_read"], row["rows_inserted"], row["rows_skipped"], row["rows_quarantined"]) == (5, 4, 1, 1)
     assert row["rows_read"] == row["rows_inserted"] + row["rows_skipped"]
     # re-running the same load replaces its own partition: same table
     again = load_file(spark, raw_dir, spec, wh, 1)
-    assert (again["rows_inserted"], again["rows_skipped"]) == (3, 1)
-    assert read_bronze(spark, wh, "pedidos").count() == 4
+    assert (again["rows_inserted"], again["rows_skipped"]) == (4, 1)
+    assert read_bronze(spark, wh, "pedidos").count() == 5
+    assert [(r.raw_line, r._batch_id, r._source_file) for r in read_quarantine(spark, wh).collect()] == [("5,1,2,3,4,5,6", 1, "pedidos.csv")]
     # the same file in a later run inserts nothing
     later = load_file(spark, raw_dir, spec, wh, 2)
-    assert (later["rows_read"], later["rows_inserted"], later["rows_skipped"]) == (4, 0, 4)
+    assert (later["rows_read"], later["rows_inserted"], later["rows_skipped"]) == (5, 0, 5)
     bronze = read_bronze(spark, wh, "pedidos")
     dates = {r.id_pedido: r.data_pedido for r in bronze.where("_batch_id = 1").collect()}
     assert dates["1"] == "2024-01-05" and dates["3"] == "24-02-01"  # bronze date normalisation
@@ -55,12 +59,78 @@ def test_load_is_idempotent_and_second_copy_is_flagged(spark, scratch):
     assert log[0].ingested_at <= log[-1].ingested_at
 
 
-def test_failed_file_is_logged_and_missing_file_skipped(spark, scratch):
-    raw_dir, wh = os.path.join(scratch, "raw"), os.path.join(scratch, "wh")
-    assert load_file(spark, raw_dir, spec_for_file("rotas.csv"), wh, 1) is None
-    write(os.path.join(raw_dir, "rotas.csv"), "")  # no header at all
-    row = load_file(spark, raw_dir, spec_for_file("rotas.csv"), wh, 1)
-    assert row is None or row["status"] in ("ERROR", "SUCCESS")
+ROTAS = "id_rota,nome_rota,municipio_origem,km_total,veiculo_tipo,ativa\n"
+
+
+def _load(spark, scratch, run, ids, wh):
+    folder = os.path.join(scratch, f"run{run}-{len(ids)}")
+    write(os.path.join(folder, "rotas.csv"), ROTAS + "".join(f"{i},R{i},T,1.0,x,sim\n" for i in ids))
+    return load_file(spark, folder, spec_for_file("rotas.csv"), wh, run)
+
+
+def _silver(spark, wh):
+    from curdle.plans.silver import stg_rotas
+
+    return sorted(r.id_rota for r in stg_rotas(read_bronze(spark, wh, "rotas")).collect())
+
+
+def test_rerun_of_an_older_run_keeps_silver(spark, scratch):
+    from curdle.plans.pipeline import compact_bronze
+
+    wh = os.path.join(scratch, "wh")
+    _load(spark, scratch, 1, [1, 2], wh)
+    _load(spark, scratch, 2, [1, 2, 3], wh)
+    assert _silver(spark, wh) == [1, 2, 3]
+    assert _load(spark, scratch, 1, [1, 2], wh)["rows_skipped"] == 0
+    assert _silver(spark, wh) == [1, 2, 3]
+    # A corrected older run: what it no longer holds is first in the later run now.
+    _load(spark, scratch, 1, [2], wh)
+    flags = {(r._batch_id, r.id_rota): r._is_duplicate for r in read_bronze(spark, wh, "rotas").collect()}
+    assert flags == {(1, "2"): False, (2, "1"): False, (2, "2"): True, (2, "3"): False}
+    assert compact_bronze(spark, wh, "rotas") == 1
+    assert _silver(spark, wh) == [1, 2, 3]
+
+
+def test_header_only_file_loads_nothing(spark, scratch):
+    wh = os.path.join(scratch, "wh")
+    row = _load(spark, scratch, 1, [], wh)
+    assert (row["status"], row["rows_read"], row["rows_inserted"], row["rows_skipped"]) == ("SUCCESS", 0, 0, 0)
+    assert read_bronze(spark, wh, "rotas") is None
+    _load(spark, scratch, 1, [1, 2], wh)
+    assert read_bronze(spark, wh, "rotas").count() == 2
+    assert _load(spark, scratch, 1, [], wh)["rows_read"] == 0
+    assert read_bronze(spark, wh, "rotas") is None  # the re-run replaced the load's rows by none
+
+
+def test_failed_load_is_logged_and_missing_file_skipped(spark, scratch, monkeypatch):
+    wh = os.path.join(scratch, "wh")
+    assert load_file(spark, scratch, spec_for_file("rotas.csv"), wh, 1) is None
+
+    def broken(*_):
+        raise ValueError("x" * 5000)
+
+    monkeypatch.setattr("curdle.plans.ingest.normalize_rows", broken)
+    row = _load(spark, scratch, 1, [1], wh)
+    assert (row["status"], row["rows_read"], row["error_msg"]) == ("ERROR", None, "x" * 5000)
+    logged = read_log(spark, wh).collect()
+    assert [(r.status, r.error_msg, r.rows_read) for r in logged] == [("ERROR", "x" * 5000, None)]
+
+
+def test_load_time_is_the_same_instant_in_any_zone(spark, scratch):
+    import datetime as dt
+    import time
+
+    wh = os.path.join(scratch, "wh")
+    old = os.environ.get("TZ")
+    os.environ["TZ"] = "America/Sao_Paulo"
+    time.tzset()
+    try:
+        _load(spark, scratch, 1, [1], wh)
+        seconds = read_bronze(spark, wh, "rotas").select(F.unix_timestamp("_ingested_at")).first()[0]
+    finally:
+        os.environ.pop("TZ") if old is None else os.environ.update(TZ=old)
+        time.tzset()
+    assert abs(seconds - dt.datetime.now(dt.timezone.utc).timestamp()) < 300
 
 
 def test_catalog_layers_and_listing(spark, scratch):

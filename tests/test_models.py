@@ -17,6 +17,7 @@ T1 = dt.datetime(2024, 1, 2)
 
 def bronze(spark, rows, cols):
     df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols) + ", _ingested_at timestamp, _is_duplicate boolean")
+    df = df.withColumn("_batch_id", F.dayofmonth("_ingested_at").cast("bigint")).withColumn("_row_id", F.monotonically_increasing_id())
     return df.withColumn("_row_hash", row_hash(cols)).withColumn("_source_file", F.lit("f.csv"))
 
 
@@ -36,11 +37,25 @@ def test_orders_rule_reads_raw_date_and_latest_wins(spark):
     assert s[2].data_pedido is None and s[2]._dq_ok is True and s[2].status == "ENTREGUE"
 
 
-def test_equal_load_time_tie_is_stable(spark):
-    rows = [("7", "1", "2024-01-01", "A", "c", "", T0, False), ("7", "1", "2024-01-01", "B", "c", "", T0, False)]
+def test_last_row_of_the_last_run_wins(spark):
+    rows = [("7", "1", "2024-01-01", s, "c", "", T0, False) for s in ("A", "Z", "B")]
     b = bronze(spark, rows, ORDER_COLS)
-    picks = {stg_pedidos(b.repartition(n)).first().status for n in (1, 2, 3)}
-    assert len(picks) == 1  # same pick whatever the partitioning
+    assert {stg_pedidos(b.repartition(n)).first().status for n in (1, 2, 3)} == {"B"}
+    # Never by the clock: run 1 loaded again, later than run 2, stays before it.
+    again = b.withColumn("_batch_id", F.lit(1).cast("bigint")).withColumn("_ingested_at", F.lit(T1))
+    newer = bronze(spark, [("7", "1", "2024-01-01", "run 2", "c", "", T0, False)], ORDER_COLS).withColumn("_batch_id", F.lit(2).cast("bigint"))
+    assert stg_pedidos(again.unionByName(newer)).first().status == "RUN 2"
+
+
+def test_discount_keeps_all_decimals(spark):
+    pedidos = spark.createDataFrame(
+        [(i, dt.date(2024, 1, 5), "FATURADO", D("0.0333"), True) for i in range(3)],
+        "id_pedido long, data_pedido date, status string, desconto_pct decimal(18,4), _dq_ok boolean",
+    )
+    itens = spark.createDataFrame([(i, D("0.0007"), True) for i in range(3)], "id_pedido long, valor_total decimal(18,4), _dq_ok boolean")
+    r = gold.receita_mensal(pedidos, itens).first()
+    assert r.desconto_total == D("0.0007") * D("0.0333") * 3 / 100
+    assert r.receita_liquida == D("0.0021") - r.desconto_total
 
 
 def test_strict_and_lenient_casts(spark):

@@ -10,7 +10,8 @@ from curdle.plans.ingest import read_log
 from curdle.plans.queries import all_queries
 from curdle.plans.silver import comparable
 from curdle.sources import catalog
-from curdle.sources.fixtures import write_fixture_files
+from curdle.functions.numeric import as_doubles
+from fixture_files import write_fixture_files
 
 
 def rows(df):
@@ -37,7 +38,7 @@ def test_log_counts(spark, warehouse):
     per = {(r.source_file, r._batch_id): r for r in log.collect()}
     assert len(per) == 15  # 14 files in run 1, orders + layout C in run 2 ... minus C's absence in run 1
     assert per[("pedidos.csv", 2)].rows_skipped > 0  # unchanged re-sent orders are flagged
-    assert catalog.list_tables(spark, "bronze")[:2] == sorted(catalog.list_tables(spark, "bronze"))[:2]
+    assert {"pedidos", "coletas", "ingestion_log"} <= set(catalog.list_tables(spark, "bronze"))
 
 
 @pytest.mark.parametrize("model,key", [("stg_pedidos", "s07_pedidos"), ("stg_coletas", "s03_coletas"), ("stg_itens_pedido", "s08_itens_pedido")])
@@ -56,7 +57,7 @@ def test_silver_equals_query_path(spark, warehouse, model, key):
     ],
 )
 def test_gold_equals_query_path(spark, warehouse, mart, key):
-    written = spark.read.parquet(catalog.table_path(warehouse, "gold", mart))
+    written = as_doubles(spark.read.parquet(catalog.table_path(warehouse, "gold", mart)))
     expected = all_queries()[key](spark, SF_SMALL)
     assert rows(written) == rows(expected)
 
@@ -65,7 +66,8 @@ def test_quality_summary(spark, warehouse):
     res = spark.read.parquet(catalog.table_path(warehouse, "gold", "dq_test_results"))
     assert res.count() == 48
     got = {(r.model, r.column_name, r.test): r.status for r in res.collect()}
-    assert got[("stg_custos", "centro_custo", "accepted_values")] == "fail"  # mixed-case centres vs declared list
+    assert got[("stg_custos", "centro_custo", "accepted_values")] == "pass"  # the list is spelt as the data is
+    assert got[("stg_coletas", "volume_litros", "not_null")] == "warn"
     assert got[("stg_pedidos", "id_pedido", "unique")] == "pass"
     expected = all_queries()["q05_suite_summary"](spark, SF_SMALL)
     assert rows(res.select(*expected.columns)) == rows(expected)
@@ -73,7 +75,7 @@ def test_quality_summary(spark, warehouse):
 
 def test_day_grain_shares_sum_to_100(spark, warehouse):
     mart = spark.read.parquet(catalog.table_path(warehouse, "gold", "mart_perdas_consolidado"))
-    per_month = mart.groupBy("mes").agg(F.sum("pct_valor_no_mes").alias("s"), F.count("*").alias("n")).collect()
+    per_month = mart.groupBy("mes").agg(F.sum(F.col("pct_valor_no_mes").cast("double")).alias("s"), F.count("*").alias("n")).collect()
     for r in per_month:
         assert abs(r.s - 100.0) <= 0.005 * r.n + 1e-9
 

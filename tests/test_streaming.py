@@ -30,3 +30,35 @@ def test_available_now_loads_new_files_once(spark, scratch):
     assert bronze.count() == 4
     assert bronze.where("_is_duplicate").count() == 1
     assert [r.status for r in read_log(spark, wh).collect()] == ["SUCCESS", "SUCCESS"]
+
+
+def test_failed_micro_batch_is_taken_again(spark, scratch, monkeypatch):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    from curdle.plans import ingest
+
+    raw, wh = os.path.join(scratch, "raw"), os.path.join(scratch, "wh")
+    spec = spec_for_file("rotas.csv")
+    write(os.path.join(raw, "rotas.csv", "part-1.csv"), "id_rota,nome_rota\n1,R1\n")
+
+    def broken(*_):
+        raise ValueError("injected")
+
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "normalize_rows", broken)
+        with pytest.raises(StreamingQueryException):
+            ingest_available(spark, raw, [spec], wh)
+    assert read_bronze(spark, wh, "rotas") is None
+    ingest_available(spark, raw, [spec], wh)
+    assert read_bronze(spark, wh, "rotas").count() == 1
+
+
+def test_warehouses_do_not_share_progress(spark, scratch):
+    raw = os.path.join(scratch, "raw")
+    spec = spec_for_file("rotas.csv")
+    write(os.path.join(raw, "rotas.csv", "part-1.csv"), "id_rota,nome_rota\n1,R1\n")
+    for name in ("wh1", "wh2"):
+        wh = os.path.join(scratch, name)
+        ingest_available(spark, raw, [spec], wh)
+        assert read_bronze(spark, wh, "rotas").count() == 1
