@@ -236,7 +236,8 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ngram
     entries = sets.select("sid", "n", F.explode(F.arrays_zip("tokens", "places")).alias("e")).select(
         "sid", "n", F.col("e.tokens").alias("token"), F.col("e.places").alias("place")
     )
-    sizes = entries.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
+    # Written, so that both sides of the join are shuffles of their own and a frequent token's rows can be split.
+    sizes = materialize(entries.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"), "line-tokens")
     met = in_block_pairs(entries.join(sizes, "token"), "token", "size", FILTER_BLOCK).select("pair", "side", "sid", "n", "place")
     forest = run_pairs(met, _filter_forest(threshold), "a long, b long")
     found = materialize(connected_components(forest, "line-candidates"), "line-candidates")
@@ -249,7 +250,7 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ngram
     grams = _grams(texts, ngram).join(candidates, "sid")
     blocks = in_block_pairs(grams, "comp", "size", VERIFY_BLOCK).select("pair", "side", "sid", "has_id", "doc_id", "th", "line", "grams")
     later = run_pairs(blocks, _verify(threshold), "sid long").distinct().select("sid", F.lit(True).alias("later"))
-    decided = sets.select("sid", "at").join(later, "sid", "left")
+    decided = materialize(sets.select("sid", "at").join(later, "sid", "left"), "line-decisions")
     judged = lines.select("doc_id", "th", "line", "sid").join(decided, "sid", "left")
     gone = F.coalesce(F.col("later"), F.lit(False)) | ~place.eqNullSafe(F.col("at"))
     judged = judged.select("doc_id", "th", "line", F.when((F.col("line") >= 0) & gone, F.col("line")).alias("gone"))
