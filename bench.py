@@ -19,6 +19,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -44,7 +45,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
-    extra = {"spark.driver.memory": "16g"}
+    extra = {"spark.driver.memory": "16g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="curdle-bench-")}
     if os.environ.get("BENCH_EVENTLOG"):
         extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENTLOG"]})
     spark = build_session(f"local[{cpus}]", app_name="curdle-bench", shuffle_partitions=cpus * 2, extra_conf=extra)

@@ -1,4 +1,5 @@
-"""Fixture SQL (DuckDB dialect) — the dirty projections documented in FIXTURES.md §2.
+"""Fixture SQL (DuckDB dialect) — the dirty projections of FIXTURES.md §2, with more faults: dates that cannot be read,
+collections over ten weeks, every line item as a loss, a value with the hash's separator byte, and names of their own.
 
 Used only by the oracle; the Spark side builds the same files with the DataFrame API
 (curdle.sources.fixtures)."""
