@@ -22,22 +22,30 @@ table gives an empty index.
 
 from __future__ import annotations
 
+import json
+import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from curdle.llm import bpe
+
 _HEADER = struct.Struct("<BBBq")
 _VERSION = 1
 #: Text bytes a shard is made for; a longer document fills one alone.
 SHARD_BYTES = 8 << 20
 #: Texts encoded together.
 GROUP_CHARS = 1 << 20
+#: Units in each of an encoder's two tables, the current one and the one before.
+TABLE = 1 << 18
 
 
 def masked(crc: int) -> int:
@@ -45,8 +53,83 @@ def masked(crc: int) -> int:
     return (((crc >> 15) | (crc << 17)) + 0xA282EAD8) & 0xFFFFFFFF
 
 
-def frame(doc_id: int | None, ids: np.ndarray, width: int) -> bytes:
-    payload = _HEADER.pack(_VERSION, width, doc_id is not None, doc_id or 0) + ids.astype(f"<u{width}").tobytes()
+class Encoder:
+    """Ids of whole texts by the tokenizers library, as little-endian bytes, each distinct unit encoded once.
+
+    A space before a character that is no white space always begins a pre-token of a
+    byte-level tokenizer, and a lone line break is one, so a text is cut there and each unit (" word,") is split
+    by that tokenizer's pattern and encoded by the library's model. Units and pieces are
+    kept in bounded tables. Texts where units would not stand
+    alone (white space after white space, or at the end, a special string, a null
+    character) go through the library whole, as do all texts of other tokenizers.
+    """
+
+    def __init__(self, spec: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+        from tokenizers import Tokenizer
+
+        self.t = Tokenizer.from_str(spec)
+        self.t.no_truncation()
+        self.t.no_padding()
+        small = self.t.get_vocab_size(with_added_tokens=True) <= 1 << 16
+        self.width, self.code = (2, "H") if small else (4, "I")
+        j = json.loads(spec)
+        specials = [re.escape(x["content"]) for x in j.get("added_tokens", [])]
+        byte_level = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        plain = byte_level.items() <= (j.get("pre_tokenizer") or {}).items() and not j.get("normalizer") and not j.get("post_processor")
+        self.whole = re.compile("|".join([r"\s(?:\s|\Z)", "\0", *specials])) if plain else re.compile("")
+        self.table: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.split, self.symbols = regex.compile(bpe.SPLIT).findall, dict(enumerate(bpe.byte_symbols()))
+
+    def _by_library(self, texts: list[str]) -> list[bytes]:
+        return [array(self.code, found.ids).tobytes() for found in self.t.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            if len(self.pieces) > TABLE:
+                self.pieces.clear()
+            symbols = piece.encode().decode("latin-1").translate(self.symbols)
+            self.pieces[piece] = ids = array(self.code, [token.id for token in self.t.model.tokenize(symbols)]).tobytes()
+        return ids
+
+    def _unit(self, unit: str) -> bytes:
+        """A unit is split by the byte-level pattern, and the library's model encodes each distinct piece."""
+        last = unit[-1:]
+        if last in ".," and unit[-2:-1].isalpha():  # a mark after a letter always is a piece of its own
+            return self._unit(unit[:-1]) + self._piece(last)
+        if unit[:1] == " " and unit[1:].isalpha():  # a space and letters are one piece
+            return self._piece(unit)
+        return b"".join(map(self._piece, self.split(unit)))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        units = [None if self.whole.search(t) else t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") for t in texts]
+        if len(self.table) > TABLE:  # units in use come over from the table before
+            self.before, self.table = self.table, {}
+        new = {u for many in units if many for u in many if u not in self.table}
+        met = {u: self.before[u] for u in new if u in self.before}
+        self.table.update(met)
+        self.table.update((u, self._unit(u)) for u in new if u not in met)
+        known = self.table.__getitem__
+        return [self._by_library([t])[0] if many is None else b"".join(map(known, many)) for t, many in zip(texts, units)]
+
+
+_encoders: dict[int, Encoder] = {}
+
+
+def encoder_for(spec: str) -> Encoder:
+    """This worker's encoder; it stays for the worker's next tasks."""
+    key = zlib.crc32(spec.encode())
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(spec)
+    return _encoders[key]
+
+
+def frame(doc_id: int | None, ids: bytes, width: int) -> bytes:
+    payload = _HEADER.pack(_VERSION, width, doc_id is not None, doc_id or 0) + ids
     length = struct.pack("<Q", len(payload))
     return b"".join((length, struct.pack("<I", masked(zlib.crc32(length))), payload, struct.pack("<I", masked(zlib.crc32(payload)))))
 
@@ -68,7 +151,7 @@ def read_frame(content: bytes, at: int) -> tuple[int | None, np.ndarray, int]:
     size = struct.unpack("<Q", length)[0]
     payload = content[at + 12 : at + 12 + size]
     end = at + 16 + size
-    if len(payload) < size or struct.unpack_from("<I", content, end - 4)[0] != masked(zlib.crc32(payload)) or content[end] != 0x0A:
+    if len(payload) < size or struct.unpack_from("<I", content, end - 4)[0] != masked(zlib.crc32(payload)) or content[end : end + 1] != b"\n":
         raise ValueError(f"payload checksum fails at offset {at}")
     version, width, has_id, doc_id = _HEADER.unpack_from(payload)
     if version != _VERSION:
@@ -85,15 +168,8 @@ def write_records(docs: DataFrame, spec: str, path: str, id_col: str = "doc_id",
     shipped = spark.sparkContext.broadcast(spec)  # a tokenizer file: its size does not grow with the data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
-
-        t = Tokenizer.from_str(shipped.value)
-        t.no_truncation()
-        t.no_padding()
-        width = 2 if t.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        encoder = encoder_for(shipped.value)
+        end = array(encoder.code, [end_id]).tobytes()
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
             at = 0
@@ -102,9 +178,7 @@ def write_records(docs: DataFrame, spec: str, path: str, id_col: str = "doc_id",
                 while at + len(group) < len(ids) and chars < GROUP_CHARS:
                     group.append(texts[at + len(group)].as_py())
                     chars += len(group[-1])
-                out = []
-                for doc_id, found in zip(ids[at : at + len(group)], t.encode_batch_fast(group, add_special_tokens=False)):
-                    out.append(frame(doc_id, np.array([*found.ids, end_id], dtype=np.uint32), width))
+                out = [frame(doc_id, found + end, encoder.width) for doc_id, found in zip(ids[at : at + len(group)], encoder.encode(group))]
                 at += len(group)
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
 

@@ -128,13 +128,26 @@ def test_records_round_trip(spark, scratch, library):
     assert sorted((str(r.doc_id), r.ids) for r in shuffled) == sorted((str(i), x) for i, many in by_id.items() for x in many)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="ab ' s\n\t.1é\x85\u3000漢\x1c", max_size=60), max_size=4))
+def test_units_make_no_difference(texts):
+    if not _encoder:
+        _encoder.append(records.Encoder(bpe.read_spec(PATH)))
+    _, library = _pair()
+    texts = [*texts, *("<|endoftext|>".join(texts[:2]) for _ in range(1))]
+    assert [np.frombuffer(b, "<u2").tolist() for b in _encoder[0].encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+_encoder = []
+
+
 def test_records_of_an_empty_table(spark, scratch):
     records.write_records(_docs(spark, []), bpe.read_spec(PATH), f"{scratch}/shards")
     assert records.with_starts(records.build_index(spark, f"{scratch}/shards", f"{scratch}/index")).collect() == []
 
 
 def test_damaged_frames_are_noticed():
-    whole = records.frame(7, np.arange(5), 2) + b"\n"
+    whole = records.frame(7, np.arange(5, dtype="<u2").tobytes(), 2) + b"\n"
     assert [(d, ids.tolist()) for _, _, d, ids in records.frames(whole * 2)] == [(7, [0, 1, 2, 3, 4])] * 2
     for at in range(len(whole)):
         broken = whole[:at] + bytes([whole[at] ^ 1]) + whole[at + 1 :]
