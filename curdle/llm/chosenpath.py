@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from curdle.llm import kernels as K
 from curdle.llm.components import connected_components
-from curdle.llm.setblocks import in_block_pairs, labels, run_pairs, similar
+from curdle.llm.setblocks import Group, in_block_pairs, labels, run_pairs, similar
 from curdle.operators.materialize import materialize
 
 NGRAM = 5
@@ -168,48 +168,75 @@ def _leaves(sets: DataFrame, limit: int) -> DataFrame:
     return out
 
 
+def _least_equal(threshold: float) -> float:
+    return (threshold - 4 * math.sqrt(threshold * (1 - threshold) / SKETCH)) * SKETCH
+
+
+def _sketch_twos(threshold: float):
+    """The buckets of two sets whose sketches and sizes allow the similarity."""
+    least = _least_equal(threshold)
+
+    def work(rows: Group, i: np.ndarray, j: np.ndarray) -> tuple:
+        n, a, b = rows["n"].astype(np.float64), rows["sid"][i], rows["sid"][j]
+        good = (a != b) & (np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]))
+        good &= (rows["sketch"][i] == rows["sketch"][j]).sum(axis=1) >= least
+        return np.maximum(a, b)[good], np.minimum(a, b)[good]
+
+    return work
+
+
 def _sketch_forest(threshold: float):
-    least = threshold - 4 * math.sqrt(threshold * (1 - threshold) / SKETCH)
-
-    def work(group: pa.Table) -> Iterator[pa.RecordBatch]:
-        sid, at = np.unique(group.column("sid").to_numpy(), return_index=True)
-        side = group.column("side").to_numpy()[at]
-        flat = b"".join(group.column("sketch")[int(i)].as_py() for i in at)
-        sketch = np.frombuffer(flat, dtype=np.uint16).reshape(len(sid), SKETCH)
-        n = group.column("n").to_numpy()[at].astype(np.float64)
+    """A spanning forest of the sets of a bucket whose sketches and sizes allow the similarity."""
+    least = _least_equal(threshold)
+
+    def work(group: Group) -> tuple | None:
+        sid, at = np.unique(group["sid"], return_index=True)
+        if len(sid) < 2:
+            return None
+        side, sketch, n = group["side"][at], group["sketch"][at], group["n"][at].astype(np.float64)
         cross = side.any() and not side.all()
-        label = np.arange(len(sid))
-        for lo in range(0, len(sid), 64):
-            rows = np.arange(lo, min(lo + 64, len(sid)))
-            # Only pairs that are not yet connected need comparing.
-            one = (label[rows] == label[rows[0]]).all()
-            cols = np.flatnonzero(label != label[rows[0]]) if one else np.arange(len(sid))
-            if not len(cols):
-                continue
-            equal = np.zeros((len(rows), len(cols)), dtype=np.int16)
-            for i in range(SKETCH):
-                equal += sketch[rows, i][:, None] == sketch[cols, i][None, :]
-            near = equal >= least * SKETCH
-            near &= np.minimum(n[rows][:, None], n[cols][None, :]) >= threshold * np.maximum(n[rows][:, None], n[cols][None, :])
+
+        def near(rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+            small, large = np.minimum(n[rows][:, None], n[cols][None, :]), np.maximum(n[rows][:, None], n[cols][None, :])
+            found = small >= threshold * large
             if cross:
-                near &= side[rows][:, None] != side[cols][None, :]
-            for r in np.flatnonzero(near.any(axis=1)):
-                met = np.unique(np.append(label[cols[near[r]]], label[rows[r]]))
-                if len(met) > 1:
-                    label[np.isin(label, met)] = met[0]
-        moved = np.flatnonzero(label != np.arange(len(sid)))
-        if len(moved):
-            yield pa.RecordBatch.from_arrays([pa.array(sid[moved]), pa.array(sid[label[moved]])], names=["a", "b"])
+                found &= side[rows][:, None] != side[cols][None, :]
+            i, j = np.nonzero(found)
+            for k in range(0, len(i), 1 << 15):
+                part = slice(k, k + (1 << 15))
+                found[i[part], j[part]] = (sketch[rows[i[part]]] == sketch[cols[j[part]]]).sum(axis=1) >= least
+            return found
+
+        every = np.arange(len(sid))
+        if len(sid) <= 64:
+            label = labels(near(every, every))
+        else:
+            label = every.copy()
+            for lo in range(0, len(sid), 64):
+                rows = every[lo : lo + 64]
+                # Only pairs that are not yet connected need comparing.
+                one = (label[rows] == label[rows[0]]).all()
+                cols = np.flatnonzero(label != label[rows[0]]) if one else every
+                if not len(cols):
+                    continue
+                found = near(rows, cols)
+                for r in np.flatnonzero(found.any(axis=1)):
+                    met = np.unique(np.append(label[cols[found[r]]], label[rows[r]]))
+                    if len(met) > 1:
+                        label[np.isin(label, met)] = met[0]
+        moved = np.flatnonzero(label != every)
+        return (sid[moved], sid[label[moved]]) if len(moved) else None
 
     return work
 
 
 def _verify(threshold: float):
-    def work(group: pa.Table) -> Iterator[pa.RecordBatch]:
-        sid, at = np.unique(group.column("sid").to_numpy(), return_index=True)
+    """Links of each set to the others of its two blocks (in documents), and the root of its links' component."""
+
+    def work(group: Group) -> tuple:
+        sid, at = np.unique(group["sid"], return_index=True)
         linked = similar(group, at, "grams", threshold)
-        links = linked @ group.column("copies").to_numpy()[at]
-        yield pa.RecordBatch.from_arrays([pa.array(sid), pa.array(links.astype(np.int64)), pa.array(sid[labels(linked)])], names=["sid", "links", "root"])
+        return sid, (linked @ group["copies"][at]).astype(np.int64), sid[labels(linked)]
 
     return work
 
@@ -253,7 +280,7 @@ def jaccard_classes(
     leaves = _leaves(sets, limit)
     members = in_block_pairs(leaves, "path", "size", SKETCH_BLOCK).select("pair", "side", "sid")
     members = members.join(sets.select("sid", "n", "sketch"), "sid").select("pair", "side", "sid", "n", "sketch")
-    forest = run_pairs(members, _sketch_forest(threshold), "a long, b long")
+    forest = run_pairs(members, _sketch_forest(threshold), "a long, b long", _sketch_twos(threshold), sketch=2 * SKETCH)
     found = materialize(connected_components(forest, "candidates"), "candidates")
     sizes = found.groupBy("root").agg(F.count("*").alias("size"))
     candidates = found.join(sizes, "root").join(sets.select(F.col("sid").alias("node"), "rep", "copies"), "node")

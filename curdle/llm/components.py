@@ -36,8 +36,10 @@ def _state(edges: DataFrame) -> tuple:
 
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, root) for every node of an edge (a, b), root the smallest node of its component. Loops are nodes without edges."""
+    # Written first: nodes and edges are read from the same rows, however dear these were.
+    edges = materialize(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).distinct(), name)
     nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    now = materialize(edges.where("a <> b").select(F.col("a").cast("long"), F.col("b").cast("long")).distinct(), name)
+    now = edges.where("a <> b")
     state = _state(now)
     while state[0]:
         now = materialize(_small_star(_large_star(now)), name)

@@ -24,26 +24,63 @@ def in_block_pairs(members: DataFrame, key: str, size: str, block: int) -> DataF
     return wide.withColumn("pair", pair).withColumn("side", (F.col("_own") > F.col("_other")).cast("int")).drop("_blocks", "_own", "_other")
 
 
-def run_pairs(members: DataFrame, work: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """Bring the rows of each ``pair`` (the first column) together and apply ``work`` to them."""
+Group = dict[str, np.ndarray]
+
+
+def _column(column: pa.Array, width: int) -> np.ndarray:
+    """Numbers as they are; binary as 16-bit rows where its width is fixed, else as bytes objects."""
+    if not pa.types.is_binary(column.type):
+        return (column.fill_null(0) if column.null_count else column).to_numpy(zero_copy_only=False)
+    if width:
+        at = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset]
+        return np.frombuffer(column.buffers()[2], dtype=np.uint8)[at : at + width * len(column)].view(np.uint16).reshape(len(column), -1)
+    out = np.empty(len(column), dtype=object)
+    out[:] = column.to_pylist()
+    return out
+
+
+def run_pairs(
+    members: DataFrame, work: Callable[[Group], tuple | None], schema: str, twos: Callable[[Group, np.ndarray, np.ndarray], tuple] | None = None, **widths: int
+) -> DataFrame:
+    """Bring the rows of each ``pair`` (a column) together and apply ``work`` to their columns; it gives the output's columns.
+
+    ``twos``, if given, does all groups of two rows of a batch at once (their first and second row numbers).
+    ``widths`` names binary columns of a fixed width, which become matrices.
+    """
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns, names = members.columns, [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        now = None
+        held: Group | None = None
+
+        def apply(rows: Group, last: bool):
+            cut = [0, *(np.flatnonzero(rows["pair"][1:] != rows["pair"][:-1]) + 1), len(rows["pair"])]
+            done = len(cut) - 1 if last else len(cut) - 2
+            groups, found = zip(cut[:done], cut[1:]), []
+            if twos is not None:
+                start, size = np.array(cut[:done], dtype=np.int64), np.diff(cut[: done + 1])
+                first = start[size == 2]
+                if len(first):
+                    found.append(twos(rows, first, first + 1))
+                groups = zip(start[size > 2], (start + size)[size > 2])
+            found += [x for a, b in groups if (x := work({k: v[a:b] for k, v in rows.items()})) is not None]
+            out = [pa.array(np.concatenate(c)) for c in zip(*found)]
+            # The last group of a batch may go on; it is at most two blocks.
+            return pa.RecordBatch.from_arrays(out, names=names) if out else None, {k: v[cut[done] :] for k, v in rows.items()}
+
         for batch in batches:
             if not batch.num_rows:
                 continue
-            pair = batch.column(0).to_numpy()
-            cut = [0, *(np.flatnonzero(pair[1:] != pair[:-1]) + 1), len(pair)]
-            for a, b in zip(cut, cut[1:]):
-                if held and now != pair[a]:
-                    yield from work(pa.Table.from_batches(held).combine_chunks())
-                    held = []
-                now = pair[a]
-                held.append(batch.slice(a, b - a))
-        if held:
-            yield from work(pa.Table.from_batches(held).combine_chunks())
+            rows = {c: _column(batch.column(i), widths.get(c, 0)) for i, c in enumerate(columns)}
+            if held is not None:
+                rows = {c: np.concatenate([held[c], rows[c]]) for c in columns}
+            out, held = apply(rows, False)
+            if out is not None:
+                yield out
+        if held is not None:
+            out, _ = apply(held, True)
+            if out is not None:
+                yield out
 
     return members.repartition(parts, "pair").sortWithinPartitions("pair").mapInArrow(run, schema)
 
@@ -60,12 +97,6 @@ def labels(links: np.ndarray) -> np.ndarray:
         label = new
 
 
-def unpack(column: pa.ChunkedArray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(borders, tokens) of the sets that a binary column holds as 64-bit tokens."""
-    sets = [np.frombuffer(column[int(i)].as_py(), dtype=np.uint64) for i in rows]
-    return np.concatenate([[0], np.cumsum([len(s) for s in sets])]), np.concatenate(sets)
-
-
 def overlaps(first: np.ndarray, tokens: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
     """Sizes of the intersections of every row set with every column set."""
     owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
@@ -89,15 +120,18 @@ def overlaps(first: np.ndarray, tokens: np.ndarray, rows: np.ndarray, cols: np.n
     return total
 
 
-def similar(group: pa.Table, at: np.ndarray, tokens: str, threshold: float) -> np.ndarray:
+def similar(group: Group, at: np.ndarray, tokens: str, threshold: float) -> np.ndarray:
     """Symmetric matrix of the pairs whose Jaccard similarity is at least ``threshold``; of two blocks, only pairs across."""
-    side = group.column("side").to_numpy()[at]
-    first, flat = unpack(group.column(tokens), at)
-    n = np.diff(first)
+    side = group["side"][at]
+    sets = [np.frombuffer(x, dtype=np.uint64) for x in group[tokens][at]]
+    n = np.array([len(x) for x in sets])
+    if len(sets) == 2:
+        both = len(np.intersect1d(*sets, assume_unique=True))
+        return np.array([[False, True], [True, False]]) & (both >= threshold * (n.sum() - both) - 1e-6)
     cross = side.any() and not side.all()
     rows = np.flatnonzero(side == 0) if cross else np.arange(len(at))
     cols = np.flatnonzero(side == 1) if cross else rows
-    both = overlaps(first, flat, rows, cols)
+    both = overlaps(np.concatenate([[0], np.cumsum(n)]), np.concatenate(sets), rows, cols)
     whole = np.zeros((len(at), len(at)), dtype=bool)
     whole[np.ix_(rows, cols)] = both >= threshold * (n[rows][:, None] + n[cols][None, :] - both) - 1e-6
     whole |= whole.T
