@@ -37,13 +37,13 @@ from pyspark.sql.types import StringType
 
 from curdle.llm import kernels as K
 from curdle.llm.components import connected_components
-from curdle.llm.setblocks import in_block_pairs, run_pairs, similar
+from curdle.llm.setblocks import Group, in_block_pairs, labels, run_pairs, similar
 from curdle.operators.materialize import materialize
 
 NGRAM = 5
 THRESHOLD = 0.8
 #: Slots of the word-count table (a byte each; counts saturate at 255), and the pieces it is summed up in.
-SLOTS, PIECES = 1 << 22, 64
+SLOTS, PIECES = 1 << 24, 64
 #: Sets of a group that are filtered or verified at once.
 FILTER_BLOCK, VERIFY_BLOCK = 1024, 512
 
@@ -53,13 +53,13 @@ def _slot(h: np.ndarray) -> np.ndarray:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    count = np.zeros(SLOTS, dtype=np.int64)
+    count = np.zeros(SLOTS, dtype=np.uint8)
     for batch in batches:
         for _, _, data, offsets in K.text_slices(batch.column(0)):
             slot, n = np.unique(_slot(K.words(data, offsets)[2]), return_counts=True)
-            count[slot] += n
+            count[slot] = np.minimum(count[slot] + n, 255)
     if count.any():
-        pieces = np.minimum(count, 255).astype(np.uint8).reshape(PIECES, -1)
+        pieces = count.reshape(PIECES, -1)
         yield pa.RecordBatch.from_arrays([pa.array(range(PIECES), pa.int32()), pa.array([p.tobytes() for p in pieces], pa.binary())], names=["piece", "n"])
 
 
@@ -82,8 +82,8 @@ def word_counts(texts: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-def slice_lines(data: np.ndarray, offsets: np.ndarray, counts: np.ndarray, ngram: int):
-    """Lines with a word: document, number, token owners, tokens in order of rarity, and each token's count."""
+def lines_with_words(data: np.ndarray, offsets: np.ndarray):
+    """Lines with a word: document and number of each, word hashes, and the first word of each (lines + 1)."""
     starts, _, h, _ = K.words(data, offsets)
     begin, end = K.runs(data != 0x0A, offsets)
     first = np.searchsorted(starts, np.append(begin, len(data)))
@@ -91,7 +91,12 @@ def slice_lines(data: np.ndarray, offsets: np.ndarray, counts: np.ndarray, ngram
     begin, first = begin[some], np.append(first[:-1][some], len(starts))
     doc = np.searchsorted(offsets, begin, side="right") - 1
     breaks = np.concatenate([[0], np.cumsum(data == 0x0A)])
-    number = breaks[begin] - breaks[offsets[doc]]
+    return doc, breaks[begin] - breaks[offsets[doc]], h, first
+
+
+def slice_lines(data: np.ndarray, offsets: np.ndarray, counts: np.ndarray, ngram: int):
+    """Lines with a word: document, number, token owners, tokens in order of rarity, and each token's count."""
+    doc, number, h, first = lines_with_words(data, offsets)
     owner, token = K.shingles(h, first, ngram)
     # The count of a token's rarest word, in the same order as the tokens (shorter lines: of all their words).
     rare = counts[_slot(h)]
@@ -101,7 +106,7 @@ def slice_lines(data: np.ndarray, offsets: np.ndarray, counts: np.ndarray, ngram
     for i in range(1, ngram):
         has = i < width[owner]
         least[has] = np.minimum(least[has], rare[at[has] + i])
-    order = np.lexsort((token, least, owner))
+    order = np.lexsort((token, owner * 256 + least))
     owner, token, least = owner[order], token[order], least[order]
     keep = np.ones(len(owner), dtype=bool)
     keep[1:] = (owner[1:] != owner[:-1]) | (token[1:] != token[:-1])
@@ -112,7 +117,7 @@ def _needed(n: np.ndarray, threshold: float) -> np.ndarray:
     return np.ceil(threshold * n - 1e-9).astype(np.int64)
 
 
-_LINES = "doc_id long, th long, line int, sid long, h long, n int, tokens array<long>, places array<int>"
+_LINES = "doc_id long, th long, line int, sid long, h long, n int, tokens array<long>, places array<smallint>"
 
 
 def _lines(docs: DataFrame, counts: np.ndarray, ngram: int, threshold: float) -> DataFrame:
@@ -127,7 +132,7 @@ def _lines(docs: DataFrame, counts: np.ndarray, ngram: int, threshold: float) ->
             none = pa.nulls(batch.num_rows, pa.int64())
             empty = pa.nulls(batch.num_rows, pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([-1] * batch.num_rows, pa.int32()), none, none, pa.nulls(batch.num_rows, pa.int32()), empty, pa.nulls(batch.num_rows, pa.list_(pa.int32()))],
+                [batch.column(0), batch.column(1), pa.array([-1] * batch.num_rows, pa.int32()), none, none, pa.nulls(batch.num_rows, pa.int32()), empty, pa.nulls(batch.num_rows, pa.list_(pa.int16()))],
                 names=names,
             )
             for a, b, data, offsets in K.text_slices(batch.column(2)):
@@ -137,6 +142,7 @@ def _lines(docs: DataFrame, counts: np.ndarray, ngram: int, threshold: float) ->
                 first = np.searchsorted(owner, np.arange(len(doc) + 1))
                 n = np.diff(first)
                 place = np.arange(len(owner)) - first[owner]
+                # A place beyond 32,767 counts as that, which only makes the positional filter's bound larger.
                 prefix = (place < (n - _needed(n, threshold) + 1)[owner]) & (least > 1)
                 cut = pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner[prefix], minlength=len(doc)))]).astype(np.int32))
                 sums = [K.as_long(K.mix(np.add.reduceat(K.mix(token ^ K.seed(i)), first[:-1]))) for i in (1, 2)]
@@ -144,7 +150,7 @@ def _lines(docs: DataFrame, counts: np.ndarray, ngram: int, threshold: float) ->
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, b - a).take(rows), batch.column(1).slice(a, b - a).take(rows), pa.array(number, pa.int32()), *sums, pa.array(n, pa.int32()),
-                        pa.ListArray.from_arrays(cut, K.as_long(token[prefix])), pa.ListArray.from_arrays(cut, pa.array(place[prefix], pa.int32())),
+                        pa.ListArray.from_arrays(cut, K.as_long(token[prefix])), pa.ListArray.from_arrays(cut, pa.array(np.minimum(place[prefix], 32767), pa.int16())),
                     ],
                     names=names,
                 )
@@ -152,31 +158,51 @@ def _lines(docs: DataFrame, counts: np.ndarray, ngram: int, threshold: float) ->
     return docs.mapInArrow(run, _LINES)
 
 
+def _may_match(threshold: float, n, m, i, j):
+    """The length and positional filters, for lines of ``n`` and ``m`` tokens that share their ``i``-th and ``j``-th."""
+    # Overlap that the sizes ask for, and the most that tokens before, at and after the shared one can give.
+    need = np.ceil(threshold / (1 + threshold) * (n + m) - 1e-9)
+    most = np.minimum(i, j) + np.minimum(n - i, m - j)
+    return (np.minimum(n, m) >= threshold * np.maximum(n, m) - 1e-9) & (most >= need)
+
+
+def _filter_twos(threshold: float):
+    """The tokens of two lines that the filters leave connected."""
+
+    def work(rows: Group, i: np.ndarray, j: np.ndarray) -> tuple:
+        n, place, a, b = rows["n"].astype(np.int64), rows["place"].astype(np.int64), rows["sid"][i], rows["sid"][j]
+        good = (a != b) & _may_match(threshold, n[i], n[j], place[i], place[j])
+        return np.maximum(a, b)[good], np.minimum(a, b)[good]
+
+    return work
+
+
 def _filter_forest(threshold: float):
     """A spanning forest of the lines of one token that the length and positional filters leave connected."""
 
-    def work(group: pa.Table) -> Iterator[pa.RecordBatch]:
-        sid, at = np.unique(group.column("sid").to_numpy(), return_index=True)
-        n = group.column("n").to_numpy()[at].astype(np.int64)
-        place = group.column("place").to_numpy()[at].astype(np.int64)
-        side = group.column("side").to_numpy()[at]
+    def work(group: Group) -> tuple | None:
+        sid, at = np.unique(group["sid"], return_index=True)
+        if len(sid) < 2:
+            return None
+        n, place, side = (group[c][at].astype(np.int64) for c in ("n", "place", "side"))
         cross = side.any() and not side.all()
         label = np.arange(len(sid))
-        for r in range(len(sid)):
-            if not r % 64 and (label == label[0]).all():
-                break  # all are connected
-            # Overlap that the sizes ask for, and the most that tokens before, at and after the shared one can give.
-            need = np.ceil(threshold / (1 + threshold) * (n[r] + n) - 1e-9)
-            most = np.minimum(place[r], place) + 1 + np.minimum(n[r] - place[r], n - place) - 1
-            near = (np.minimum(n[r], n) >= threshold * np.maximum(n[r], n) - 1e-9) & (most >= need)
-            if cross:
-                near &= side != side[r]
-            met = np.unique(np.append(label[near], label[r]))
-            if len(met) > 1:
-                label[np.isin(label, met)] = met[0]
+
+        def near(r) -> np.ndarray:
+            found = _may_match(threshold, n[r], n, place[r], place)
+            return found & (side != side[r]) if cross else found
+
+        if len(sid) <= 64:
+            label = labels(near(np.arange(len(sid))[:, None]))
+        else:
+            for r in range(len(sid)):
+                if not r % 64 and (label == label[0]).all():
+                    break  # all are connected
+                met = np.unique(np.append(label[near(r)], label[r]))
+                if len(met) > 1:
+                    label[np.isin(label, met)] = met[0]
         moved = np.flatnonzero(label != np.arange(len(sid)))
-        if len(moved):
-            yield pa.RecordBatch.from_arrays([pa.array(sid[moved]), pa.array(sid[label[moved]])], names=["a", "b"])
+        return (sid[moved], sid[label[moved]]) if len(moved) else None
 
     return work
 
@@ -184,38 +210,82 @@ def _filter_forest(threshold: float):
 def _verify(threshold: float):
     """The lines of two blocks that are similar to an earlier one."""
 
-    def work(group: pa.Table) -> Iterator[pa.RecordBatch]:
-        sid, at = np.unique(group.column("sid").to_numpy(), return_index=True)
+    def work(group: Group) -> tuple | None:
+        sid, at = np.unique(group["sid"], return_index=True)
         linked = similar(group, at, "grams", threshold)
-        key = [group.column(c).fill_null(0).to_numpy()[at] for c in ("line", "th", "doc_id", "has_id")]
         rank = np.empty(len(sid), dtype=np.int64)
-        rank[np.lexsort(key)] = np.arange(len(sid))
+        rank[np.lexsort([group[c][at] for c in ("line", "th", "doc_id", "has_id")])] = np.arange(len(sid))
         later = (linked & (rank[None, :] < rank[:, None])).any(axis=1)
-        if later.any():
-            yield pa.RecordBatch.from_arrays([pa.array(sid[later])], names=["sid"])
+        return (sid[later],) if later.any() else None
 
     return work
 
 
-def _grams(texts: DataFrame, ngram: int) -> DataFrame:
-    """(doc_id, th, line, sid, grams) of the wanted lines of each text."""
+def _mark(doc_id: np.ndarray, th: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """The bit that a line sets in the table of wanted lines."""
+    u = lambda x: np.ascontiguousarray(x, dtype=np.int64).view(np.uint64)
+    return (K.mix(u(th) + K.mix(u(doc_id) + K.mix(u(line) + K.seed(77)))) >> np.uint64(8)).astype(np.int64) & (8 * SLOTS - 1)
+
+
+def _mark_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    bits = np.zeros(SLOTS, dtype=np.uint8)
+    for batch in batches:
+        m = _mark(*(batch.column(i).fill_null(0).to_numpy(zero_copy_only=False) for i in range(3)))
+        np.bitwise_or.at(bits, m >> 3, (1 << (m & 7)).astype(np.uint8))
+    pieces = bits.reshape(PIECES, -1)
+    some = np.flatnonzero(pieces.any(axis=1))
+    if len(some):
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([pieces[i].tobytes() for i in some], pa.binary())], names=["piece", "n"])
+
+
+def _or_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for piece, n in zip(batch.column(0).to_pylist(), batch.column(1)):
+            total[piece] = total.get(piece, 0) | np.frombuffer(n.as_buffer(), dtype=np.uint8)
+    for piece, n in total.items():
+        yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([n.tobytes()], pa.binary())], names=["piece", "n"])
+
+
+def _wanted(lines: DataFrame) -> np.ndarray:
+    """A bit table of fixed size with a bit for each wanted line (doc_id, th, line)."""
+    parts = lines.mapInArrow(_mark_pieces, "piece int, n binary").repartition(PIECES, "piece")
+    out = np.zeros((PIECES, SLOTS // PIECES), dtype=np.uint8)
+    for r in parts.mapInArrow(_or_pieces, "piece int, n binary").collect():
+        out[r["piece"]] = np.frombuffer(r["n"], dtype=np.uint8)
+    return out.reshape(-1)
+
+
+def _grams(texts: DataFrame, wanted: np.ndarray, ngram: int) -> DataFrame:
+    """(doc_id, th, line, sid, grams) of all wanted lines, and of a few others that share a bit with one."""
+    shipped = texts.sparkSession.sparkContext.broadcast(wanted)  # SLOTS bytes, whatever the data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        zero = np.ones(SLOTS, dtype=np.uint8)
         for batch in batches:
-            wanted = batch.column(3)
+            doc_ids, ths = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy()
             for a, b, data, offsets in K.text_slices(batch.column(2)):
-                doc, number, owner, token, _ = slice_lines(data, offsets, zero, ngram)
-                want = np.concatenate([(i - a) * (1 << 32) + np.asarray(wanted[i].values, dtype=np.int64) for i in range(a, b)])
-                picked = np.flatnonzero(np.isin(doc * (1 << 32) + number, want))
+                doc, number, h, border = lines_with_words(data, offsets)
+                m = _mark(doc_ids[a + doc], ths[a + doc], number)
+                picked = np.flatnonzero((shipped.value[m >> 3] >> (m & 7).astype(np.uint8)) & 1)
                 if not len(picked):
                     continue
-                first = np.searchsorted(owner, np.arange(len(doc) + 1))
-                grams = [token[first[i] : first[i + 1]] for i in picked]
+                n = np.diff(border)[picked]
+                borders = np.concatenate([[0], np.cumsum(n)])
+                its_words = np.arange(borders[-1]) - np.repeat(borders[:-1], n) + np.repeat(border[picked], n)
+                owner, token = K.distinct(*K.shingles(h[its_words], borders, ngram))
+                first = np.searchsorted(owner, np.arange(len(picked) + 1))
+                grams = [token[first[i] : first[i + 1]] for i in range(len(picked))]
                 sid = K.mix(np.array([K.mix(g ^ K.seed(1)).sum(dtype=np.uint64) for g in grams], dtype=np.uint64))
-                yield pa.RecordBatch.from_arrays([K.as_long(sid), pa.array([g.tobytes() for g in grams], pa.binary())], names=["sid", "grams"])
+                rows = pa.array(doc[picked])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(a, b - a).take(rows), batch.column(1).slice(a, b - a).take(rows), pa.array(number[picked], pa.int32()),
+                        K.as_long(sid), pa.array([g.tobytes() for g in grams], pa.binary()),
+                    ],
+                    names=["doc_id", "th", "line", "sid", "grams"],
+                )
 
-    return texts.mapInArrow(run, "sid long, grams binary")
+    return texts.mapInArrow(run, "doc_id long, th long, line int, sid long, grams binary")
 
 
 def _with_key(docs: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -239,15 +309,17 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ngram
     # Written, so that both sides of the join are shuffles of their own and a frequent token's rows can be split.
     sizes = materialize(entries.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"), "line-tokens")
     met = in_block_pairs(entries.join(sizes, "token"), "token", "size", FILTER_BLOCK).select("pair", "side", "sid", "n", "place")
-    forest = run_pairs(met, _filter_forest(threshold), "a long, b long")
+    forest = run_pairs(met, _filter_forest(threshold), "a long, b long", _filter_twos(threshold))
     found = materialize(connected_components(forest, "line-candidates"), "line-candidates")
     of_comp = found.groupBy("root").agg(F.count("*").alias("size"))
     candidates = found.join(of_comp, "root").join(sets.select(F.col("sid").alias("node"), "at.*"), "node")
     candidates = candidates.select(F.col("node").alias("sid"), F.col("root").alias("comp"), "size", F.col("has_id").cast("int").alias("has_id"), "doc_id", "th", "line")
-    # The line numbers of one document, bounded by its length.
-    wanted = candidates.groupBy("doc_id", "th").agg(F.collect_set("line").alias("wanted")).select(F.col("doc_id").alias("_d"), F.col("th").alias("_t"), "wanted")
-    texts = own.join(wanted, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t"))).select("doc_id", "th", "text", "wanted")
-    grams = _grams(texts, ngram).join(candidates, "sid")
+    candidates = materialize(candidates, "line-places")
+    # The candidates' tokens come from a second scan, by a bit table; what it lets through wrongly the join drops.
+    grams = _grams(own, _wanted(candidates.select("doc_id", "th", "line")), ngram)
+    grams = grams.select("sid", "grams", *[F.col(c).alias(f"_{c}") for c in ("doc_id", "th", "line")])
+    same_place = (F.col("_th") == F.col("th")) & (F.col("_line") == F.col("line")) & F.col("_doc_id").eqNullSafe(F.col("doc_id"))
+    grams = grams.join(candidates, "sid").where(same_place)
     blocks = in_block_pairs(grams, "comp", "size", VERIFY_BLOCK).select("pair", "side", "sid", "has_id", "doc_id", "th", "line", "grams")
     later = run_pairs(blocks, _verify(threshold), "sid long").distinct().select("sid", F.lit(True).alias("later"))
     decided = materialize(sets.select("sid", "at").join(later, "sid", "left"), "line-decisions")
