@@ -4,7 +4,9 @@ Every document gets counts over its whole text, then a vector of five transforme
 statistics. For each (lang, source) group an MCD estimate is found by concentration
 steps: from the coordinate-wise median and MAD, take the half (``SUPPORT``) of the
 group's documents that lie closest, re-estimate mean and covariance from them, and
-repeat. A step is two aggregations with partial sums, so a group that holds a third
+repeat; so junk of one kind may make up nearly half of a group before it draws the
+estimate towards it. A last estimate rests on all documents that the half finds
+usual (``USUAL``). A step is two aggregations with partial sums, so a group that holds a third
 of all rows costs no more than any other; quantiles are taken on a fixed grid, so
 they are exact, bounded in memory and the same in every run. Documents whose squared
 Mahalanobis distance exceeds ``CUTOFF`` are rejected.
@@ -32,9 +34,11 @@ from curdle.llm import kernels as K
 from curdle.operators.materialize import materialize
 
 #: Share of a group's documents that an estimate rests on.
-SUPPORT = 0.75
-#: Factor from the covariance of the closest 75 % to that of all, for five normal dimensions.
-CONSISTENCY = 1.41
+SUPPORT = 0.5
+#: Factor from the covariance of the closest half to that of all, for five normal dimensions.
+CONSISTENCY = 1.912
+#: Squared distance up to which a document counts for the last estimate (97.5 % of five normal dimensions), and its factor.
+USUAL, USUAL_CONSISTENCY = 12.833, 1.056
 #: Squared distance beyond which a document is an outlier (chi-square, five degrees of freedom, about 1 in 10^6).
 CUTOFF = 36.0
 MIN_GROUP = 100
@@ -158,7 +162,7 @@ def _start(points: DataFrame) -> DataFrame:
     )
 
 
-def _invert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _invert(batches: Iterator[pa.RecordBatch], consistency: float) -> Iterator[pa.RecordBatch]:
     """Core sums of each group to its mean and precision matrix."""
     floor = np.diag(np.square(FLOOR))
     for batch in batches:
@@ -169,16 +173,13 @@ def _invert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i, j in PAIRS:
                 cov[i, j] = cov[j, i] = r[f"q{i}{j}"] / r["n"] - mean[i] * mean[j]
             # The core is the tightest part of the group: scale its spread up to that of the whole, and add the floor.
-            precision = np.linalg.inv(np.round(cov, 9) * (CONSISTENCY) + floor)
+            precision = np.linalg.inv(np.round(cov, 9) * consistency + floor)
             rows.append({"g": r["g"]} | {f"m{i}": float(mean[i]) for i in range(DIMS)} | {f"p{i}{j}": float(precision[i, j]) for i, j in PAIRS})
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("g", pa.string()), *[(n.split()[0], pa.float64()) for n in _PARAMS.split(", ")[1:]]]))
 
 
-def _concentrate(points: DataFrame, params: DataFrame) -> DataFrame:
-    near = points.join(params, "g").select("g", *X, _grid_distance().alias("d"))
-    bar = near.groupBy("g").agg(F.percentile("d", F.lit(SUPPORT)).alias("bar"))
-    core = near.join(bar, "g").where(F.col("d") <= F.col("bar"))
+def _estimate(core: DataFrame, consistency: float) -> DataFrame:
     # Sums of fixed-point values are the same in whatever order tasks end.
     whole = lambda c: F.sum(F.rint(c * 1e6).cast("decimal(28,0)")).cast("double") / 1e6
     sums = core.groupBy("g").agg(
@@ -186,7 +187,18 @@ def _concentrate(points: DataFrame, params: DataFrame) -> DataFrame:
         *[whole(F.col(x)).alias(f"s{i}") for i, x in enumerate(X)],
         *[whole(F.col(X[i]) * F.col(X[j])).alias(f"q{i}{j}") for i, j in PAIRS],
     )
-    return sums.mapInArrow(_invert, _PARAMS)
+    return sums.mapInArrow(lambda batches: _invert(batches, consistency), _PARAMS)
+
+
+def _concentrate(points: DataFrame, params: DataFrame) -> DataFrame:
+    near = points.join(params, "g").select("g", *X, _grid_distance().alias("d"))
+    bar = near.groupBy("g").agg(F.percentile("d", F.lit(SUPPORT)).alias("bar"))
+    return _estimate(near.join(bar, "g").where(F.col("d") <= F.col("bar")), CONSISTENCY)
+
+
+def _reweight(points: DataFrame, params: DataFrame) -> DataFrame:
+    usual = points.join(params, "g").where(F.exp(_grid_distance() / DISTANCE_GRID) - 1 <= USUAL)
+    return _estimate(usual.select("g", *X), USUAL_CONSISTENCY)
 
 
 def _with_group(points: DataFrame) -> DataFrame:
@@ -218,6 +230,7 @@ def judge(docs: DataFrame) -> DataFrame:
     params = materialize(_start(fit), "mcd-params")
     for _ in range(STEPS):
         params = materialize(_concentrate(fit, params), "mcd-params")
+    params = materialize(_reweight(fit, params), "mcd-params")
     judged = points.join(params, "g", "left").withColumn("distance", F.when(F.col("m0").isNotNull(), _grid_distance() / DISTANCE_GRID))
     kept = ~F.col("base_failed") & F.coalesce(F.exp("distance") - 1 <= CUTOFF, F.lit(True))
     return judged.select(

@@ -165,6 +165,20 @@ def test_outliers_go_and_the_rest_stays(spark):
     assert got == {i: i % 5 != 0 for i in range(600)}
 
 
+@pytest.mark.parametrize("percent", [30, 45])
+def test_junk_of_one_kind_goes_up_to_nearly_half_of_a_group(spark, percent):
+    rng = random.Random(5)
+    rows = []
+    for i in range(800):
+        n = rng.randrange(40, 400)
+        word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 8)))
+        junk = i // 2 % 100 < percent
+        mark = ("###", "abcdefgh")[i % 2] if junk else ""  # symbols in one group, long words in the other
+        rows.append((i, " ".join(word() + mark for _ in range(n)), "en", f"s{i % 2}", junk))
+    got = {r.doc_id: r.kept for r in outliers.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, junk boolean")).collect()}
+    assert got == {i: not junk for i, *_, junk in rows}
+
+
 # ---------------------------------------------------------------- mixing
 
 
