@@ -179,6 +179,27 @@ def test_junk_of_one_kind_goes_up_to_nearly_half_of_a_group(spark, percent):
     assert got == {i: not junk for i, *_, junk in rows}
 
 
+def test_each_statistic_can_reject_alone(spark):
+    """One planted document per statistic, usual in the others, in a group that has no such thing."""
+    rng = random.Random(7)
+    word = lambda least=2, most=8: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(least, most)))
+    text = lambda n: "\n".join(" ".join(word() for _ in range(10)) for _ in range(n // 10))
+    rows = [(i, text(rng.randrange(150, 300))) for i in range(300)]
+    phrase = " ".join(word() for _ in range(28))
+    menu = [word() for _ in range(10)] * 20
+    rng.shuffle(menu)
+    rows += [
+        (1000, text(20_000)),
+        (1001, " ".join(word(9, 15) for _ in range(200))),
+        (1002, text(200) + " " + " ".join(["###"] * 4)),
+        (1003, "\n".join(menu)),
+        (1004, f"{phrase}\n{text(140)}\n{phrase}"),
+    ]
+    got = {r.doc_id: r for r in outliers.judge(spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(got[i].base_failed for i, _ in rows)
+    assert {i for i, r in got.items() if not r.kept} == {1000, 1001, 1002, 1003, 1004}
+
+
 # ---------------------------------------------------------------- mixing
 
 
