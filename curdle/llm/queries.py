@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from curdle.llm import bpe, chosenpath, linededup, mixing, outliers, quality, records, suffix, topk, urlrules
+from curdle.llm import bpe, chosenpath, lexical, licenses, linededup, mixing, outliers, quality, records, spelling, suffix, topk, urlrules
 from curdle.session import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -69,9 +69,23 @@ def op10_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(spelling.word_counts(table(spark, sf_dir, "documents")))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 _QUERIES = (
     op1_exact_topk, op2_suffix_dedup, op3_quality_votes, op4_temperature_mix, op5_chosen_path_join,
     op6_token_records, op7_bpe_transducer, op8_robust_outliers, op9_url_rules, op10_line_join,
+    op11_license_scan, op12_spelling_variants, op13_ranked_search,
 )
 
 
@@ -80,4 +94,6 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_exact_topk": topk.ORACLE_SQL, "op9_url_rules": urlrules.oracle_sql()}
+    return {
+        "op1_exact_topk": topk.ORACLE_SQL, "op9_url_rules": urlrules.oracle_sql(), "op12_spelling_variants": spelling.ORACLE_SQL, "op13_ranked_search": lexical.ORACLE_SQL,
+    }
