@@ -89,11 +89,14 @@ def load_position(table: str) -> Column:
 
 
 def stamp(df: DataFrame, spec: SourceSpec, ingested_at: Column, batch_id: Column, keep: Sequence[str] = ()) -> DataFrame:
-    """Add content hash and lineage metadata to normalised rows; ``keep`` names further columns that pass through."""
+    """Add content hash and lineage metadata to normalised rows; ``keep`` names further columns that pass through.
+
+    ``_row_id`` is the scan's ``_line`` where it gives one, else the order of the rows as they are read.
+    """
     business = business_columns(df)
     return df.select(
         *[F.col(f"`{c}`") for c in business],
-        F.monotonically_increasing_id().alias("_row_id"),
+        (F.col("_line") if "_line" in df.columns else F.monotonically_increasing_id()).alias("_row_id"),
         row_hash(business).alias("_row_hash"),
         F.lit(spec.file).alias("_source_file"),
         F.lit(spec.source_format).cast("string").alias("_source_format"),

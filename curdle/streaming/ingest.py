@@ -15,31 +15,20 @@ import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from curdle.plans.ingest import load_rows
 from curdle.sources.csv import CORRUPT, read_header
 from curdle.sources.manifest import SourceSpec
+from curdle.sources.records import logical_records, parse_records
 
 
-def file_stream(spark: SparkSession, folder: str, spec: SourceSpec, header: list[str]) -> DataFrame:
-    """All-text streaming scan of new delimited files in ``folder``."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header] + [T.StructField(CORRUPT, T.StringType())])
-    return (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .option("sep", spec.delimiter)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("enforceSchema", False)
-        .option("columnPruning", False)
-        .csv(folder)
-    )
+def file_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Streaming scan of the physical lines of new files in ``folder``, with their file and split."""
+    at = F.col("_metadata")
+    lines = spark.readStream.option("lineSep", "\n").text(folder)
+    return lines.select("value", at["file_path"].alias("file"), at["file_block_start"].alias("block"))
 
 
 def checkpoint_path(spark: SparkSession, raw_dir: str, spec: SourceSpec, warehouse: str) -> str:
@@ -68,12 +57,14 @@ def start_ingestion(
         return None
 
     def load(batch: DataFrame, epoch_id: int) -> None:
-        row = load_rows(batch.sparkSession, batch, spec, warehouse, run_base + epoch_id)
+        lines = batch.withColumn("line", F.monotonically_increasing_id())
+        raw = parse_records(logical_records(lines, spec.delimiter), header, spec.delimiter, CORRUPT)
+        row = load_rows(batch.sparkSession, raw, spec, warehouse, run_base + epoch_id)
         if row["status"] != "SUCCESS":  # the micro-batch must not be committed: the next run takes its files again
             raise RuntimeError(f"load of {spec.file} failed: {row['error_msg']}")
 
     return (
-        file_stream(spark, folder, spec, header)
+        file_stream(spark, folder)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint_path(spark, raw_dir, spec, warehouse))
         .trigger(availableNow=True)
