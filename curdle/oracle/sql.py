@@ -549,6 +549,12 @@ def bronze_queries() -> dict[str, str]:
                    CASE WHEN kind IN (1, 3, 4) THEN NULL WHEN kind = 2 THEN '' ELSE price END AS total,
                    CASE kind WHEN 3 THEN id || ';' || cust || ';a;b;c;' WHEN 4 THEN id || ';' || cust || ';"open;1' END AS quarantined
             FROM (SELECT o_orderkey::VARCHAR AS id, o_custkey::VARCHAR AS cust, o_orderkey % 11 AS kind, floor(o_totalprice)::BIGINT::VARCHAR AS price FROM orders)""",
+        "b11_quoted_breaks": f"""
+            SELECT *, {content_hash(['id_cliente', 'nome_cliente', 'cidade'])} AS _row_hash, FALSE AS _is_duplicate FROM (
+              SELECT o_orderkey::VARCHAR AS id_cliente, if(o_orderkey % 3 = 0, 'a' || chr(13) || chr(10) || o_orderstatus, '') AS cidade,
+                CASE o_orderkey % 5 WHEN 0 THEN 'Cliente' || chr(10) || o_orderstatus || chr(10) || 'fim' WHEN 1 THEN '"' || o_orderpriority || '",' || chr(10) || '"' || chr(10)
+                  WHEN 2 THEN chr(10) || chr(10) || o_orderkey ELSE 'nome, ' || o_orderkey END AS nome_cliente
+              FROM orders)""",
         "b08_schema_evolution_union": with_raw(loads_of("coletas")) + f"SELECT * REPLACE (_batch::BIGINT AS _batch) FROM ({appended})",
     }
 

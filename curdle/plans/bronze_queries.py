@@ -13,7 +13,7 @@ from curdle.functions.text import numeric_like
 from curdle.operators.dedup import flag_against_existing
 from curdle.plans.bronze import fixture_bronze, ingestion_log
 from curdle.plans.concurrency import run_all
-from curdle.plans.ingest import load_rows, read_bronze
+from curdle.plans.ingest import load_file, load_rows, read_bronze
 from curdle.session import scratch_path
 from curdle.sources.csv import CORRUPT, judge_rows
 from curdle.sources.fixtures import FIXTURE_FILES
@@ -150,6 +150,26 @@ def b10_malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_rows(lines.select("r.*"), ";").withColumnRenamed("_quarantined", "quarantined")
 
 
+def b11_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order as a row of a customer file with breaks, quotes and delimiters inside its fields, loaded by the load path."""
+    k = F.col("o_orderkey")
+    note = (
+        F.when(k % 5 == 0, F.concat_ws("\n", F.lit("Cliente"), "o_orderstatus", F.lit("fim")))
+        .when(k % 5 == 1, F.concat(F.lit('"'), "o_orderpriority", F.lit('",\n"\n')))
+        .when(k % 5 == 2, F.concat(F.lit("\n\n"), k.cast("string")))
+        .otherwise(F.concat(F.lit("nome, "), k.cast("string")))
+    )
+    orders = read_table(spark, sf_dir, "orders")
+    rows = orders.select(k.cast("string").alias("id_cliente"), note.alias("nome_cliente"), F.when(k % 3 == 0, F.concat(F.lit("a\r\n"), "o_orderstatus")).otherwise(F.lit("")).alias("cidade"))
+    home = scratch_path(spark, f"curdle/b11-{uuid.uuid4().hex}")
+    spec = spec_for_file("clientes.csv")
+    rows.write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{home}/raw/{spec.file}")
+    row = load_file(spark, f"{home}/raw", spec, f"{home}/lake", 1)
+    if row["status"] != "SUCCESS":
+        raise RuntimeError(row["error_msg"])
+    return read_bronze(spark, f"{home}/lake", spec.table).select("id_cliente", "nome_cliente", "cidade", "_row_hash", "_is_duplicate")
+
+
 BRONZE_QUERIES: dict[str, Query] = {
     "b01_normalize_date": b01_normalize_date,
     "b02_numeric_like": b02_numeric_like,
@@ -161,4 +181,5 @@ BRONZE_QUERIES: dict[str, Query] = {
     "b08_schema_evolution_union": b08_schema_evolution_union,
     "b09_rerun_flags": b09_rerun_flags,
     "b10_malformed_rows": b10_malformed_rows,
+    "b11_quoted_breaks": b11_quoted_breaks,
 }
