@@ -53,16 +53,21 @@ def flag_against_existing(
     """Flag a new batch: repeats inside it, or hashes already present in the table.
 
     ``existing_hashes`` is a one-column DataFrame of stored hashes (any number of
-    repeats; they are combined before they move). The batch's first places whose hash
+    repeats). The batch's first places whose hash
     is stored are dropped, so every row of such a hash is a duplicate.
     """
     first = _firsts(batch, order, hash_col)
     if existing_hashes is not None:
-        stored = existing_hashes.select(F.col(hash_col).alias("__stored")).distinct()
+        stored = existing_hashes.select(F.col(hash_col).alias("__stored"))
         first = first.join(stored, F.col("__hash") == F.col("__stored"), "left_anti")
     return _flag(batch, first, order, hash_col)
 
 
+def mark_first(df: DataFrame, firsts: DataFrame, order: Sequence[str], hash_col: str = HASH) -> DataFrame:
+    """``_is_duplicate`` is false for the rows whose hash and place (``order``) are in ``firsts``, else true."""
+    return _flag(df, firsts.select(F.col(hash_col).alias("__hash"), *[F.col(c).alias(f"__{c}") for c in order]), order, hash_col)
+
+
 def _firsts(df: DataFrame, order: Sequence[str], hash_col: str) -> DataFrame:
     first = df.groupBy(hash_col).agg(F.min(F.struct(*order)).alias("__first"))
     return first.select(F.col(hash_col).alias("__hash"), *[F.col(f"__first.{c}").alias(f"__{c}") for c in order])

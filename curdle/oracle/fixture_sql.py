@@ -11,7 +11,7 @@ select cast(s_suppkey as string) as id_cooperado,
        case when s_suppkey % 20 = 3 then '' else concat(case when s_suppkey % 30 = 4 then 'DOC' || chr(31) else 'DOC-' end, cast(s_suppkey as string)) end as cpf_cnpj,
        case when s_suppkey % 25 = 0 then '05/03/2015' when s_suppkey % 25 = 7 then 'sem data'
             else cast(cast('2010-01-01' as date) + cast(s_suppkey * 37 % 4700 as int) as string) end as data_adesao,
-       case s_suppkey % 5 when 0 then 'Ativo' when 1 then 'ATIVO' when 2 then 'inativo' when 3 then ' Suspenso' else 'Ativo' end as situacao,
+       if(s_suppkey % 50 = 9, 'demitido', case s_suppkey % 5 when 0 then 'Ativo' when 1 then 'ATIVO' when 2 then 'inativo' when 3 then ' Suspenso' else 'Ativo' end) as situacao,
        1 as _batch
 from supplier
 """,
@@ -108,7 +108,7 @@ select cast(o_orderkey as string) as id_pedido, cast(o_custkey as string) as id_
             then concat(substr(cast(cast(o_orderdate as date) as string), 9, 2), '/', substr(cast(cast(o_orderdate as date) as string), 6, 2), '/', substr(cast(cast(o_orderdate as date) as string), 1, 4))
             when o_orderkey % 25 = 9 then '' else cast(cast(o_orderdate as date) as string) end as data_pedido,
        case when b._batch = 2 and o_orderkey % 150 = 0 then 'CANCELADO'
-            when o_orderstatus = 'F' then 'Faturado' when o_orderstatus = 'O' then ' entregue'
+            when o_orderkey % 700 = 353 then 'Em trânsito' when o_orderstatus = 'F' then 'Faturado' when o_orderstatus = 'O' then ' entregue'
             when o_orderkey % 2 = 0 then 'Em separação' else 'Cancelado' end as status,
        case o_orderkey % 3 when 0 then 'Balcao' when 1 then 'telefone' else 'Site' end as canal,
        case when o_orderkey % 7 = 0 then '' else cast(cast(o_orderkey % 16 as decimal(18,2)) as string) end as desconto_pct,
@@ -138,7 +138,7 @@ from orders
 """,
     "raw_custos_operacionais": """
 select cast(o_orderkey as string) as id_custo,
-       case o_custkey % 5 when 0 then 'Coleta' when 1 then 'Produção ' when 2 then 'Logística' when 3 then 'Comercial' else 'Administrativo' end as centro_custo,
+       case when o_orderkey % 800 = 401 then 'Marketing' when o_orderkey % 800 = 402 then 'coleta' else case o_custkey % 5 when 0 then 'Coleta' when 1 then 'Produção ' when 2 then 'Logística' when 3 then 'Comercial' else 'Administrativo' end end as centro_custo,
        case o_orderkey % 4 when 0 then 'Fixo' when 1 then 'variável' when 2 then 'FIXO' else 'VARIÁVEL' end as tipo_custo,
        case when o_orderkey % 20 = 0 then '' else o_orderpriority end as descricao,
        cast(cast(case when o_orderkey % 90 = 0 then 0 else o_totalprice end as decimal(18,2)) as string) as valor,
@@ -149,7 +149,7 @@ from orders
 """,
     "raw_perdas": """
 select cast(l_orderkey * 10 + l_linenumber as string) as id_perda,
-       case l_suppkey % 4 when 0 then 'Coleta' when 1 then 'Produção' when 2 then ' Estoque' else 'Transporte' end as etapa,
+       if(l_partkey % 60 = 7, 'Envase', case l_suppkey % 4 when 0 then 'Coleta' when 1 then 'Produção' when 2 then ' Estoque' else 'Transporte' end) as etapa,
        concat('Tipo ', l_returnflag, cast(l_partkey % 5 as string)) as tipo_perda,
        case when l_partkey % 25 = 0 then '03/04/1999' when l_partkey % 25 = 13 then 'n/d' else cast(cast(l_shipdate as date) as string) end as data_perda,
        case when l_partkey % 20 = 1 then '' else cast(cast(l_quantity as decimal(18,2)) as string) end as volume_litros_ou_kg,

@@ -337,6 +337,15 @@ G03 = _report(_DELIVERIES, "mes, id_rota, nome_rota, municipio_origem, veiculo_t
 })
 
 
+def _in_order(sql: str, first: str) -> str:
+    """Rows with their place in the report's order; ties go by the other columns as they stand, nulls first."""
+    return f"SELECT *, row_number() OVER (ORDER BY {first}) AS row_no FROM ({sql})"
+
+
+def _ties(*columns: str) -> str:
+    return ", ".join(f"{c} NULLS FIRST" for c in columns)
+
+
 def _losses(*grain: str) -> str:
     """Sums of each group first, then each group's share of its month."""
     sums = f"SELECT mes, etapa, tipo_perda, count(*) AS n, sum(volume_litros_ou_kg) AS amount, sum(valor_estimado) AS worth, count(valor_estimado) AS priced FROM {_LOSSES} GROUP BY {', '.join(('mes', 'etapa', 'tipo_perda', *grain))}"
@@ -394,12 +403,17 @@ def gold_queries() -> dict[str, str]:
     ledger = with_ctes(LEDGER_MODELS, more=LEDGER)
     costs = {n: money(_zero(_account(a))) for n, a in _COSTS.items()} | {"custo_total": money(_account("cost"))}
     return {
-        "g01_coleta_fazenda_mensal": with_ctes(["stg_coletas", "stg_fazendas", "stg_cooperados"]) + G01,
-        "g02_eficiencia_producao": with_ctes(["stg_producao", "stg_produtos"]) + G02,
-        "g03_logistica_sla": with_ctes(["stg_entregas", "stg_rotas"]) + G03,
-        "g04_perdas_consolidado": with_ctes(["stg_perdas"]) + _losses("data_perda"),
+        "g01_coleta_fazenda_mensal": with_ctes(["stg_coletas", "stg_fazendas", "stg_cooperados"]) + _in_order(
+            G01, "mes, volume_total_litros DESC NULLS FIRST, " + _ties(
+                "id_fazenda", "nome_fazenda", "municipio", "nome_cooperado", "qtd_coletas", "volume_medio_por_coleta", "gordura_media_pct", "proteina_media_pct", "acidez_media")),
+        "g02_eficiencia_producao": with_ctes(["stg_producao", "stg_produtos"]) + _in_order(
+            G02, "mes, rendimento_medio_pct DESC NULLS FIRST, " + _ties("linha_producao", "categoria_produto", "nome_produto")),
+        "g03_logistica_sla": with_ctes(["stg_entregas", "stg_rotas"]) + _in_order(
+            G03, "mes, pct_no_prazo, " + _ties("id_rota", "nome_rota", "municipio_origem", "veiculo_tipo")),
+        "g04_perdas_consolidado": with_ctes(["stg_perdas"]) + _in_order(
+            _losses("data_perda"), "mes, valor_perdido DESC NULLS FIRST, " + _ties("etapa", "tipo_perda", "qtd_ocorrencias", "volume_perdido", "valor_medio_por_ocorrencia", "pct_valor_no_mes")),
         "g04b_perdas_month_grain": with_ctes(["stg_perdas"]) + _losses(),
-        "g05_resultado_mensal": ledger + G05,
+        "g05_resultado_mensal": ledger + _in_order(G05, "mes"),
         "g05a_receita": ledger + _part(_REVENUE, "gross", "discount"),
         "g05b_custos": ledger + _part(costs, "type ", "centre ", "cost"),
         "g05c_perdas": ledger + _part({"valor_perdas": money(_account("loss"))}, "loss"),
@@ -527,10 +541,13 @@ def bronze_queries() -> dict[str, str]:
     )
     place = "_source_file, _batch::BIGINT AS _batch_id"
     every = lambda more="": union(f"SELECT '{t}' AS table_name, {place}, _row_hash{more} FROM bronze_{t}" for t in TABLES)
-    log = union(
-        f"SELECT '{t}' AS table_name, _source_file AS source_file, _batch::BIGINT AS _batch_id, count(*) AS rows_read, count(*) FILTER (NOT _is_duplicate) AS rows_inserted, "
-        f"0::BIGINT AS rows_updated, count(*) FILTER (_is_duplicate) AS rows_skipped, 'SUCCESS' AS status FROM bronze_{t} GROUP BY ALL"
-        for t in TABLES
+    loaded = " UNION ALL BY NAME ".join(f"SELECT '{x.table}' AS table_name, '{x.file}' AS source_file, {LOADS.index(x)} AS _at" for x in LOADS)
+    counted = union(f"SELECT _source_file, _batch, count(*) AS n, count(*) FILTER (_is_duplicate) AS dup FROM bronze_{t} GROUP BY ALL" for t in TABLES)
+    # Runs come in order, and in a run the files that it has come in the order of the list.
+    log = (
+        "SELECT table_name, source_file, _batch::BIGINT AS _batch_id, n AS rows_read, n - dup AS rows_inserted, 0::BIGINT AS rows_updated, dup AS rows_skipped, "
+        "0::BIGINT AS rows_quarantined, 'SUCCESS' AS status, NULL::VARCHAR AS error_msg, row_number() OVER (ORDER BY _batch, _at) AS row_no "
+        f"FROM ({counted}) JOIN ({loaded}) ON _source_file = source_file"
     )
     with_raw = lambda loads: "WITH " + ",\n".join(_raw(x.raw for x in loads)) + "\n"
     appended = union(f"SELECT *, '{x.file}' AS _source_file FROM {x.raw}" for x in loads_of("coletas"))
@@ -549,6 +566,14 @@ def bronze_queries() -> dict[str, str]:
                    CASE WHEN kind IN (1, 3, 4) THEN NULL WHEN kind = 2 THEN '' ELSE price END AS total,
                    CASE kind WHEN 3 THEN id || ';' || cust || ';a;b;c;' WHEN 4 THEN id || ';' || cust || ';"open;1' END AS quarantined
             FROM (SELECT o_orderkey::VARCHAR AS id, o_custkey::VARCHAR AS cust, o_orderkey % 11 AS kind, floor(o_totalprice)::BIGINT::VARCHAR AS price FROM orders)""",
+        "b12_schema_versions": f"""
+            WITH people AS (SELECT c_custkey::VARCHAR AS id_cliente, c_name AS nome_cliente, c_nationkey::VARCHAR AS cidade, c_mktsegment AS segmento FROM customer)
+            SELECT *, row_number() OVER (PARTITION BY _row_hash ORDER BY _batch_id) > 1 AS _is_duplicate FROM (
+              SELECT id_cliente, nome_cliente, NULL::VARCHAR AS cidade, NULL::VARCHAR AS segmento, 1::BIGINT AS _batch_id, {content_hash(['id_cliente', 'nome_cliente'])} AS _row_hash FROM people
+              UNION ALL SELECT id_cliente, nome_cliente, cidade, NULL, 2, {content_hash(['id_cliente', 'nome_cliente', 'cidade'])} FROM people
+              UNION ALL SELECT id_cliente, nome_cliente, cidade, segmento, 3, {content_hash(['id_cliente', 'nome_cliente', 'cidade', 'segmento'])} FROM people WHERE id_cliente::BIGINT % 2 = 0
+              UNION ALL SELECT id_cliente, nome_cliente, cidade, NULL, 4, {content_hash(['id_cliente', 'nome_cliente', 'cidade'])} FROM people
+            ), (SELECT string_agg(column_name || '=' || run, ',' ORDER BY run, column_name) AS columns_by_run FROM (VALUES ('id_cliente', 1), ('nome_cliente', 1), ('cidade', 2), ('segmento', 3)) v(column_name, run))""",
         "b11_quoted_breaks": f"""
             SELECT *, {content_hash(['id_cliente', 'nome_cliente', 'cidade'])} AS _row_hash, FALSE AS _is_duplicate FROM (
               SELECT o_orderkey::VARCHAR AS id_cliente, if(o_orderkey % 3 = 0, 'a' || chr(13) || chr(10) || o_orderstatus, '') AS cidade,

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from curdle.functions.dates import normalize_date
 from curdle.functions.hashing import row_hash
 from curdle.functions.text import numeric_like
-from curdle.operators.dedup import flag_duplicates
+from curdle.operators.dedup import DUP, flag_duplicates, latest_by_key
 from curdle.operators.materialize import materialize
 from curdle.sources.fixtures import fixture_loads
 from curdle.sources.manifest import (
@@ -111,14 +111,8 @@ def fixture_ingested_at(batch: Column, spec: SourceSpec) -> Column:
     return F.timestamp_seconds(F.lit(_FIXTURE_EPOCH) + batch * 86400 + F.lit(spec.position))
 
 
-def fixture_bronze(spark: SparkSession, sf_dir: str, table: str, flag: bool = True) -> DataFrame:
-    """The bronze table as it stands after loading every fixture run in order.
-
-    The stamped rows are written once before flagging (as a real load does):
-    ``_row_id`` is assigned after a shuffle, where row order — and so the id a
-    row gets — can differ between two evaluations; flagging reads the ids from
-    the written files in both of its branches, so they always agree.
-    """
+def _fixture_rows(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """All fixture runs of a table, stamped, with their place in the order of loads."""
     parts = []
     for spec, raw in fixture_loads(spark, sf_dir, table):
         rows = normalize_rows(raw, spec)
@@ -127,34 +121,33 @@ def fixture_bronze(spark: SparkSession, sf_dir: str, table: str, flag: bool = Tr
     bronze = parts[0]
     for p in parts[1:]:
         bronze = bronze.unionByName(p, allowMissingColumns=True)
-    bronze = materialize(bronze.withColumn("_position", load_position(table)), f"fixture-{table}")
+    return bronze.withColumn("_position", load_position(table))
+
+
+def _by_content(bronze: DataFrame) -> DataFrame:
+    """A derived table has no line order: a fixture file's lines stand in order of their content hash."""
+    return bronze.withColumn("_row_id", F.conv(F.substring("_row_hash", 1, 15), 16, 10).cast("bigint"))
+
+
+def fixture_bronze(spark: SparkSession, sf_dir: str, table: str, flag: bool = True) -> DataFrame:
+    """The bronze table as it stands after loading every fixture run in order.
+
+    The stamped rows are written once before flagging (as a real load does):
+    ``_row_id`` is assigned after a shuffle, where row order — and so the id a
+    row gets — can differ between two evaluations; flagging reads the ids from
+    the written files in both of its branches, so they always agree.
+    """
+    bronze = _fixture_rows(spark, sf_dir, table)
     if flag:
-        bronze = flag_duplicates(bronze, ["_batch_id", "_position", "_row_id"])
-    # A derived table has no line order: a fixture file's lines stand in order of their content hash.
-    line = F.conv(F.substring("_row_hash", 1, 15), 16, 10).cast("bigint")
-    return bronze.withColumn("_row_id", line).drop("_position")
+        bronze = flag_duplicates(materialize(bronze, f"fixture-{table}"), ["_batch_id", "_position", "_row_id"])
+    return _by_content(bronze).drop("_position")
 
 
-def ingestion_log(flagged: DataFrame, table: str) -> DataFrame:
-    """Load counters per (file, run): read = all rows, skipped = flagged, inserted = the rest.
+def fixture_firsts(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """The rows of ``fixture_bronze`` that are not flagged: of each content, that of the first load.
 
-    ``rows_updated`` is always 0: loads append and flag, they never update.
+    Equal rows of one load are alike in every column, so none needs an id and nothing is written: a top-1
+    window, of which each task passes on one row a content at most.
     """
-    per_load = flagged.groupBy("_source_file", "_batch_id").agg(
-        F.count(F.lit(1)).alias("rows_read"),
-        F.count_if(F.col("_is_duplicate")).alias("rows_skipped"),
-        F.max("_ingested_at").alias("ingested_at"),
-    )
-    return per_load.select(
-        F.lit(table).alias("table_name"),
-        F.col("_source_file").alias("source_file"),
-        "_batch_id",
-        "rows_read",
-        (F.col("rows_read") - F.col("rows_skipped")).alias("rows_inserted"),
-        F.lit(0).cast("bigint").alias("rows_updated"),
-        "rows_skipped",
-        F.lit(None).cast("bigint").alias("duration_ms"),
-        F.lit("SUCCESS").alias("status"),
-        F.lit(None).cast("string").alias("error_msg"),
-        "ingested_at",
-    )
+    rows = latest_by_key(_fixture_rows(spark, sf_dir, table), "_row_hash", [F.asc("_batch_id"), F.asc("_position")])
+    return _by_content(rows).drop("_position").withColumn(DUP, F.lit(False))

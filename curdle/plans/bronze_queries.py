@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from curdle.functions.dates import normalize_date
 from curdle.functions.text import numeric_like
-from curdle.operators.dedup import flag_against_existing
-from curdle.plans.bronze import fixture_bronze, ingestion_log
+from curdle.operators.ordering import with_row_number
+from curdle.plans.bronze import fixture_bronze
 from curdle.plans.concurrency import run_all
-from curdle.plans.ingest import load_file, load_rows, read_bronze
+from curdle.plans.ingest import load_file, load_rows, read_bronze, read_log, schema_history
 from curdle.session import scratch_path
 from curdle.sources.csv import CORRUPT, judge_rows
 from curdle.sources.fixtures import FIXTURE_FILES
-from curdle.sources.manifest import BRONZE_TABLES, COLLECTION_NUMERIC_LIKE, COLLECTION_WIDE_COLUMNS, MANIFEST, spec_for_file
+from curdle.sources.manifest import BRONZE_TABLES, COLLECTION_LAYOUTS, COLLECTION_NUMERIC_LIKE, COLLECTION_WIDE_COLUMNS, MANIFEST, spec_for_file
 from curdle.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,20 +93,39 @@ def b05_flag_duplicates_in_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _all_bronze(spark, sf_dir, flag=True)
 
 
+def _load(spark: SparkSession, raw: DataFrame, file: str, warehouse: str, run: int) -> None:
+    """Rows of one file through the load path; a failed load is an error here."""
+    row = load_rows(spark, raw.withColumn(CORRUPT, F.lit(None).cast("string")), spec_for_file(file), warehouse, run)
+    if row["status"] != "SUCCESS":
+        raise RuntimeError(row["error_msg"])
+
+
+def _in_file_headers(raw: DataFrame, file: str) -> DataFrame:
+    """Fixture columns under the names that the file's header has."""
+    header = {v: k for k, v in COLLECTION_LAYOUTS.get(spec_for_file(file).source_format or "", {}).items()}
+    return raw.select(*[F.col(c).alias(header.get(c, c)) for c in raw.columns])
+
+
 def b06_incremental_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run 2 of the orders file flagged against the hashes stored by run 1."""
-    loaded = fixture_bronze(spark, sf_dir, "pedidos", flag=False)
-    stored = loaded.where(F.col("_batch_id") == 1).select("_row_hash")
-    batch = loaded.where(F.col("_batch_id") == 2)
-    flagged = flag_against_existing(batch, stored, ["_row_id"])
-    return flagged.select("id_pedido", "status", "_row_hash", "_is_duplicate")
+    """Runs 1 and 2 of the orders file through the load path: run 2 as flagged against the hashes that run 1 has stored."""
+    warehouse = scratch_path(spark, f"curdle/b06-{uuid.uuid4().hex}")
+    raw = FIXTURE_FILES["pedidos.csv"](spark, sf_dir)
+    for run in (1, 2):
+        _load(spark, raw.where(F.col("_batch") == run).drop("_batch"), "pedidos.csv", warehouse, run)
+    return read_bronze(spark, warehouse, "pedidos").where("_batch_id = 2").select("id_pedido", "status", "_row_hash", "_is_duplicate")
 
 
 def b07_ingestion_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One log row per (table, file, run); duration is left out (not deterministic)."""
-    tables = run_all((t, lambda t=t: fixture_bronze(spark, sf_dir, t)) for t in BRONZE_TABLES)
-    parts = [ingestion_log(tables[t], t) for t in BRONZE_TABLES]
-    return _union(parts).drop("duration_ms", "ingested_at", "error_msg")
+    """Every file of every run through the load path, in order, and the log that this leaves; times are left out (not deterministic)."""
+    warehouse = scratch_path(spark, f"curdle/b07-{uuid.uuid4().hex}")
+    raw = {spec.file: FIXTURE_FILES[spec.file](spark, sf_dir) for spec in MANIFEST}
+    runs = sorted({r[0] for found in raw.values() for r in found.select("_batch").distinct().collect()})
+    for run in runs:
+        for file, rows in raw.items():
+            rows = rows.where(F.col("_batch") == run).drop("_batch")
+            if not rows.isEmpty():  # a run need not bring every file
+                _load(spark, _in_file_headers(rows, file), file, warehouse, run)
+    return with_row_number(read_log(spark, warehouse), [F.col("ingested_at")]).drop("duration_ms", "ingested_at")
 
 
 def b08_schema_evolution_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,14 +140,11 @@ def b08_schema_evolution_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def b09_rerun_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders loaded by the load path as runs 1 and 2, then run 1 once more: flags follow the order of runs."""
-    spec = spec_for_file("pedidos.csv")
     warehouse = scratch_path(spark, f"curdle/b09-{uuid.uuid4().hex}")
-    raw = FIXTURE_FILES[spec.file](spark, sf_dir).withColumn(CORRUPT, F.lit(None).cast("string"))
+    raw = FIXTURE_FILES["pedidos.csv"](spark, sf_dir)
     for run in (1, 2, 1):
-        row = load_rows(spark, raw.where(F.col("_batch") == run).drop("_batch"), spec, warehouse, run)
-        if row["status"] != "SUCCESS":
-            raise RuntimeError(row["error_msg"])
-    return read_bronze(spark, warehouse, spec.table).select("id_pedido", "status", "_batch_id", "_row_hash", "_is_duplicate")
+        _load(spark, raw.where(F.col("_batch") == run).drop("_batch"), "pedidos.csv", warehouse, run)
+    return read_bronze(spark, warehouse, "pedidos").select("id_pedido", "status", "_batch_id", "_row_hash", "_is_duplicate")
 
 
 _ORDER_LINE = ", ".join(f"{c} string" for c in ("id_pedido", "cliente", "nota", "total", CORRUPT))
@@ -170,6 +186,22 @@ def b11_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze(spark, f"{home}/lake", spec.table).select("id_cliente", "nome_cliente", "cidade", "_row_hash", "_is_duplicate")
 
 
+def b12_schema_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four runs of the customer file, two of which bring a new column: one table, and which run brought what."""
+    warehouse = scratch_path(spark, f"curdle/b12-{uuid.uuid4().hex}")
+    people = read_table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("id_cliente"), F.col("c_name").alias("nome_cliente"), F.col("c_nationkey").cast("string").alias("cidade"), F.col("c_mktsegment").alias("segmento")
+    )
+    runs = {1: people.drop("cidade", "segmento"), 2: people.drop("segmento"), 3: people.where(F.col("id_cliente").cast("long") % 2 == 0), 4: people.drop("segmento")}
+    for run, rows in runs.items():
+        _load(spark, rows, "clientes.csv", warehouse, run)
+    added = schema_history(spark, warehouse, "clientes").where("added_by <> ''").withColumn("run", F.regexp_extract("added_by", r"run (\d+)", 1).cast("int"))
+    named = added.agg(F.array_sort(F.collect_list(F.struct("run", "column_name"))).alias("v"))  # a table's columns
+    by_run = named.select(F.concat_ws(",", F.transform("v", lambda x: F.concat_ws("=", x["column_name"], x["run"].cast("string")))).alias("columns_by_run"))
+    rows = read_bronze(spark, warehouse, "clientes").select("id_cliente", "nome_cliente", "cidade", "segmento", "_batch_id", "_row_hash", "_is_duplicate")
+    return rows.withColumn("columns_by_run", F.lit(by_run.first()[0]))
+
+
 BRONZE_QUERIES: dict[str, Query] = {
     "b01_normalize_date": b01_normalize_date,
     "b02_numeric_like": b02_numeric_like,
@@ -182,4 +214,5 @@ BRONZE_QUERIES: dict[str, Query] = {
     "b09_rerun_flags": b09_rerun_flags,
     "b10_malformed_rows": b10_malformed_rows,
     "b11_quoted_breaks": b11_quoted_breaks,
+    "b12_schema_versions": b12_schema_versions,
 }

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from curdle.functions.dates import month_start
 from curdle.functions.numeric import NUMERIC, ratio, round_decimal, round_ratio
 from curdle.operators.aggregates import count_when, reaggregate, share_of_period, sum_when
+from curdle.operators.ordering import with_row_number
 
 
 def _avg(sum_col: str, count_col: str) -> Column:
@@ -31,8 +32,24 @@ def _sum_count(c: Column, name: str) -> list[Column]:
     return [F.sum(c).alias(f"{name}_sum"), F.count(c).alias(f"{name}_n")]
 
 
-def _desc_nulls_first(name: str) -> Column:
-    return F.col(name).desc_nulls_first()
+#: The order of each mart: column and whether it descends (nulls last where ascending, first where descending).
+MART_ORDER: dict[str, tuple[tuple[str, bool], ...]] = {
+    "mart_coleta_fazenda_mensal": (("mes", False), ("volume_total_litros", True)),
+    "mart_eficiencia_producao": (("mes", False), ("rendimento_medio_pct", True)),
+    "mart_logistica_sla": (("mes", False), ("pct_no_prazo", False)),
+    "mart_perdas_consolidado": (("mes", False), ("valor_perdido", True)),
+    "mart_resultado_mensal": (("mes", False),),
+}
+
+
+def mart_order(mart: str) -> list[Column]:
+    return [F.col(c).desc_nulls_first() if down else F.col(c).asc_nulls_last() for c, down in MART_ORDER[mart]]
+
+
+def numbered(df: DataFrame, mart: str) -> DataFrame:
+    """The mart with ``row_no``, its place in the mart's order; ties go by the other columns, nulls first."""
+    rest = [F.col(c).asc_nulls_first() for c in df.columns if c not in dict(MART_ORDER[mart])]
+    return with_row_number(df, [*mart_order(mart), *rest])
 
 
 # ── g01 ─────────────────────────────────────────────────────────────────────
@@ -72,7 +89,7 @@ def mart_coleta_fazenda_mensal(coletas: DataFrame, fazendas: DataFrame, cooperad
         round_ratio(_avg("acid_sum", "acid_n"), 2).alias("acidez_media"),
         round_ratio(_avg("temp_sum", "temp_n"), 1).alias("temperatura_media_c"),
         round_ratio(ratio(F.col("validas"), F.col("qtd_coletas")) * 100, 1).alias("pct_coletas_validas"),
-    ).orderBy(F.col("mes").asc_nulls_last(), _desc_nulls_first("volume_total_litros"))
+    ).orderBy(*mart_order("mart_coleta_fazenda_mensal"))
 
 
 # ── g02 ─────────────────────────────────────────────────────────────────────
@@ -107,7 +124,7 @@ def mart_eficiencia_producao(producao: DataFrame, produtos: DataFrame) -> DataFr
         round_ratio(ratio(F.col("loss_sum"), F.col("in_sum")) * 100, 2).alias("pct_perda_processo"),
         round_decimal(F.col("cost_sum"), 2).alias("custo_total"),
         round_ratio(ratio(F.col("cost_sum"), F.col("out_sum")), 4).alias("custo_por_unidade_saida"),
-    ).orderBy(F.col("mes").asc_nulls_last(), _desc_nulls_first("rendimento_medio_pct"))
+    ).orderBy(*mart_order("mart_eficiencia_producao"))
 
 
 # ── g03 ─────────────────────────────────────────────────────────────────────
@@ -155,7 +172,7 @@ def mart_logistica_sla(entregas: DataFrame, rotas: DataFrame) -> DataFrame:
         round_ratio(_avg("freight_sum", "freight_n"), 2).alias("custo_frete_medio"),
         round_ratio(_avg("km_sum", "km_n"), 1).alias("km_medio"),
         round_ratio(ratio(F.col("freight_sum"), F.col("km_sum")), 4).alias("custo_por_km"),
-    ).orderBy(F.col("mes").asc_nulls_last(), F.col("pct_no_prazo").asc_nulls_last())
+    ).orderBy(*mart_order("mart_logistica_sla"))
 
 
 # ── g04 ─────────────────────────────────────────────────────────────────────
@@ -192,7 +209,7 @@ def mart_perdas_consolidado(perdas: DataFrame, grain: str = "day") -> DataFrame:
         round_decimal(F.col("value_sum"), 2).alias("valor_perdido"),
         round_ratio(_avg("value_sum", "value_n"), 2).alias("valor_medio_por_ocorrencia"),
         round_ratio(ratio(F.col("value_sum"), F.col("month_value")) * 100, 2).alias("pct_valor_no_mes"),
-    ).orderBy(F.col("mes").asc_nulls_last(), _desc_nulls_first("valor_perdido"))
+    ).orderBy(*mart_order("mart_perdas_consolidado"))
 
 
 # ── g05 and its four inputs ──────────────────────────────────────────────────
@@ -292,7 +309,7 @@ def mart_resultado_mensal(
         round_decimal(zero("valor_perdas"), 2).alias("valor_perdas"),
         round_decimal(result, 2).alias("resultado_estimado"),
         round_ratio(ratio(result, F.col("receita_liquida")) * 100, 2).alias("margem_pct"),
-    ).orderBy(F.col("mes").asc_nulls_last())
+    ).orderBy(*mart_order("mart_resultado_mensal"))
 
 
 def rounded_parts(df: DataFrame, digits: int = 2) -> DataFrame:

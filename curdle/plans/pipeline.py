@@ -5,10 +5,11 @@
   run_gold(spark, warehouse)                       5 marts (+ month-grain losses), rebuilt in full
   run_tests(spark, warehouse)                      the 48 declared tests → summary table
 
-Every layer is written as Parquet under ``warehouse/<layer>/<name>`` and
-registered as ``<layer>.<name>``; consumers read the written tables, so a
-mart never recomputes the silver lineage and a lost executor only costs
-re-reading files.
+Every layer's tables lie under ``warehouse/<layer>/<name>`` and are known to the
+catalog as ``<layer>.<name>``; a rebuild is written beside the old version and the
+table's location switched to it, so a reader sees one whole version or the other
+(``sources.store``). Consumers read the written tables, so a mart never recomputes
+the silver lineage and a lost executor only costs re-reading files.
 """
 
 from __future__ import annotations
@@ -18,11 +19,16 @@ from pyspark.sql import DataFrame, SparkSession
 from curdle.operators.quality import run_suite
 from curdle.plans import gold
 from curdle.plans.concurrency import run_all
-from curdle.plans.ingest import LOG_TABLE, QUARANTINE_TABLE, has_rows, load_file, read_bronze
+from curdle.plans.ingest import LOG_SCHEMA, LOG_TABLE, compact, load_file, read_bronze
 from curdle.plans.quality_rules import RULES
 from curdle.plans.silver import SILVER_MODELS
-from curdle.sources import catalog, files
+from curdle.sources import catalog
 from curdle.sources.manifest import MANIFEST
+from curdle.sources.store import Column, Store
+
+#: Layer of each kind of model, and any that a project places elsewhere (model name → layer).
+DEFAULT_LAYERS = {"silver": "silver", "gold": "gold"}
+MODEL_LAYERS: dict[str, str] = {}
 
 
 def run_bronze(spark: SparkSession, raw_dir: str, warehouse: str, batch_id: int) -> list[dict]:
@@ -33,22 +39,27 @@ def run_bronze(spark: SparkSession, raw_dir: str, warehouse: str, batch_id: int)
         row = load_file(spark, raw_dir, spec, warehouse, batch_id)
         if row is not None:
             rows.append(row)
-            if has_rows(spark, warehouse, spec.table):
-                catalog.register(spark, warehouse, "bronze", spec.table)
-    if rows:
-        catalog.register(spark, warehouse, "bronze", LOG_TABLE)
-    if has_rows(spark, warehouse, QUARANTINE_TABLE):
-        catalog.register(spark, warehouse, "bronze", QUARANTINE_TABLE)
+    store = Store(spark, warehouse)
+    if rows and not store.exists("bronze", LOG_TABLE):
+        store.create("bronze", LOG_TABLE, [Column(f.name, f.dataType.simpleString()) for f in LOG_SCHEMA.fields], by_load=False)
     return rows
 
 
-def _write(spark: SparkSession, df: DataFrame, warehouse: str, layer: str, name: str) -> DataFrame:
-    path = catalog.table_path(warehouse, layer, name)
-    # Readers see the old table until the new one is whole; a failed write leaves it as it is.
-    df.write.mode("overwrite").parquet(f"{path}__new")
-    files.swap(spark, f"{path}__new", path)
-    catalog.register(spark, warehouse, layer, name)
-    return spark.read.parquet(path)
+def model_layer(kind: str, name: str) -> str:
+    """Where a model is written: the layer set for it, else that of its kind."""
+    return catalog.layer_for(MODEL_LAYERS.get(name), DEFAULT_LAYERS[kind])
+
+
+def _write(spark: SparkSession, df: DataFrame, warehouse: str, kind: str, name: str) -> DataFrame:
+    return Store(spark, warehouse).write_table(df, model_layer(kind, name), name)
+
+
+def read_model(spark: SparkSession, warehouse: str, kind: str, name: str) -> DataFrame:
+    """A written model's current version."""
+    store, layer = Store(spark, warehouse), model_layer(kind, name)
+    if not store.exists(layer, name):
+        raise ValueError(f"{layer}.{name} has not been built")
+    return store.read(layer, name)
 
 
 def run_silver(spark: SparkSession, warehouse: str, strict: bool = True, as_views: bool = False) -> dict[str, DataFrame]:
@@ -72,7 +83,7 @@ def run_silver(spark: SparkSession, warehouse: str, strict: bool = True, as_view
 
 
 def silver_tables(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
-    return {m: spark.read.parquet(catalog.table_path(warehouse, "silver", m)) for m in SILVER_MODELS}
+    return {m: read_model(spark, warehouse, "silver", m) for m in SILVER_MODELS}
 
 
 def run_gold(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
@@ -98,29 +109,5 @@ def run_tests(spark: SparkSession, warehouse: str) -> DataFrame:
 
 
 def compact_bronze(spark: SparkSession, warehouse: str, table: str) -> int:
-    """Rewrite a bronze table without its flagged copies; returns the rows removed.
-
-    Loads only ever append and flag; this optional maintenance step drops the
-    flagged rows. The kept rows are staged first, then replace the whole table
-    (a load whose rows were all copies leaves no partition behind), so the
-    table is never read and written by the same job.
-    """
-    from pyspark.sql import functions as F
-
-    from curdle.operators.materialize import discard, stage
-
-    bronze = read_bronze(spark, warehouse, table)
-    if bronze is None:
-        return 0
-    removed = bronze.where(F.col("_is_duplicate")).count()
-    if removed == 0:
-        return 0
-    kept, path = stage(bronze.where(~F.col("_is_duplicate")), f"compact-{table}")
-    (
-        kept.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("_batch_id", "_source_file")
-        .parquet(catalog.table_path(warehouse, "bronze", table))
-    )
-    discard(spark, path)
-    return removed
+    """Drop a bronze table's flagged copies (see ``ingest.compact``); returns the rows removed."""
+    return compact(spark, warehouse, table)

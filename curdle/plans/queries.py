@@ -14,19 +14,19 @@ from pyspark.sql import functions as F
 
 from curdle.functions.numeric import as_doubles
 from curdle.operators import quality
-from curdle.operators.materialize import materialize
 from curdle.plans import gold
 from curdle.plans.concurrency import run_all
 from curdle.plans.quality_rules import RULES
-from curdle.plans.bronze import fixture_bronze
+from curdle.plans.bronze import fixture_firsts
 from curdle.plans.silver import SILVER_MODELS, comparable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def silver(spark: SparkSession, sf_dir: str, model: str) -> DataFrame:
+    """A model of the fixture loads, from the rows that no earlier one equals (``b05`` has them all, flagged)."""
     table, build = SILVER_MODELS[model]
-    return build(fixture_bronze(spark, sf_dir, table))
+    return build(fixture_firsts(spark, sf_dir, table))
 
 
 def _silver_query(model: str) -> Query:
@@ -56,19 +56,19 @@ def silvers(spark: SparkSession, sf_dir: str, *models: str) -> list[DataFrame]:
 
 
 def g01(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.mart_coleta_fazenda_mensal(*silvers(spark, sf_dir, "stg_coletas", "stg_fazendas", "stg_cooperados"))
+    return gold.numbered(gold.mart_coleta_fazenda_mensal(*silvers(spark, sf_dir, "stg_coletas", "stg_fazendas", "stg_cooperados")), "mart_coleta_fazenda_mensal")
 
 
 def g02(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.mart_eficiencia_producao(*silvers(spark, sf_dir, "stg_producao", "stg_produtos"))
+    return gold.numbered(gold.mart_eficiencia_producao(*silvers(spark, sf_dir, "stg_producao", "stg_produtos")), "mart_eficiencia_producao")
 
 
 def g03(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.mart_logistica_sla(*silvers(spark, sf_dir, "stg_entregas", "stg_rotas"))
+    return gold.numbered(gold.mart_logistica_sla(*silvers(spark, sf_dir, "stg_entregas", "stg_rotas")), "mart_logistica_sla")
 
 
 def g04(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.mart_perdas_consolidado(silver(spark, sf_dir, "stg_perdas"), grain="day")
+    return gold.numbered(gold.mart_perdas_consolidado(silver(spark, sf_dir, "stg_perdas"), grain="day"), "mart_perdas_consolidado")
 
 
 def g04b(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,9 +76,8 @@ def g04b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def g05(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.mart_resultado_mensal(
-        *silvers(spark, sf_dir, "stg_pedidos", "stg_itens_pedido", "stg_custos", "stg_perdas", "stg_entregas")
-    )
+    mart = gold.mart_resultado_mensal(*silvers(spark, sf_dir, "stg_pedidos", "stg_itens_pedido", "stg_custos", "stg_perdas", "stg_entregas"))
+    return gold.numbered(mart, "mart_resultado_mensal")
 
 
 def g05a(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,9 +117,9 @@ GOLD_QUERIES: dict[str, Query] = {
 
 
 def silver_for(spark: SparkSession, sf_dir: str, rules: list[quality.Rule]) -> dict[str, DataFrame]:
-    """The models that ``rules`` need, built concurrently, each written once for its many readers."""
+    """The models that ``rules`` need; the suite runs each once."""
     names = list(dict.fromkeys(m for r in rules for m in (r.model, r.parent) if m))
-    return run_all((m, lambda m=m: materialize(silver(spark, sf_dir, m), m)) for m in names)
+    return {m: silver(spark, sf_dir, m) for m in names}
 
 
 def _suite_for(tests: tuple[str, ...]) -> Query:

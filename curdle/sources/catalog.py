@@ -1,4 +1,4 @@
-"""Layers (bronze / silver / gold) as catalog databases over Parquet folders."""
+"""Layers (bronze / silver / gold): their names, folders and listing."""
 
 from __future__ import annotations
 
@@ -23,31 +23,21 @@ def table_path(warehouse: str, layer: str, name: str) -> str:
     return os.path.join(warehouse, layer, name)
 
 
-def _sql_str(text: str) -> str:
+def sql_str(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
-def ensure_layers(spark: SparkSession, warehouse: str, layers: tuple[str, ...] = LAYERS) -> None:
-    """``CREATE DATABASE IF NOT EXISTS`` for each layer, located under the warehouse folder."""
-    for layer in layers:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{_sql_str(os.path.join(warehouse, layer))}'")
+def ensure_layers(spark: SparkSession, warehouse: str, layers: tuple[str, ...] = LAYERS) -> list[str]:
+    """Create each layer's database, located under the warehouse folder; returns their names (see ``Store.database``)."""
+    from curdle.sources.store import Store
 
-
-def register(spark: SparkSession, warehouse: str, layer: str, name: str) -> None:
-    """Expose a written Parquet folder as ``layer.name`` (schema merged across partitions)."""
-    path = table_path(warehouse, layer, name)
-    spark.sql(f"DROP TABLE IF EXISTS {qualified(layer, name)}")
-    spark.sql(
-        f"CREATE TABLE {qualified(layer, name)} USING parquet OPTIONS (path '{_sql_str(path)}', mergeSchema 'true')"
-    )
-    spark.sql(f"REFRESH TABLE {qualified(layer, name)}")
+    return [Store(spark, warehouse).database(layer) for layer in layers]
 
 
 def list_tables(spark: SparkSession, layer: str) -> list[str]:
-    """Tables of one layer, ordered by name."""
+    """Tables of one layer (a database name), ordered by name."""
     return sorted(t.name for t in spark.catalog.listTables(layer))
 
 
 def read(spark: SparkSession, layer: str, name: str) -> DataFrame:
     return spark.table(qualified(layer, name))
-

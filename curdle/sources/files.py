@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -16,27 +18,41 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
-def any_match(spark: SparkSession, pattern: str) -> bool:
-    """Whether a glob pattern matches anything."""
-    fs, hpath = _fs(spark, pattern)
-    found = fs.globStatus(hpath)
-    return found is not None and len(found) > 0
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme and authority."""
+    fs, hpath = _fs(spark, path)
+    return fs.makeQualified(hpath).toString()
 
 
-def delete(spark: SparkSession, path: str) -> bool:
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """What lies in a folder, sorted; nothing if there is no such folder."""
+    fs, hpath = _fs(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath)) if fs.exists(hpath) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small file in place by one rename."""
+    fs, target = _fs(spark, path)
+    _, part = _fs(spark, f"{path}.{uuid.uuid4().hex[:8]}.part")
+    out = fs.create(part, True)
+    try:
+        out.write(text.encode("utf-8"))
+    finally:
+        out.close()
+    if not fs.rename(part, target):
+        raise OSError(f"cannot write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
     fs, hpath = _fs(spark, path)
-    return fs.delete(hpath, True)
+    stream = fs.open(hpath)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
 
 
-def swap(spark: SparkSession, new: str, target: str) -> None:
-    """Put the folder ``new`` in the place of ``target``; the old content is set aside until the new one stands."""
-    fs, source = _fs(spark, new)
-    _, place = _fs(spark, target)
-    _, aside = _fs(spark, f"{target}__old")
-    fs.delete(aside, True)
-    if fs.exists(place) and not fs.rename(place, aside):
-        raise OSError(f"cannot set aside {target}")
-    if not fs.rename(source, place):
-        fs.rename(aside, place)
-        raise OSError(f"cannot move {new} to {target}")
-    fs.delete(aside, True)
+def delete(spark: SparkSession, path: str) -> bool:
+    fs, hpath = _fs(spark, path)
+    return fs.delete(hpath, True)

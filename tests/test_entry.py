@@ -17,7 +17,7 @@ def test_entry_runs(spark):
 def test_every_query_has_oracle_sql():
     core = {q for q in entry.queries() if q != "pipeline" and not q.startswith("op")}
     assert core == {q for q in entry.oracle_sql() if q != "pipeline" and not q.startswith("op")}
-    assert len(core) == 51
+    assert len(core) == 52
 
 
 def canon(v):
@@ -35,7 +35,7 @@ def duck():
 
 
 @pytest.mark.parametrize(
-    "key", ["b09_rerun_flags", "b10_malformed_rows", "b11_quoted_breaks", "b05_flag_duplicates_in_batch", "s03_coletas", "g02_eficiencia_producao", "g05_resultado_mensal", "q05_suite_summary", "o13_regexp_replace_first"]
+    "key", ["b09_rerun_flags", "b10_malformed_rows", "b11_quoted_breaks", "b12_schema_versions", "b07_ingestion_log", "b05_flag_duplicates_in_batch", "s03_coletas", "g02_eficiencia_producao", "g05_resultado_mensal", "q05_suite_summary", "o13_regexp_replace_first"]
 )
 def test_query_matches_oracle(spark, duck, key):
     sdf = entry.queries()[key](spark, SF_SMALL)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from curdle.plans.ingest import load_file, read_bronze, read_log, read_quarantine
 from curdle.sources import catalog
+from curdle.sources.store import Store
 from curdle.sources.csv import judge_rows, read_delimited
 from curdle.sources.manifest import spec_for_file
 
@@ -22,8 +23,9 @@ def test_csv_scan_semantics(spark, scratch):
     raw = read_delimited(spark, p, ";")
     rows = {r.a: (r.b, r.c) for r in judge_rows(raw, ";").collect() if not r._quarantined}
     # empty field = '', quoted comma kept, missing field = null
-    assert rows == {"1": ("", "x"), "2": ("", "y"), "3": ("only", None), "5": ("1,5", "z"), "7": (None, None), "9": ("", "")}
-    assert sorted(r._quarantined for r in judge_rows(raw, ";").collect() if r._quarantined) == ['4;p;q;r', '6;p;q;', '8;"open;z']
+    assert rows == {"1": ("", "x"), "2": ("", "y"), "3": ("only", None), "5": ("1,5", "z"), "7": (None, None)}
+    # a quote that never closes takes the rest of the file with it
+    assert sorted(r._quarantined for r in judge_rows(raw, ";").collect() if r._quarantined) == ['4;p;q;r', '6;p;q;', '8;"open;z', '9;;']
     wide = {r.a: (r.b, r.c) for r in judge_rows(raw, ";", keep_surplus=True).collect() if not r._quarantined}
     assert wide == rows | {"4": ("p", "q"), "6": ("p", "q")}
     assert read_delimited(spark, os.path.join(scratch, "missing.csv")) is None
@@ -89,6 +91,11 @@ def test_rerun_of_an_older_run_keeps_silver(spark, scratch):
     assert flags == {(1, "2"): False, (2, "1"): False, (2, "2"): True, (2, "3"): False}
     assert compact_bronze(spark, wh, "rotas") == 1
     assert _silver(spark, wh) == [1, 2, 3]
+    # The copy that run 1 would take back is gone, so it cannot be loaded again; a later run can.
+    row = _load(spark, scratch, 1, [], wh)
+    assert row["status"] == "ERROR" and "compacted" in row["error_msg"]
+    assert _load(spark, scratch, 3, [1, 4], wh)["rows_skipped"] == 1
+    assert _silver(spark, wh) == [1, 2, 3, 4]
 
 
 def test_header_only_file_loads_nothing(spark, scratch):
@@ -136,13 +143,19 @@ def test_load_time_is_the_same_instant_in_any_zone(spark, scratch):
 def test_catalog_layers_and_listing(spark, scratch):
     assert catalog.layer_for(None) == "public"
     assert catalog.layer_for("silver") == "silver"
-    wh = os.path.join(scratch, "wh")
-    catalog.ensure_layers(spark, wh)
+    store = Store(spark, os.path.join(scratch, "wh"))
+    gold = catalog.ensure_layers(spark, store.warehouse)[2]
     for name in ("zeta", "alpha"):
-        spark.range(3).write.mode("overwrite").parquet(catalog.table_path(wh, "gold", name))
-        catalog.register(spark, wh, "gold", name)
-    assert [t for t in catalog.list_tables(spark, "gold") if t in ("alpha", "zeta")] == ["alpha", "zeta"]
-    assert catalog.read(spark, "gold", "alpha").agg(F.sum("id")).first()[0] == 3
+        store.write_table(spark.range(3), "gold", name)
+    assert catalog.list_tables(spark, gold) == ["alpha", "zeta"]
+    assert catalog.read(spark, gold, "alpha").agg(F.sum("id")).first()[0] == 3
+
+
+def test_warehouses_of_one_catalog_keep_apart(spark, scratch):
+    one, two = (Store(spark, os.path.join(scratch, n)) for n in ("wh1", "wh2"))
+    assert one.database("silver") != two.database("silver") and one.database("silver") == Store(spark, one.warehouse + "/").database("silver")
+    one.write_table(spark.range(3), "silver", "t")
+    assert not two.exists("silver", "t")
 
 
 def test_schema_evolution_across_loads(spark, scratch):
