@@ -149,7 +149,7 @@ class _Attempt:
     def check_order(self) -> None:
         """A compaction has dropped later copies of what this load holds, so it cannot be taken back."""
         done = [tuple(e[COMPACTED]) for e in self.store.journal() if COMPACTED in e and e["table"] == self.spec.table]
-        if done and self.load in self.store.loads(BRONZE, self.spec.table) and _place(self.load, self.spec.table) <= max(_place(x, self.spec.table) for x in done):
+        if done and self.load in self.store.loads(BRONZE, self.spec.table) and load_place(self.load, self.spec.table) <= max(load_place(x, self.spec.table) for x in done):
             raise ValueError(f"{self.spec.table} was compacted after run {self.load[0]} of {self.load[1]}: it cannot be loaded again")
 
     def write(self, judged: DataFrame, ingested_at: datetime) -> dict:
@@ -180,9 +180,9 @@ class _Attempt:
         table, by = self.spec.table, f"run {self.load[0]}, {self.load[1]}"
         own = [Column(c, "string", by) for c in rows.columns if not c.startswith("_")]
         if not self.store.exists(BRONZE, table):
-            self.store.create(BRONZE, table, own + LINEAGE, by_load=True)
+            self.store.create(BRONZE, table, own + LINEAGE, parts="load")
         if not self.store.exists(KEYS, table):
-            self.store.create(KEYS, table, KEY_COLUMNS, by_load=True, buckets=int(self.spark.conf.get("spark.sql.shuffle.partitions")), key=HASH)
+            self.store.create(KEYS, table, KEY_COLUMNS, parts="load", buckets=int(self.spark.conf.get("spark.sql.shuffle.partitions")), key=HASH)
         known = {c.name.lower() for c in self.store.columns(BRONZE, table)}
         if new := [c for c in own if c.name.lower() not in known]:
             self.store.add_columns(BRONZE, table, new)
@@ -220,7 +220,7 @@ class _Attempt:
         """
         table = self.spec.table
         loads = self.store.loads(KEYS, table)
-        if not any(_place(x, table) > _place(self.load, table) for x in loads):
+        if not any(load_place(x, table) > load_place(self.load, table) for x in loads):
             return
         old = self._stored((F.col(RUN) == self.load[0]) & (F.col(FILE) == self.load[1])).select(HASH)
         delta = own.join(old, HASH, "left_anti").select(HASH, F.lit(True).alias("_copy")).unionByName(
@@ -240,7 +240,7 @@ class _Attempt:
 
     def _quarantine(self, bad: DataFrame) -> None:
         if not self.store.exists(BRONZE, QUARANTINE_TABLE):
-            self.store.create(BRONZE, QUARANTINE_TABLE, QUARANTINE_COLUMNS, by_load=True)
+            self.store.create(BRONZE, QUARANTINE_TABLE, QUARANTINE_COLUMNS, parts="load")
         place = self.store.new_folder(BRONZE, QUARANTINE_TABLE)
         bad.select(F.lit(self.spec.table).alias("table_name"), F.col("_quarantined").alias("raw_line"), F.col("_ingested_at").alias("ingested_at")).write.parquet(place)
         self.changes.append(Change(BRONZE, QUARANTINE_TABLE, place, self.load))
@@ -258,7 +258,7 @@ class _Attempt:
             discard(self.spark, path)
 
 
-def _place(load: tuple[int, str], table: str) -> tuple[int, int]:
+def load_place(load: tuple[int, str], table: str) -> tuple[int, int]:
     from curdle.sources.manifest import spec_for_file
 
     return load[0], spec_for_file(load[1]).position
@@ -290,7 +290,7 @@ def compact(spark: SparkSession, warehouse: str, table: str) -> int:
         changes.append(Change(BRONZE, table, place, (r[RUN], r[FILE])))
         removed += r["count"]
     if changes:
-        last = max(store.loads(BRONZE, table), key=lambda x: _place(x, table))
+        last = max(store.loads(BRONZE, table), key=lambda x: load_place(x, table))
         store.commit(changes)
         store.note_compaction(table, last)
     return removed

@@ -19,12 +19,13 @@ from pyspark.sql import DataFrame, SparkSession
 from curdle.operators.quality import run_suite
 from curdle.plans import gold
 from curdle.plans.concurrency import run_all
+from curdle.plans.incremental import update_model
 from curdle.plans.ingest import LOG_SCHEMA, LOG_TABLE, compact, load_file, read_bronze
 from curdle.plans.quality_rules import RULES
-from curdle.plans.silver import SILVER_MODELS
+from curdle.plans.silver import KEY, SILVER_MODELS
 from curdle.sources import catalog
 from curdle.sources.manifest import MANIFEST
-from curdle.sources.store import Column, Store
+from curdle.sources.store import BUCKET, Column, Store
 
 #: Layer of each kind of model, and any that a project places elsewhere (model name → layer).
 DEFAULT_LAYERS = {"silver": "silver", "gold": "gold"}
@@ -41,7 +42,7 @@ def run_bronze(spark: SparkSession, raw_dir: str, warehouse: str, batch_id: int)
             rows.append(row)
     store = Store(spark, warehouse)
     if rows and not store.exists("bronze", LOG_TABLE):
-        store.create("bronze", LOG_TABLE, [Column(f.name, f.dataType.simpleString()) for f in LOG_SCHEMA.fields], by_load=False)
+        store.create("bronze", LOG_TABLE, [Column(f.name, f.dataType.simpleString()) for f in LOG_SCHEMA.fields])
     return rows
 
 
@@ -59,7 +60,7 @@ def read_model(spark: SparkSession, warehouse: str, kind: str, name: str) -> Dat
     store, layer = Store(spark, warehouse), model_layer(kind, name)
     if not store.exists(layer, name):
         raise ValueError(f"{layer}.{name} has not been built")
-    return store.read(layer, name)
+    return store.read(layer, name).drop(KEY, BUCKET)
 
 
 def run_silver(spark: SparkSession, warehouse: str, strict: bool = True, as_views: bool = False) -> dict[str, DataFrame]:
@@ -82,6 +83,13 @@ def run_silver(spark: SparkSession, warehouse: str, strict: bool = True, as_view
     return run_all((m, lambda m=m: _write(spark, built[m], warehouse, "silver", m)) for m in built)
 
 
+def update_silver(spark: SparkSession, warehouse: str, strict: bool = True) -> dict[str, str]:
+    """Bring the silver models up to the loads as they stand now, by keys; returns what each took (see ``incremental``)."""
+    catalog.ensure_layers(spark, warehouse)
+    models = [m for m, (table, _) in SILVER_MODELS.items() if Store(spark, warehouse).exists("bronze", table)]
+    return run_all((m, lambda m=m: update_model(spark, warehouse, m, model_layer("silver", m), strict)) for m in models)
+
+
 def silver_tables(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
     return {m: read_model(spark, warehouse, "silver", m) for m in SILVER_MODELS}
 

@@ -16,6 +16,7 @@ keeps the two apart. Casts are ANSI (raise on bad text) unless ``strict=False``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,8 @@ from curdle.operators.dedup import DUP, latest_by_key
 from curdle.sources.manifest import MANIFEST
 
 LINEAGE = ["_row_hash", "_source_file", "_ingested_at"]
+#: The raw key of a row, carried by a model that is merged by key (``keyed=True``).
+KEY = "_key"
 
 # Accepted member statuses.
 MEMBER_STATUSES = ["ATIVO", "INATIVO", "SUSPENSO"]
@@ -40,14 +43,27 @@ def latest_rows(bronze: DataFrame, key: Column | str) -> DataFrame:
     """Steps 1–2 of every model."""
     live = bronze.where(~F.col(DUP))
     place = F.try_element_at(F.create_map(*[p for s in MANIFEST for p in (F.lit(s.file), F.lit(s.position))]), F.col("_source_file"))
-    return latest_by_key(live, key, [F.desc("_batch_id"), place.desc_nulls_last(), F.desc("_row_id")])
+    newest = latest_by_key(live, key, [F.desc("_batch_id"), place.desc_nulls_last(), F.desc("_row_id")])
+    return newest.withColumn(KEY, key if isinstance(key, Column) else _c(key))
 
 
 def _lineage() -> list[Column]:
-    return [F.col(c) for c in LINEAGE]
+    return [F.col(c) for c in [*LINEAGE, KEY]]
 
 
-def stg_cooperados(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def _model(build: Callable[[DataFrame, bool], DataFrame]) -> Callable[..., DataFrame]:
+    """A model without its raw key, unless ``keyed``."""
+
+    @wraps(build)
+    def run(bronze: DataFrame, strict: bool = True, keyed: bool = False) -> DataFrame:
+        out = build(bronze, strict)
+        return out if keyed else out.drop(KEY)
+
+    return run
+
+
+@_model
+def stg_cooperados(bronze: DataFrame, strict: bool) -> DataFrame:
     rows = latest_rows(bronze, "id_cooperado")
     typed = rows.select(
         to_bigint(_c("id_cooperado"), strict).alias("id_cooperado"),
@@ -66,7 +82,8 @@ def stg_cooperados(bronze: DataFrame, strict: bool = True) -> DataFrame:
     return typed.withColumn("_dq_ok", ok)
 
 
-def stg_fazendas(bronze: DataFrame, strict: bool = True) -> DataFrame:
+@_model
+def stg_fazendas(bronze: DataFrame, strict: bool) -> DataFrame:
     rows = latest_rows(bronze, "id_fazenda")
     area = to_numeric(blank_to_null(_c("area_hectares")), strict)
     animals = to_numeric(blank_to_null(_c("qtd_animais_lactacao")), strict)
@@ -101,8 +118,9 @@ def _collection_field(name: str) -> Column:
     return F.coalesce(*[_c(c) for c in COLLECTION_FIELDS[name]])
 
 
-def stg_coletas(bronze: DataFrame, strict: bool = True) -> DataFrame:
-    rows = latest_rows(bronze, _collection_field("id_coleta"))
+@_model
+def stg_coletas(bronze: DataFrame, strict: bool) -> DataFrame:
+    rows = latest_rows(bronze, raw_key("stg_coletas"))
 
     def measure(name: str) -> Column:
         return to_numeric(F.translate(blank_to_null(_collection_field(name)), ",", "."), strict)
@@ -128,7 +146,8 @@ def stg_coletas(bronze: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def stg_produtos(bronze: DataFrame, strict: bool = True) -> DataFrame:
+@_model
+def stg_produtos(bronze: DataFrame, strict: bool) -> DataFrame:
     rows = latest_rows(bronze, "id_produto")
     price = to_numeric(blank_to_null(_c("preco_venda")), strict)
     cost = to_numeric(_c("custo_unitario"), strict)
@@ -150,7 +169,8 @@ def production_yield(volume_out: Column, volume_in: Column) -> Column:
     return round_ratio(ratio(volume_out, volume_in), 4).cast(NUMERIC)
 
 
-def stg_producao(bronze: DataFrame, strict: bool = True) -> DataFrame:
+@_model
+def stg_producao(bronze: DataFrame, strict: bool) -> DataFrame:
     rows = latest_rows(bronze, "id_producao")
     vin = to_numeric(_c("volume_entrada_litros"), strict)
     vout = to_numeric(_c("volume_saida"), strict)
@@ -170,7 +190,8 @@ def stg_producao(bronze: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def stg_clientes(bronze: DataFrame, strict: bool = True) -> DataFrame:
+@_model
+def stg_clientes(bronze: DataFrame, strict: bool) -> DataFrame:
     rows = latest_rows(bronze, "id_cliente")
     return rows.select(
         to_bigint(_c("id_cliente"), strict).alias("id_cliente"),
@@ -185,7 +206,8 @@ def stg_clientes(bronze: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def stg_pedidos(bronze: DataFrame, strict: bool = True) -> DataFrame:
+@_model
+def stg_pedidos(bronze: DataFrame, strict: bool) -> DataFrame:
     rows = latest_rows(bronze, "id_pedido")
     return rows.select(
         to_bigint(_c("id_pedido"), strict).alias("id_pedido"),
@@ -199,7 +221,8 @@ def stg_pedidos(bronze: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def stg_itens_pedido(bronze: DataFrame, strict: bool = True) -> DataFrame:
+@_model
+def stg_itens_pedido(bronze: DataFrame, strict: bool) -> DataFrame:
     rows = latest_rows(bronze, "id_item")
     typed = rows.select(
         to_bigint(_c("id_item"), strict).alias("id_item"),
@@ -221,7 +244,8 @@ def stg_itens_pedido(bronze: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def stg_rotas(bronze: DataFrame, strict: bool = True) -> DataFrame:
+@_model
+def stg_rotas(bronze: DataFrame, strict: bool) -> DataFrame:
     rows = latest_rows(bronze, "id_rota")
     km = to_numeric(_c("km_total"), strict)
     return rows.select(
@@ -236,7 +260,8 @@ def stg_rotas(bronze: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def stg_entregas(bronze: DataFrame, strict: bool = True) -> DataFrame:
+@_model
+def stg_entregas(bronze: DataFrame, strict: bool) -> DataFrame:
     rows = latest_rows(bronze, "id_entrega")
     planned = iso_date(_c("data_prevista"), strict)
     actual = iso_date(_c("data_realizada"), strict)
@@ -256,7 +281,8 @@ def stg_entregas(bronze: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def stg_custos(bronze: DataFrame, strict: bool = True) -> DataFrame:
+@_model
+def stg_custos(bronze: DataFrame, strict: bool) -> DataFrame:
     rows = latest_rows(bronze, "id_custo")
     value = to_numeric(_c("valor"), strict)
     return rows.select(
@@ -272,7 +298,8 @@ def stg_custos(bronze: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def stg_perdas(bronze: DataFrame, strict: bool = True) -> DataFrame:
+@_model
+def stg_perdas(bronze: DataFrame, strict: bool) -> DataFrame:
     rows = latest_rows(bronze, "id_perda")
     return rows.select(
         to_bigint(_c("id_perda"), strict).alias("id_perda"),
@@ -290,6 +317,26 @@ def stg_perdas(bronze: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
+def raw_key(model: str) -> Column:
+    """The key that a model takes the newest row of, in bronze columns."""
+    return _collection_field("id_coleta") if model == "stg_coletas" else _c(MODEL_KEYS[model])
+
+
+# Silver model → its key column in bronze (collections have one in each layout).
+MODEL_KEYS = {
+    "stg_cooperados": "id_cooperado",
+    "stg_fazendas": "id_fazenda",
+    "stg_produtos": "id_produto",
+    "stg_producao": "id_producao",
+    "stg_clientes": "id_cliente",
+    "stg_pedidos": "id_pedido",
+    "stg_itens_pedido": "id_item",
+    "stg_rotas": "id_rota",
+    "stg_entregas": "id_entrega",
+    "stg_custos": "id_custo",
+    "stg_perdas": "id_perda",
+}
+
 # silver model → (bronze table, builder)
 SILVER_MODELS: dict[str, tuple[str, Callable[..., DataFrame]]] = {
     "stg_cooperados": ("cooperados", stg_cooperados),

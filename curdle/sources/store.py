@@ -33,6 +33,11 @@ from curdle.sources.catalog import sql_str, table_path
 
 #: Partition columns of loads.
 RUN, FILE = "_batch_id", "_source_file"
+#: Partition column of a table that is merged by key.
+BUCKET = "_bucket"
+#: How a table is partitioned → its partition columns.
+PARTS = {"": (), "load": ((RUN, "bigint"), (FILE, "string")), "bucket": ((BUCKET, "int"),)}
+Part = tuple[int, str] | tuple[int]
 JOURNAL = "_journal"
 COMPACTED = "compacted"
 
@@ -46,12 +51,12 @@ class Column:
 
 @dataclass(frozen=True)
 class Change:
-    """A table (or one load's partition of it) and the folder that holds its rows from now on; None: no rows."""
+    """A table (or one partition of it) and the folder that holds its rows from now on; None: no rows."""
 
     layer: str
     table: str
     location: str | None
-    load: tuple[int, str] | None = None
+    load: Part | None = None
 
 
 def _quoted(name: str) -> str:
@@ -62,8 +67,8 @@ def _ddl(columns: Sequence[Column]) -> str:
     return ", ".join(f"{_quoted(c.name)} {c.type}" + (f" COMMENT '{sql_str(c.added_by)}'" if c.added_by else "") for c in columns)
 
 
-def _partition(load: tuple[int, str]) -> str:
-    return f"PARTITION ({RUN}={int(load[0])}, {FILE}='{sql_str(load[1])}')"
+def _partition(part: Part) -> str:
+    return f"PARTITION ({RUN}={int(part[0])}, {FILE}='{sql_str(part[1])}')" if len(part) == 2 else f"PARTITION ({BUCKET}={int(part[0])})"
 
 
 class Store:
@@ -99,25 +104,26 @@ class Store:
         """Whether the catalog has the table; one that only the journal knows is attached first."""
         return self.spark.catalog.tableExists(self.name(layer, table)) or self._attach(layer, table)
 
-    def create(self, layer: str, table: str, columns: Sequence[Column], by_load: bool, buckets: int = 0, key: str = "", place: str | None = None) -> None:
-        """Define a table whose rows lie at ``place``; one of loads has none yet."""
+    def create(self, layer: str, table: str, columns: Sequence[Column], parts: str = "", buckets: int = 0, key: str = "", place: str | None = None) -> None:
+        """Define a table whose rows lie at ``place``; one with ``parts`` ("load" or "bucket") has none yet."""
         place = place or table_path(self.warehouse, layer, table)
-        made = {"layer": layer, "table": table, "columns": [asdict(c) for c in columns], "by_load": by_load, "buckets": buckets, "key": key, "place": place}
+        made = {"layer": layer, "table": table, "columns": [asdict(c) for c in columns], "parts": parts, "buckets": buckets, "key": key, "place": place}
         self._define(made)
         self._note([made])
 
     def _define(self, made: dict) -> None:
-        columns, by_load, buckets, key = [Column(**c) for c in made["columns"]], made["by_load"], made["buckets"], made["key"]
-        parts = f"PARTITIONED BY ({RUN}, {FILE})" if by_load else ""
-        load = [Column(RUN, "bigint"), Column(FILE, "string")] if by_load else []
+        columns, buckets, key = [Column(**c) for c in made["columns"]], made["buckets"], made["key"]
+        by = [Column(*c) for c in PARTS[made["parts"]]]
+        parts = f"PARTITIONED BY ({', '.join(c.name for c in by)})" if by else ""
         clustered = f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS" if buckets else ""
         name, place = self.name(made["layer"], made["table"]), sql_str(made["place"])
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_ddl([*columns, *load])}) USING parquet {parts} {clustered} LOCATION '{place}'")
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_ddl([*columns, *by])}) USING parquet {parts} {clustered} LOCATION '{place}'")
 
     def columns(self, layer: str, table: str) -> list[Column]:
-        """The table's columns but the load's, each with the load that added it."""
+        """The table's columns but its partition's, each with the load that added it."""
         fields = self.spark.table(self.name(layer, table)).schema.fields
-        return [Column(f.name, f.dataType.simpleString(), f.metadata.get("comment", "")) for f in fields if f.name not in (RUN, FILE)]
+        by = {c.name for c in self.spark.catalog.listColumns(self.name(layer, table)) if c.isPartition}
+        return [Column(f.name, f.dataType.simpleString(), f.metadata.get("comment", "")) for f in fields if f.name not in by]
 
     def add_columns(self, layer: str, table: str, columns: Sequence[Column]) -> None:
         self.spark.sql(f"ALTER TABLE {self.name(layer, table)} ADD COLUMNS ({_ddl(columns)})")
@@ -132,14 +138,17 @@ class Store:
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.table(self.name(layer, table))
 
-    def loads(self, layer: str, table: str) -> list[tuple[int, str]]:
-        """The loads that a table holds, from the catalog alone."""
+    def loads(self, layer: str, table: str) -> list[Part]:
+        """The loads (or buckets) that a table holds, from the catalog alone."""
         found = []
         for r in self.spark.sql(f"SHOW PARTITIONS {self.name(layer, table)}").collect():
-            run, file = (unquote(x.split("=", 1)[1]) for x in r[0].split("/"))
-            found.append((int(run), file))
+            first, *more = (unquote(x.split("=", 1)[1]) for x in r[0].split("/"))
+            found.append((int(first), *more))
         return sorted(found)
 
+    def is_partitioned(self, layer: str, table: str) -> bool:
+        return any(c.isPartition for c in self.spark.catalog.listColumns(self.name(layer, table)))
+
     def location(self, layer: str, table: str, load: tuple[int, str] | None = None) -> str | None:
         if load is not None and load not in self.loads(layer, table):
             return None
@@ -147,14 +156,14 @@ class Store:
         rows = self.spark.sql(f"DESCRIBE FORMATTED {self.name(layer, table)} {part}").where("col_name = 'Location'").collect()
         return rows[0]["data_type"]
 
-    def commit(self, changes: Sequence[Change]) -> Callable[[], None]:
-        """Switch all places or none; returns a function that switches them back."""
+    def commit(self, changes: Sequence[Change], note: dict | None = None) -> Callable[[], None]:
+        """Switch all places or none; returns a function that switches them back. ``note`` is kept with the commit."""
         done: list[Change] = []
 
-        def undo(note: bool = True) -> None:
+        def undo(noted: bool = True) -> None:
             for c in reversed(done):
                 self._switch(c)
-            if note:
+            if noted:
                 self._note([asdict(c) for c in done])
 
         try:
@@ -162,9 +171,9 @@ class Store:
                 before = Change(c.layer, c.table, self.location(c.layer, c.table, c.load), c.load)
                 done.append(before)
                 self._switch(c)
-            self._note([asdict(c) for c in changes])
+            self._note([asdict(c) for c in changes] + ([note] if note else []))
         except BaseException:
-            undo(note=False)
+            undo(noted=False)
             raise
         return undo
 
@@ -186,11 +195,11 @@ class Store:
         df.write.parquet(place)
         columns = [Column(f.name, f.dataType.simpleString()) for f in df.schema.fields]
         if self.exists(layer, table):
-            if [(f.name, f.dataType) for f in self.read(layer, table).schema.fields] == [(f.name, f.dataType) for f in df.schema.fields]:
+            if not self.is_partitioned(layer, table) and [(f.name, f.dataType) for f in self.read(layer, table).schema.fields] == [(f.name, f.dataType) for f in df.schema.fields]:
                 self.commit([Change(layer, table, place)])
                 return self.read(layer, table)
             self.spark.sql(f"DROP TABLE {self.name(layer, table)}")
-        self.create(layer, table, columns, by_load=False, place=place)
+        self.create(layer, table, columns, place=place)
         return self.read(layer, table)
 
     def write_bucketed(self, df: DataFrame, columns: Sequence[Column], key: str, buckets: int, layer: str, table: str) -> tuple[str, str]:
@@ -245,9 +254,9 @@ class Store:
         """Remove the folders of attempts that no location names (no reader of an older state may be running); returns how many."""
         if not self.exists(layer, table):
             return 0
-        by_load = RUN in self.read(layer, table).columns
-        named = {self.location(layer, table, x) for x in (self.loads(layer, table) if by_load else [None])}
+        named = {self.location(layer, table, x) for x in (self.loads(layer, table) if self.is_partitioned(layer, table) else [None])}
         named, root = {files.qualified(self.spark, x) for x in named if x}, table_path(self.warehouse, layer, table)
+        named |= {os.path.dirname(x) for x in named}  # a folder of buckets stays while one of them is named
         old = [x for x in files.names(self.spark, root) if files.qualified(self.spark, os.path.join(root, x)) not in named]
         for x in old:
             files.delete(self.spark, os.path.join(root, x))

@@ -3,7 +3,7 @@
 import os
 
 from curdle.__main__ import main
-from curdle.sources import catalog
+from curdle.plans import pipeline
 
 
 def test_cli_bronze_then_silver(spark, scratch, capsys):
@@ -14,5 +14,5 @@ def test_cli_bronze_then_silver(spark, scratch, capsys):
     main(["bronze", "--raw", raw, "--batch", "1", "--warehouse", wh])
     assert '"status": "SUCCESS"' in capsys.readouterr().out
     main(["silver", "--warehouse", wh])
-    row = spark.read.parquet(catalog.table_path(wh, "silver", "stg_rotas")).first()
+    row = pipeline.read_model(spark, wh, "silver", "stg_rotas").first()
     assert (row.id_rota, row.nome_rota, float(row.km_total), row.ativo, row._dq_ok) == (1, "R1", 10.5, True, True)
