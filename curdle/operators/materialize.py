@@ -39,11 +39,16 @@ def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """``stage`` for a result whose readers are not known; the folder is released later."""
     out, path = stage(df, name)
-    with _LOCK:
-        _STAGED.append((df.sparkSession, path))
+    release_later(df.sparkSession, path)
     return out
 
 
+def release_later(spark: SparkSession, path: str) -> None:
+    """Leave a staged folder to ``release_staged``."""
+    with _LOCK:
+        _STAGED.append((spark, path))
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a staged folder once nothing reads it any more (best effort, any Hadoop file system)."""
     try:
