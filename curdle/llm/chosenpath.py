@@ -68,14 +68,16 @@ def _walk(first: np.ndarray, tokens: np.ndarray, runs: int, threshold: float):
     def bar_at(level: int) -> np.ndarray:
         # Tokens that the path has used, and as many that only one of two sets may hold, are no longer there to agree on.
         limit = np.minimum(RATE / (threshold * np.maximum(size - 2 * level, 1)), 1.0)
-        return np.minimum(limit * 2.0**64, 2.0**64 - 2048).astype(np.uint64)
+        # Two different sets of n tokens or less agree in at most n of n + 1: so short ones match equal sets only, which are one set.
+        limit[size + 1e-9 < threshold * (size + 1)] = -1.0
+        return np.where(limit < 0, 0.0, np.minimum(limit * 2.0**64, 2.0**64 - 2048)).astype(np.uint64)
 
     bar_of_token = np.repeat(bar_at(0), size)
     set_of_token = np.repeat(np.arange(len(size)), size)
     owner, path, used = [], [], []
     for r in range(runs):
         salt = K.seed(1000 + r)
-        at = np.flatnonzero(K.mix(tokens ^ salt) <= bar_of_token)
+        at = np.flatnonzero(K.mix(tokens ^ salt) < bar_of_token)
         owner.append(set_of_token[at]), path.append(K.mix(tokens[at] + salt)), used.append(tokens[at])
     owner, path, used = np.concatenate(owner), np.concatenate(path), np.concatenate(used)[:, None]
     order = np.argsort(owner, kind="stable")
@@ -90,7 +92,7 @@ def _walk(first: np.ndarray, tokens: np.ndarray, runs: int, threshold: float):
             n = size[owner[lo:hi]]
             node = np.repeat(np.arange(lo, hi), n)
             token = tokens[np.arange(len(node)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[owner[lo:hi]], n)]
-            hit = K.mix(token ^ path[node]) <= bar[owner[node]]
+            hit = K.mix(token ^ path[node]) < bar[owner[node]]
             for c in range(used.shape[1]):  # a token splits a path once
                 hit &= token != used[node, c]
             at = np.flatnonzero(hit)
