@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -104,16 +105,32 @@ class Encoder:
             return self._piece(unit)
         return b"".join(map(self._piece, self.split(unit)))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        units = [None if self.whole.search(t) else t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") for t in texts]
+    def _units(self, units: list[str]) -> list[bytes]:
+        """Ids of distinct units, those not met lately encoded."""
         if len(self.table) > TABLE:  # units in use come over from the table before
             self.before, self.table = self.table, {}
-        new = {u for many in units if many for u in many if u not in self.table}
-        met = {u: self.before[u] for u in new if u in self.before}
-        self.table.update(met)
-        self.table.update((u, self._unit(u)) for u in new if u not in met)
-        known = self.table.__getitem__
-        return [self._by_library([t])[0] if many is None else b"".join(map(known, many)) for t, many in zip(texts, units)]
+        table, before = self.table, self.before
+        new = [u for u in units if u not in table]
+        met = {u: before[u] for u in new if u in before}
+        new = [u for u in new if u not in met]
+        table.update(met)
+        table.update((u, self._unit(u) if u else b"") for u in new)
+        return [table[u] for u in units]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Units are cut out, told apart and put together again as Arrow columns; Python sees each distinct one of a group once."""
+        cut = [not self.whole.search(t) for t in texts]
+        marked = pa.array([t for t, c in zip(texts, cut) if c], pa.string())
+        marked = pc.replace_substring(pc.replace_substring(marked, " ", "\0 "), "\n", "\0\n\0")
+        units = pc.split_pattern(marked, "\0")
+        coded = units.flatten().dictionary_encode()
+        ids = pa.array(self._units(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
+        if len(ids):
+            _, ends, data = ids.buffers()
+            at = np.frombuffer(ends, dtype=np.int64)[units.offsets.to_numpy()] if len(units) else []
+            data = memoryview(data) if data is not None else memoryview(b"")
+        found = iter(range(len(units)))
+        return [bytes(data[at[i] : at[i + 1]]) if c and (i := next(found)) is not None else self._by_library([t])[0] for t, c in zip(texts, cut)]
 
 
 _encoders: dict[int, Encoder] = {}
