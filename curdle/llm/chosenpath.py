@@ -119,7 +119,7 @@ def _sketches(first: np.ndarray, tokens: np.ndarray) -> np.ndarray:
 
 
 _LEVELS = "".join(f", p{d} array<long>, q{d} array<int>" for d in range(1, DEPTH + 1))
-_SETS = "doc_id {id}, sid long, h long, n int, sketch binary" + _LEVELS
+_SETS = "doc_id {id}, th long, sid long, h long, n int, sketch binary" + _LEVELS
 
 
 def _signatures(docs: DataFrame, ngram: int, threshold: float, runs: int) -> DataFrame:
@@ -137,7 +137,7 @@ def _signatures(docs: DataFrame, ngram: int, threshold: float, runs: int) -> Dat
                 sums = [np.add.reduceat(K.mix(token ^ K.seed(i)), first[:-1]) for i in (1, 2)]
                 sketch = _sketches(first, token)
                 columns = [
-                    batch.column(0).slice(a, b - a).take(pa.array(has)), K.as_long(K.mix(sums[0])), K.as_long(K.mix(sums[1])),
+                    *(batch.column(i).slice(a, b - a).take(pa.array(has)) for i in (0, 2)), K.as_long(K.mix(sums[0])), K.as_long(K.mix(sums[1])),
                     pa.array(n, pa.int32()), pa.array([s.tobytes() for s in sketch], pa.binary()),
                 ]
                 for o, path, parent in _walk(first, token, runs, threshold):
@@ -147,7 +147,7 @@ def _signatures(docs: DataFrame, ngram: int, threshold: float, runs: int) -> Dat
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, _SETS.format(id=kind))
+    return docs.select("doc_id", "text", "th").mapInArrow(run, _SETS.format(id=kind))
 
 
 def _leaves(sets: DataFrame, limit: int) -> DataFrame:
@@ -266,13 +266,14 @@ def _grams(docs: DataFrame, ngram: int) -> DataFrame:
 def jaccard_classes(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", ngram: int = NGRAM, threshold: float = THRESHOLD, recall: float = RECALL, limit: int = LIMIT
 ) -> DataFrame:
-    """(doc_id, class_id, n_links, n_grams) of every row.
+    """(doc_id, class_id, n_links, n_grams, th, class_key) of every row.
 
     ``class_id`` is the smallest id of the documents connected by links (Jaccard
     similarity of ``threshold`` or more); ``n_links`` counts the other documents
-    that the row links to directly, its copies included.
+    that the row links to directly, its copies included. ``th`` is the text's hash and
+    ``class_key`` names the class, which ids cannot where one id has several texts (null: no word).
     """
-    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("th", F.xxhash64("text"))
     signed = materialize(_signatures(own.where(F.col("doc_id").isNotNull()), ngram, threshold, runs_for(recall)), "signatures")
     levels = [c for d in range(1, DEPTH + 1) for c in (f"p{d}", f"q{d}")]
     sets = signed.groupBy("sid", "h").agg(
@@ -296,12 +297,13 @@ def jaccard_classes(
     links = verified.groupBy("sid").agg(F.sum("links").alias("links"))
     known = classes.join(links, "sid").join(sets.select("sid", "rep"), "sid")
     least = known.groupBy("root").agg(F.min("rep").alias("class_id"))
-    known = known.join(least, "root").select("sid", "class_id", "links")
+    known = known.join(least, "root").select("sid", "class_id", "links", "root")
     of_set = sets.select("sid", "rep", "copies", F.col("n").alias("n_grams")).join(known, "sid", "left").select(
-        "sid", F.coalesce("class_id", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "n_grams"
+        "sid", F.coalesce("class_id", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "n_grams",
+        F.coalesce("root", "sid").alias("class_key"),
     )
-    done = signed.select("doc_id", "sid").join(of_set, "sid").select("doc_id", "class_id", "n_links", "n_grams")
+    done = signed.select("doc_id", "th", "sid").join(of_set, "sid").select("doc_id", "class_id", "n_links", "n_grams", "th", "class_key")
     no_word = own.where(F.col("doc_id").isNull() | ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
-    zero = no_word.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).alias("n_grams"))
+    zero = no_word.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).alias("n_grams"), "th", F.lit(None).cast("long").alias("class_key"))
     return done.unionByName(zero)
 

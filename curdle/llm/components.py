@@ -2,8 +2,8 @@
 
 Each round is a minimum per node (with partial aggregation) joined back to the
 edges, so a hub with a third of all edges is summed up before it moves and its
-join partition can be split. Rounds are written to the shared checkpoint folder;
-two counts a round are all that the driver sees.
+join partition can be split. Rounds are written to the shared checkpoint folder, each
+removed when the next one stands; two counts a round are all that the driver sees.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curdle.operators.materialize import materialize
+from curdle.operators.materialize import discard, materialize, release_later, stage
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -40,11 +40,16 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     edges = materialize(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).distinct(), name)
     nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     now = edges.where("a <> b")
-    state = _state(now)
+    state, path = _state(now), None
     while state[0]:
-        now = materialize(_small_star(_large_star(now)), name)
+        now, new = stage(_small_star(_large_star(now)), name)
         before, state = state, _state(now)
+        if path:
+            discard(edges.sparkSession, path)
+        path = new
         if state == before:
             break
+    if path:
+        release_later(edges.sparkSession, path)
     # Stars remain: every node but the roots has one edge, to its root.
     return nodes.join(now, nodes["node"] == now["a"], "left").select("node", F.coalesce("b", "node").alias("root"))

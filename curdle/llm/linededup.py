@@ -29,16 +29,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from curdle.llm import kernels as K
 from curdle.llm.components import connected_components
 from curdle.llm.setblocks import Group, in_block_pairs, labels, run_pairs, similar
-from curdle.operators.materialize import materialize
+from curdle.operators.materialize import discard, materialize, stage
 
 NGRAM = 5
 THRESHOLD = 0.8
@@ -106,7 +105,9 @@ def slice_lines(data: np.ndarray, offsets: np.ndarray, counts: np.ndarray, ngram
     for i in range(1, ngram):
         has = i < width[owner]
         least[has] = np.minimum(least[has], rare[at[has] + i])
-    order = np.lexsort((token, owner * 256 + least))
+    # By rarity, then token: one sort of both in 64 bits (the token's last 8 bits give way), then a stable one by line.
+    order = np.argsort((least.astype(np.uint64) << np.uint64(56)) | (token >> np.uint64(8)))
+    order = order[np.argsort(owner[order], kind="stable")]
     owner, token, least = owner[order], token[order], least[order]
     keep = np.ones(len(owner), dtype=bool)
     keep[1:] = (owner[1:] != owner[:-1]) | (token[1:] != token[:-1])
@@ -120,9 +121,8 @@ def _needed(n: np.ndarray, threshold: float) -> np.ndarray:
 _LINES = "doc_id long, th long, line int, sid long, h long, n int, tokens array<long>, places array<smallint>"
 
 
-def _lines(docs: DataFrame, counts: np.ndarray, ngram: int, threshold: float) -> DataFrame:
-    """A row for each line with a word, and one with line -1 for each document."""
-    shipped = docs.sparkSession.sparkContext.broadcast(counts)  # SLOTS bytes, whatever the data
+def _lines(docs: DataFrame, shipped: Broadcast, ngram: int, threshold: float) -> DataFrame:
+    """A row for each line with a word, and one with line -1 for each document; ``shipped`` holds the word counts."""
     names = [c.split()[0] for c in _LINES.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,9 +256,8 @@ def _wanted(lines: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-def _grams(texts: DataFrame, wanted: np.ndarray, ngram: int) -> DataFrame:
-    """(doc_id, th, line, sid, grams) of all wanted lines, and of a few others that share a bit with one."""
-    shipped = texts.sparkSession.sparkContext.broadcast(wanted)  # SLOTS bytes, whatever the data
+def _grams(texts: DataFrame, shipped: Broadcast, ngram: int) -> DataFrame:
+    """(doc_id, th, line, sid, grams) of all lines marked in the table ``shipped``, and of a few others that share a bit with one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -295,34 +294,44 @@ def _with_key(docs: DataFrame, id_col: str, text: str) -> DataFrame:
 
 def decisions(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ngram: int = NGRAM, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, th, n_lines, removed): how many lines with a word each document has, and the numbers (from 0) of those removed."""
+    spark = docs.sparkSession
     own = _with_key(docs, id_col, text)
-    counts = word_counts(own.select("text"))
-    lines = materialize(_lines(own, counts, ngram, threshold), "lines")
+    counts = spark.sparkContext.broadcast(word_counts(own.select("text")))  # SLOTS bytes, whatever the data
+    full, full_path = stage(_lines(own, counts, ngram, threshold), "lines")
+    counts.destroy()
     place = F.struct(F.col("doc_id").isNotNull().alias("has_id"), "doc_id", "th", "line")
-    sets = lines.where("line >= 0").groupBy("sid", "h").agg(
-        F.min(place).alias("at"), F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("places").alias("places")
+    sets, sets_path = stage(
+        full.where("line >= 0").groupBy("sid", "h").agg(F.min(place).alias("at"), F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("places").alias("places")),
+        "line-sets",
     )
-    sets = materialize(sets, "line-sets")
+    # Only places and identities are read from here on; the tokens of all lines go.
+    lines = materialize(full.select("doc_id", "th", "line", "sid"), "line-places")
+    discard(spark, full_path)
     entries = sets.select("sid", "n", F.explode(F.arrays_zip("tokens", "places")).alias("e")).select(
         "sid", "n", F.col("e.tokens").alias("token"), F.col("e.places").alias("place")
     )
     # Written, so that both sides of the join are shuffles of their own and a frequent token's rows can be split.
-    sizes = materialize(entries.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"), "line-tokens")
+    sizes, sizes_path = stage(entries.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"), "line-tokens")
     met = in_block_pairs(entries.join(sizes, "token"), "token", "size", FILTER_BLOCK).select("pair", "side", "sid", "n", "place")
     forest = run_pairs(met, _filter_forest(threshold), "a long, b long", _filter_twos(threshold))
     found = materialize(connected_components(forest, "line-candidates"), "line-candidates")
+    known = materialize(sets.select("sid", "at"), "line-set-places")
+    for path in (sizes_path, sets_path):
+        discard(spark, path)
     of_comp = found.groupBy("root").agg(F.count("*").alias("size"))
-    candidates = found.join(of_comp, "root").join(sets.select(F.col("sid").alias("node"), "at.*"), "node")
+    candidates = found.join(of_comp, "root").join(known.select(F.col("sid").alias("node"), "at.*"), "node")
     candidates = candidates.select(F.col("node").alias("sid"), F.col("root").alias("comp"), "size", F.col("has_id").cast("int").alias("has_id"), "doc_id", "th", "line")
-    candidates = materialize(candidates, "line-places")
+    candidates = materialize(candidates, "line-candidate-places")
     # The candidates' tokens come from a second scan, by a bit table; what it lets through wrongly the join drops.
-    grams = _grams(own, _wanted(candidates.select("doc_id", "th", "line")), ngram)
+    wanted = spark.sparkContext.broadcast(_wanted(candidates.select("doc_id", "th", "line")))  # SLOTS bytes, whatever the data
+    grams = _grams(own, wanted, ngram)
     grams = grams.select("sid", "grams", *[F.col(c).alias(f"_{c}") for c in ("doc_id", "th", "line")])
     same_place = (F.col("_th") == F.col("th")) & (F.col("_line") == F.col("line")) & F.col("_doc_id").eqNullSafe(F.col("doc_id"))
     grams = grams.join(candidates, "sid").where(same_place)
     blocks = in_block_pairs(grams, "comp", "size", VERIFY_BLOCK).select("pair", "side", "sid", "has_id", "doc_id", "th", "line", "grams")
     later = run_pairs(blocks, _verify(threshold), "sid long").distinct().select("sid", F.lit(True).alias("later"))
-    decided = materialize(sets.select("sid", "at").join(later, "sid", "left"), "line-decisions")
+    decided = materialize(known.join(later, "sid", "left"), "line-decisions")
+    wanted.destroy()
     judged = lines.select("doc_id", "th", "line", "sid").join(decided, "sid", "left")
     gone = F.coalesce(F.col("later"), F.lit(False)) | ~place.eqNullSafe(F.col("at"))
     judged = judged.select("doc_id", "th", "line", F.when((F.col("line") >= 0) & gone, F.col("line")).alias("gone"))
@@ -331,22 +340,15 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ngram
     )
 
 
-@F.pandas_udf(StringType())
-def _without(text: pd.Series, removed: pd.Series) -> pd.Series:
-    def cut(t, gone):
-        if t is None or gone is None:
-            return t
-        gone = set(gone)
-        return "\n".join(line for i, line in enumerate(t.split("\n")) if i not in gone)
-
-    return pd.Series([cut(t, gone) for t, gone in zip(text, removed)], dtype=object)
-
-
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without the removed lines; a document that loses its last line with a word goes with it."""
     found = decisions(docs, id_col, text, **options).where(F.size("removed") > 0)
-    found = found.select(F.col("doc_id").alias("_d"), F.col("th").alias("_t"), "n_lines", "removed")
-    keyed = docs.withColumn("_th", F.xxhash64(F.col(text).cast("string")))
-    joined = keyed.join(found, F.col(id_col).cast("long").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), "left")
+    # The input's columns travel as one, so that none can clash with those added here.
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("own"))
+    found = found.select(F.col("doc_id").alias("found_id"), F.col("th").alias("found_th"), "n_lines", "removed")
+    joined = keyed.join(found, F.col("id").eqNullSafe(F.col("found_id")) & (F.xxhash64("own") == F.col("found_th")), "left")
     left = joined.where(F.col("removed").isNull() | (F.size("removed") < F.col("n_lines")))
-    return left.withColumn(text, _without(F.col(text).cast("string"), F.col("removed"))).select(*docs.columns)
+    lines = F.split("own", "\n", -1)
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "removed"), lambda i: F.get(lines, i))
+    new = F.when(F.col("removed").isNull(), F.col("own")).otherwise(F.array_join(kept, "\n"))
+    return left.select(*[new.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])

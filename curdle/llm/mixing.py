@@ -98,7 +98,7 @@ def mix(
     seed: int = 0,
 ) -> DataFrame:
     """The drawn rows: the columns of ``docs`` and epoch (from 0), block and order (sort by epoch, block, order within a source)."""
-    names = [c for c in docs.columns if c not in ("epoch", "block", "order") and not c.startswith("_")]
+    names = [c for c in docs.columns if c not in ("epoch", "block", "order")]
     lean = docs.select(F.col(id_col).alias("_id"), F.col(source).alias("_source"), F.xxhash64(F.col(text).cast("string")).alias("_th"), n_tokens(text).alias("_n"))
     lean = materialize(lean, "mix-sizes")
     sources = materialize(lean.where("_n > 0").groupBy("_source").agg(F.sum("_n").alias("tokens")), "mix-sources")
@@ -136,8 +136,12 @@ def mix(
     plan = plan.join(ends.select(F.col("_source").alias("_s3"), "_end"), F.col("_s").eqNullSafe(F.col("_s3")), "left").drop("_s3")
     plan = materialize(plan, "mix-plan")
 
-    with_keys = docs.withColumn("_id", F.col(id_col)).withColumn("_source", F.col(source)).withColumn("_th", F.xxhash64(F.col(text).cast("string")))
-    with_keys = with_keys.withColumn("_some", F.coalesce(F.col(text).cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    # The input's columns travel as one, so that none can clash with those added here.
+    some = F.coalesce(F.col(text).cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    with_keys = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(id_col).alias("_id"), F.col(source).alias("_source"),
+        F.xxhash64(F.col(text).cast("string")).alias("_th"), some.alias("_some"),
+    )
     drawn = with_keys.join(plan, F.col("_source").eqNullSafe(F.col("_s")), "left")
     block, order = block_of(F.col("_whole")), order_of(F.col("_whole"))
     key = F.struct(order.alias("_order"), "_id", "_th")
@@ -145,6 +149,6 @@ def mix(
     times = F.when(F.col("_some") & F.col("_whole").isNotNull(), F.col("_whole") + F.coalesce(in_last, F.lit(False)).cast("int")).otherwise(F.lit(1))
     drawn = drawn.withColumn("_epoch", F.explode(F.sequence(F.lit(0), times - 1)))
     return drawn.select(
-        *[F.col(f"`{c}`") for c in names], F.col("_epoch").alias("epoch"),
+        *[F.col("_row").getField(c).alias(c) for c in names], F.col("_epoch").alias("epoch"),
         F.coalesce(block_of(F.col("_epoch")), F.lit(0).cast("long")).alias("block"), order_of(F.col("_epoch")).alias("order"),
     )

@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -129,11 +130,13 @@ class Model:
         if not k:
             return out
         cosine = np.round(self.latent(x) @ self.points.T, 5)
-        near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-        weight = np.maximum(np.take_along_axis(cosine, near, 1), 0).astype(np.float64) ** SHARPNESS
-        total = weight.sum(axis=1)
+        # All rows as near as the k-th nearest vote, so ties are never broken.
+        least = np.partition(cosine, -k, axis=1)[:, -k]
+        doc, near = np.nonzero(cosine >= least[:, None])
+        weight = np.maximum(cosine[doc, near], 0).astype(np.float64) ** SHARPNESS
+        total = np.bincount(doc, weight, len(x))
         some = total > 0
-        out[some] = (weight * self.labels[near]).sum(axis=1)[some] / total[some]
+        out[some] = np.bincount(doc, weight * self.labels[near], len(x))[some] / total[some]
         return np.round(out, 6)
 
 
@@ -173,14 +176,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
     id_type = learn.schema["_id"].dataType.simpleString()
     rows = (
         learn.select("_id", "t", F.col("y").cast("int").alias("y")).mapInArrow(run, f"_id {id_type}, y int, term array<int>, n array<int>")
-        .orderBy(F.xxhash64("_id"), "_id", F.xxhash64("term", "n")).limit(sample).collect()
+        .orderBy(F.xxhash64("_id"), "_id", F.xxhash64("term", "n")).limit(sample).toArrow()
     )
-    rows = [r for r in rows if r["term"]]
-    y = np.array([r["y"] for r in rows], dtype=np.float64)
-    if not len(rows):
+    rows = rows.filter(pc.greater(pc.list_value_length(rows["term"]), 0))
+    y = rows["y"].to_numpy().astype(np.float64)
+    if not len(y):
         return Model(idf, np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), y)
-    doc = np.repeat(np.arange(len(rows)), [len(r["term"]) for r in rows])
-    x = vectors(doc, np.concatenate([r["term"] for r in rows]), np.concatenate([r["n"] for r in rows]), len(rows), idf)
+    doc = np.repeat(np.arange(len(y)), pc.list_value_length(rows["term"]).to_numpy())
+    x = vectors(doc, pc.list_flatten(rows["term"]).to_numpy(), pc.list_flatten(rows["n"]).to_numpy(), len(y), idf)
     projection = _directions(x, min(DIMS, *x.shape))
     model = Model(idf, projection, None, y)
     model.points = model.latent(x).astype(np.float32)

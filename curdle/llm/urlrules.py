@@ -62,14 +62,14 @@ PATTERN_RULES = (
     Rule("poker", "block", r"[./_-]poker[./_-]", ("poker",)),
     Rule("porn", "block", r"[./_-]porn[./_-]", ("porn",)),
     Rule("xxx", "block", r"[./]xxx[./]", ("xxx",)),
-    Rule("viagra", "block", r"[./_=-]viagra([./_&-]|$)", ("viagra",)),
-    Rule("torrent-file", "block", r"\.torrent($|[?#])", ("torrent",)),
+    Rule("viagra", "block", r"[./_=-]viagra([./_&-]|\z)", ("viagra",)),
+    Rule("torrent-file", "block", r"\.torrent(\z|[?#])", ("torrent",)),
     Rule("ad-host", "block", r"://ads\.[^/]*/", ("ads",)),
-    Rule("login-page", "block", r"/(user|account)/login($|[/?#])", ("login",)),
-    Rule("cart-page", "block", r"/cart/(add|checkout)($|[/?#])", ("cart",)),
+    Rule("login-page", "block", r"/(user|account)/login(\z|[/?#])", ("login",)),
+    Rule("cart-page", "block", r"/cart/(add|checkout)(\z|[/?#])", ("cart",)),
     Rule("session-id", "block", r"[?&;](jsessionid|phpsessid|sid)=[0-9a-f]{16,}", ()),
-    Rule("feed-tracker", "block", r"[?&]utm_source=feed(&|#|$)", ("utm", "source", "feed")),
-    Rule("binary-file", "block", r"\.exe($|[?#])", ("exe",)),
+    Rule("feed-tracker", "block", r"[?&]utm_source=feed(&|#|\z)", ("utm", "source", "feed")),
+    Rule("binary-file", "block", r"\.exe(\z|[?#])", ("exe",)),
 )
 
 

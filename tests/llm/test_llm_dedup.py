@@ -110,9 +110,10 @@ def test_lines_in_small_blocks(spark, corpus, monkeypatch):
 
 def test_lines_are_cut_and_other_columns_stay(spark):
     rows = [(2, "p q r s t u\nkeep me here please now"), (1, "p q r s t u\n\nsolo"), (3, "p q r s t u"), (None, "solo"), (4, None), (5, "")]
-    df = table(spark, rows).selectExpr("*", "doc_id AS th", "1 AS line", "'x' AS removed", "text AS sid")
-    df = df.drop("removed")
-    out = {r.doc_id: r.text for r in linededup.deduplicate(df).collect()}
+    df = table(spark, rows).selectExpr("*", "doc_id AS th", "1 AS line", "'x' AS removed", "text AS sid", "7 AS n_lines", "8 AS _d", "9 AS _th", "1 AS id", "2 AS row", "3 AS own", "4 AS `a.b`")
+    kept = linededup.deduplicate(df).collect()
+    assert all((r.removed, r.n_lines, r._d, r._th, r.id, r.row, r.own, r["a.b"], r.th) == ("x", 7, 8, 9, 1, 2, 3, 4, r.doc_id) for r in kept)
+    out = {r.doc_id: r.text for r in kept}
     assert out == {1: "p q r s t u\n", 2: "keep me here please now", None: "solo", 4: None, 5: ""}
     assert linededup.deduplicate(df).columns == df.columns
 

@@ -85,3 +85,12 @@ def test_all_queries_are_registered():
 
     names = list(entry.queries())
     assert "pipeline" in names and all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11))
+
+
+def test_join_stage_keeps_one_of_each_class_where_ids_clash(spark):
+    """An id with two texts is in two classes; each class keeps one document."""
+    a, b, c = ("one two three four five six seven eight nine ten " * 3, "red orange yellow green blue indigo violet black white grey " * 3, "lone text of its own kind here")
+    rows = [(1, b), (5, b), (5, a), (7, a), (5, c), (5, c), (5, None), (5, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted((r.doc_id, r.text or repr(r.text)) for r in corpus_pipeline.one_of_each_class(spark, df, "").collect())
+    assert got == sorted([(1, b), (5, a), (5, c), (5, "None"), (5, "''")])

@@ -70,7 +70,7 @@ def plain_judge(url):
             fits.append((len(r.name), r.name, r.verdict))
     import re
 
-    pattern = min((r.name for r in urlrules.PATTERN_RULES if re.search(r.regex, low)), default=None)
+    pattern = min((r.name for r in urlrules.PATTERN_RULES if re.search(r.regex.replace(r"\z", r"\Z"), low)), default=None)
     _, rule, verdict = max(fits, default=(0, None, None))
     return host, path, rule, verdict or ("block" if pattern else "allow"), pattern
 
@@ -79,7 +79,7 @@ URLS = [
     None, "", "no scheme", "http://", "http://A.Example.ORG/es/x?y#z", "https://example.org/en/12", "https://example.org/en/2", "http://org/", "http://org",
     "http://x.com/fr/", "http://x.com/de/1", "http://xcom/de/1", "http://notexample.org/es/", "http://a.example.org/ES/", "ftp://b.com?x=/de/", "http://c.com#/de/",
     "http://x.net/casino/", "http://casino.net/a", "http://x.net/CASINO/b", "http://ads.x.net/p", "http://ads1.x.net/p", "http://x.net/a.torrent?x", "http://x.net/?sid=0123456789abcdef0",
-    "http://x.net/q?utm_source=feed", "http://x.net/q?utm_source=feeder", "http://x.net/user/login", "a://b://c.org/", "http://u\n.org/\n/es/", "http://x.org:80/", "http://é.org/es/",
+    "http://x.net/q?utm_source=feed", "http://x.net/q?utm_source=feeder", "http://x.net/user/login", "a://b://c.org/", "http://u\n.org/\n/es/", "http://x.org:80/", "http://é.org/es/", "http://x.net/a.torrent\n", "http://x.net/user/login\n", "http://x.net/a.exe\r\n",
     "http://x.net/" + "a/" * 20000,
 ]
 
@@ -256,3 +256,8 @@ def test_mix_draws_whole_epochs_and_a_budgeted_part(spark):
     order = {e: [r.doc_id for r in sorted((r for r in out if r.source == "tiny" and r.epoch == e), key=lambda r: (r.block, r.order))] for e in (0, 1)}
     assert sorted(map(str, order[0])) == sorted(map(str, order[1])) and order[0] != order[1]
     assert mixing.mix(df.limit(0)).collect() == []
+    wide = df.selectExpr("*", *[f"'{c}' AS `{c}`" for c in ("_rest", "_s", "_id", "_source", "_th", "_row", "_epoch", "a.b")])
+    found = mixing.mix(wide, entropy=0.9, max_repeats=3.3, block_tokens=200)
+    assert found.columns == [*(c for c in wide.columns if c != "epoch"), "epoch", "block", "order"]
+    assert sorted(map(repr, found.select("doc_id", "text", "epoch").collect())) == sorted(repr(r) for r in mixing.mix(df, entropy=0.9, max_repeats=3.3, block_tokens=200).select("doc_id", "text", "epoch").collect())
+    assert all(r[c] == c for r in found.collect() for c in ("_rest", "_s", "_id", "_source", "_th", "_row", "a.b"))
