@@ -37,10 +37,13 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of the documents that the n-gram join connects, the one with the smallest id."""
+    """Of the documents that the n-gram join connects, the one with the smallest id (then text hash)."""
     found = chosenpath.jaccard_classes(docs)
-    first = materialize(found.where("doc_id = class_id").select("doc_id").distinct(), "class-heads")
-    named = docs.where("doc_id IS NOT NULL").join(first, "doc_id", "left_semi")
+    heads = found.where("n_grams > 0").groupBy("class_key").agg(F.min(F.struct("doc_id", "th")).alias("head")).select("head.*")
+    wordless = found.where("n_grams = 0 AND doc_id IS NOT NULL").select("doc_id", "th").distinct()
+    first = materialize(heads.unionByName(wordless), "class-heads").select(F.col("doc_id").alias("head_id"), F.col("th").alias("head_th"))
+    same = (F.col("doc_id") == F.col("head_id")) & (F.xxhash64("text") == F.col("head_th"))
+    named = docs.where("doc_id IS NOT NULL").join(first, same, "left_semi")
     named = named.withColumn("_th", F.xxhash64("text")).dropDuplicates(["doc_id", "_th"])
     return named.select(*COLUMNS).unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
 
