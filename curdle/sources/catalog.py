@@ -35,8 +35,8 @@ def ensure_layers(spark: SparkSession, warehouse: str, layers: tuple[str, ...] =
 
 
 def list_tables(spark: SparkSession, layer: str) -> list[str]:
-    """Tables of one layer (a database name), ordered by name."""
-    return sorted(t.name for t in spark.catalog.listTables(layer))
+    """Tables of one layer (a database name), ordered by name; the session's temporary views are none of them."""
+    return sorted(t.name for t in spark.catalog.listTables(layer) if not t.isTemporary)
 
 
 def read(spark: SparkSession, layer: str, name: str) -> DataFrame:
