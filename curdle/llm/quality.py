@@ -6,8 +6,8 @@ kind of mark, ...), which are the same for every language, and repetition terms
 repeats). A document is the vector of its terms' root shares times their idf, with
 document frequencies over all rows. The labelled vectors' leading singular
 directions (``DIMS``) span the latent space. Every document's exact cosines with
-all labelled vectors are computed in blocks; the ``NEIGHBOURS`` nearest vote with
-their similarity, raised to ``SHARPNESS``, as weight.
+all labelled vectors are computed in blocks; the ``NEIGHBOURS`` nearest, and all as
+near as the last of them, vote with their similarity, raised to ``SHARPNESS``, as weight.
 
 ``SAMPLE`` bounds the labelled rows that the model is fitted on (those with the
 smallest hash of the id); the labelled vectors and the projection, both of a size

@@ -190,7 +190,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     known = known.withColumn("hi", F.col("lo") + F.col("more"))
     covered = F.col("first").isNotNull() & F.lag("first").over(in_doc).isNotNull() & (F.lag("hi").over(in_doc) + 1 == F.col("lo"))
     known = materialize(known.withColumn("covered", F.coalesce(covered, F.lit(False))), "matched")
-    open_prefixes = known.where("NOT covered").select("prefix").distinct()
+    # Where documents of one prefix go on differently, a window may be in more documents than a tail tells of.
+    ends = known.groupBy("prefix").agg(F.min("tail").alias("least"), F.max("tail").alias("most"))
+    parted = ends.where("least <> most").select("prefix")
+    open_prefixes = known.where("NOT covered").select("prefix").unionByName(parted).distinct()
     # The positions of one document, bounded by its length.
     mark = F.struct("lo", F.col("more").cast("int").alias("more"))
     marks = known.join(open_prefixes, "prefix", "left_semi").groupBy("doc_id", "th").agg(F.collect_set(mark).alias("marks"))

@@ -59,6 +59,27 @@ def test_suffix_spans_equal_brute_force(spark, corpus):
     assert got == brute.covered(corpus)
 
 
+def test_suffix_first_document_is_the_smallest_of_any_window(spark, corpus):
+    """Also where pairs of documents share passages that cross: both hold the middle, each pair goes on differently."""
+    rng, rows = random.Random(12), [r for r in corpus if r[1] and len(r[1]) < 20_000]
+    for k in range(40):
+        left, middle, right, other = prose(rng, 60), prose(rng, rng.randrange(50, 75)), prose(rng, 60), prose(rng, 60)
+        one, two = f"{left} {middle} {right}", f"{other} {middle} {prose(rng, 60)}"
+        pair = [(1000 + 4 * k + n, t) for n, t in zip(rng.sample(range(4), 4), (one, one, two, two))]
+        rows += [(i, f"{prose(rng, 5)} {t} {prose(rng, 5)}") for i, t in pair]
+    first = {}
+    for i, t in rows:
+        w = brute.words(t)
+        for s in range(len(w) - 49):
+            key = tuple(w[s : s + 50])
+            first[key] = min(first.get(key, i), i)
+    texts, spans = dict(rows), suffix.repeated_spans(table(spark, rows)).collect()
+    for r in spans:
+        w = brute.words(texts[r.doc_id])
+        assert r.first_doc_id == min(first[tuple(w[s : s + 50])] for s in range(r.start_word, r.end_word - 49))
+    assert len(spans) > 150
+
+
 def test_suffix_minimiser_is_the_first_least():
     import numpy as np
 
