@@ -7,6 +7,7 @@ import sys
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(__file__))
 
@@ -117,6 +118,24 @@ def test_votes_on_held_out_rows(spark):
     assert sum(r.predicted == r.quality for r in rows) >= 0.97 * len(rows)
 
 
+def test_votes_equal_brute_force(spark):
+    """Every cosine by itself, all rows as near as the 25th nearest, weights one by one."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.unionByName(docs.where("doc_id < 20").withColumn("doc_id", F.col("doc_id") + 10_000))  # equal texts: ties
+    model = quality.fit(docs, labels.unionByName(labels.where("doc_id < 20").withColumn("doc_id", F.col("doc_id") + 10_000)))
+    assert len(model.labels) > quality.NEIGHBOURS
+    got = {r.doc_id: r.score for r in quality.classify(docs, model).collect()}
+    for r in docs.where("doc_id % 7 = 0").collect():
+        data = np.frombuffer((r.text or "").encode(), dtype=np.uint8)
+        doc, term, count = quality.term_counts(data, np.array([0, len(data)]))
+        own = model.latent(quality.vectors(doc, term, count, 1, model.idf))[0]
+        cosine = [round(float(np.dot(own, p)), 5) for p in model.points]
+        least = sorted(cosine, reverse=True)[quality.NEIGHBOURS - 1]
+        votes = [(max(c, 0.0) ** quality.SHARPNESS, y) for c, y in zip(cosine, model.labels) if c >= least]
+        total = sum(w for w, _ in votes)
+        assert got[r.doc_id] == pytest.approx(sum(w * y for w, y in votes) / total if total else model.prior, abs=1e-3)
+
+
 def test_held_out_labels_are_not_learned_from(spark):
     """Turning every held-out label round changes nothing."""
     from pyspark.sql import functions as F
