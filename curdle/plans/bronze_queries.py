@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from curdle.functions.dates import normalize_date
 from curdle.functions.text import numeric_like
 from curdle.operators.ordering import with_row_number
-from curdle.plans.bronze import fixture_bronze
-from curdle.plans.concurrency import run_all
+from curdle.plans.bronze import fixture_bronze, fixture_flags
 from curdle.plans.ingest import load_file, load_rows, read_bronze, read_log, schema_history
 from curdle.session import scratch_path
 from curdle.sources.csv import CORRUPT, judge_rows
@@ -79,18 +78,13 @@ def b03_unify_collection_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select(*COLLECTION_WIDE_COLUMNS, "_source_format", "_source_file", "_batch_id", "_row_hash")
 
 
-def _all_bronze(spark: SparkSession, sf_dir: str, flag: bool) -> DataFrame:
-    tables = run_all((t, lambda t=t: fixture_bronze(spark, sf_dir, t, flag=flag)) for t in BRONZE_TABLES)
-    cols = ["_source_file", "_batch_id", "_row_hash"] + (["_is_duplicate"] if flag else [])
-    return _union([tables[t].select(F.lit(t).alias("table_name"), *cols) for t in BRONZE_TABLES])
-
-
 def b04_row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _all_bronze(spark, sf_dir, flag=False)
+    cols = ["_source_file", "_batch_id", "_row_hash"]
+    return _union([fixture_bronze(spark, sf_dir, t, flag=False).select(F.lit(t).alias("table_name"), *cols) for t in BRONZE_TABLES])
 
 
 def b05_flag_duplicates_in_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _all_bronze(spark, sf_dir, flag=True)
+    return _union([fixture_flags(spark, sf_dir, t).select(F.lit(t).alias("table_name"), "*") for t in BRONZE_TABLES])
 
 
 def _load(spark: SparkSession, raw: DataFrame, file: str, warehouse: str, run: int) -> None:
