@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curdle.operators.dedup import DUP, HASH, mark_first
+from curdle.operators.dedup import DUP, HASH, mark_repeats, repeats
 from curdle.operators.materialize import discard, stage
 from curdle.plans.bronze import load_position, normalize_rows, rename_layout_headers, stamp
 from curdle.sources import files
@@ -166,7 +166,7 @@ class _Attempt:
         elif self._has(BRONZE, QUARANTINE_TABLE):
             self.changes.append(Change(BRONZE, QUARANTINE_TABLE, None, self.load))
         if counts["n"]:
-            counts["dup"] = self._rows(staged.where(F.col("_quarantined").isNull()).drop("_quarantined"))
+            counts["dup"] = self._rows(staged.where(F.col("_quarantined").isNull()).drop("_quarantined"), counts["n"])
         elif self._has(BRONZE, table):
             self.changes += [Change(BRONZE, table, None, self.load), Change(KEYS, table, None, self.load)]
             self._reflag(self.spark.createDataFrame([], f"{HASH} string, _row_id bigint"))
@@ -187,19 +187,33 @@ class _Attempt:
         if new := [c for c in own if c.name.lower() not in known]:
             self.store.add_columns(BRONZE, table, new)
 
-    def _rows(self, good: DataFrame) -> int:
-        """Write flagged rows and hashes; returns how many rows are duplicates."""
+    def _rows(self, good: DataFrame, n: int) -> int:
+        """Write flagged rows and hashes; returns how many of the ``n`` rows are duplicates.
+
+        Only places of duplicates are looked for, in narrow rows: the rows themselves meet them where there are any,
+        by broadcast while they are few.
+        """
         table = self.spec.table
         self._define(good)
         firsts = good.groupBy(HASH).agg(F.min("_row_id").alias("_row_id"))
-        keys, name = self.store.write_bucketed(firsts, KEY_COLUMNS, HASH, self.store.buckets(KEYS, table), KEYS, table)
+        seen = Observation()
+        keys, name = self.store.write_bucketed(firsts.observe(seen, F.count(F.lit(1)).alias("n")), KEY_COLUMNS, HASH, self.store.buckets(KEYS, table), KEYS, table)
         self._names.append(name)
-        own = self.spark.table(name)
-        new = own.join(self._stored(_before(self.spec, self.load)).select(HASH), HASH, "left_anti")
-        place, n = self._write_rows(mark_first(good, new, ["_row_id"]))
+        own = new = self.spark.table(name)
+        n_new = seen.get["n"]
+        if any(load_place(x, table) < load_place(self.load, table) for x in self.store.loads(KEYS, table)):
+            new = own.join(self._stored(_before(self.spec, self.load)).select(HASH), HASH, "left_anti")
+            n_new = new.count()
+        if n_new < n:
+            again, path = stage(repeats(good, new, ["_row_id"]), f"repeats-{table}")
+            self._staged.append(path)
+            marked = mark_repeats(good, again, ["_row_id"])
+        else:
+            marked = good.withColumn(DUP, F.lit(False))
+        place, flagged = self._write_rows(marked)
         self.changes += [Change(BRONZE, table, place, self.load), Change(KEYS, table, keys, self.load)]
         self._reflag(own)
-        return n
+        return flagged
 
     def _write_rows(self, rows: DataFrame) -> tuple[str, int]:
         """Write rows in the table's columns; returns the folder and the number of flagged ones."""

@@ -59,3 +59,27 @@ def test_inner_join_query_stages_nothing(spark):
     before = len(materialize._STAGED)
     assert o03_inner_join(spark, SF_SMALL).count() > 0
     assert len(materialize._STAGED) == before
+
+
+def test_a_load_without_repeats_joins_no_rows(spark, scratch, monkeypatch):
+    spec = spec_for_file("rotas.csv")
+
+    def load(run, ids):
+        rows = spark.createDataFrame([(str(i), "r") for i in ids], "id_rota string, nome_rota string").withColumn(CORRUPT, F.lit(None).cast("string"))
+        return ingest.load_rows(spark, rows, spec, scratch, run)
+
+    joined = []
+    mark = ingest.mark_repeats
+    monkeypatch.setattr(ingest, "mark_repeats", lambda *a: joined.append(1) or mark(*a))
+    assert load(1, [1, 2, 3])["rows_skipped"] == 0 and load(2, [4, 5])["rows_skipped"] == 0
+    assert not joined
+    row = load(3, [3, 6, 6, 4])
+    assert (row["rows_skipped"], row["rows_inserted"]) == (3, 1) and joined
+    got = sorted((r["_batch_id"], r["id_rota"], r["_is_duplicate"]) for r in ingest.read_bronze(spark, scratch, "rotas").collect())
+    assert got == [(1, "1", False), (1, "2", False), (1, "3", False), (2, "4", False), (2, "5", False), (3, "3", True), (3, "4", True), (3, "6", False), (3, "6", True)]
+
+
+def test_plain_dates_pass_and_others_are_stripped(spark):
+    cases = {"2020-01-02": "2020-01-02", " 2020-1-02": None, "2020-01-02 ": "2020-01-02", "\t1/2/2020": "2020-02-01", "x020-01-02": "x020-01-02", "2020-01-0 ": None, "": None, " ": None, None: None}
+    df = spark.createDataFrame([(c,) for c in cases], "c string")
+    assert [r[0] for r in df.select(normalize_date(F.col("c"))).collect()] == list(cases.values())
