@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from curdle.operators import dedup, materialize
-from curdle.plans import ingest
+from curdle.plans import bronze, ingest, silver
 from curdle.plans.bronze import fixture_bronze, fixture_firsts, fixture_flags
 from curdle.plans.operator_queries import o03_inner_join
+from curdle.plans.quality_rules import RULES
+from curdle.plans.queries import silver_for
 from curdle.plans.silver import latest_rows
 from curdle.sources.csv import CORRUPT
 from curdle.sources.fixtures import fixture_loads, table_loads
@@ -76,3 +78,58 @@ def test_a_load_without_repeats_joins_no_rows(spark, scratch, monkeypatch):
     assert (row["rows_skipped"], row["rows_inserted"]) == (3, 1) and joined
     got = sorted((r["_batch_id"], r["id_rota"], r["_is_duplicate"]) for r in ingest.read_bronze(spark, scratch, "rotas").collect())
     assert got == [(1, "1", False), (1, "2", False), (1, "3", False), (2, "4", False), (2, "5", False), (3, "3", True), (3, "4", True), (3, "6", False), (3, "6", True)]
+
+
+def _bronze(spark, parts):
+    """Bronze rows of own raw rows: (file, run, schema, rows) a load."""
+    out = None
+    for file, run, schema, rows in parts:
+        spec = spec_for_file(file)
+        raw = bronze.normalize_rows(spark.createDataFrame(rows, schema), spec)
+        load = bronze.stamp(raw, spec, bronze.fixture_ingested_at(F.lit(run), spec), F.lit(run))
+        out = load if out is None else out.unionByName(load, allowMissingColumns=True)
+    return bronze._by_content(out).withColumn("_is_duplicate", F.lit(False))
+
+
+def _items(spark):
+    columns = ["id_item", "id_pedido", "id_produto", "quantidade", "preco_unitario", "valor_total"]
+    rows = [("1", "7", "3", "2", "1.5", ""), ("1", "8", "4", "2", "1.5", None), ("1", None, "9", "5", "2.5", "1"), (None, "7", "3", "2", "1.5", ""), (None, "9", "3", "2", "1.5", "")]
+    rows += [("01", "7", "3", "2", "1.5", ""), ("2", "7", "3", "2", "1.5", ""), ("2", "7", "3", "2", "1.5", "")]
+    return _bronze(spark, [("itens_pedido.csv", 1, ", ".join(f"{c} string" for c in columns), rows)])
+
+
+def _collections(spark):
+    layouts = {"a": ("coletas_fonte_a.csv", 1, 0), "b": ("coletas_fonte_b.csv", 1, 1), "c": ("coletas_fonte_c.csv", 2, 2)}
+    keys = {"a": ["1", "2", "3", None], "b": ["2", "4", None], "c": ["3", "4", "5", "5"]}
+    parts = []
+    for name, (file, run, place) in layouts.items():
+        columns = [names[place] for names in silver.COLLECTION_FIELDS.values()]
+        rows = [(k, f"{place}{i}", "1", "2024-01-02" if i else " 2024-01-03 ", "5", "2", "1", "3", "3") for i, k in enumerate(keys[name])]
+        if name == "c":
+            columns, rows = [*columns, "c_observacao"], [(*r, "") for r in rows]
+        parts.append((file, run, ", ".join(f"{c} string" for c in columns), rows))
+    return _bronze(spark, parts)
+
+
+@pytest.mark.parametrize("model,rows", [("stg_itens_pedido", _items), ("stg_coletas", _collections)])
+def test_newest_rows_column_by_column_are_the_newest_rows(spark, model, rows):
+    build = silver.SILVER_MODELS[model][1]
+    want, got = (build(rows(spark), narrow=narrow, keyed=True) for narrow in (False, True))
+    assert want.columns == got.columns and want.count() > 3
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_keys_alone_ask_for_no_content_hash(spark):
+    """q02_unique reads keys: neither the text of other columns nor its MD5 is derived where a table has one load."""
+    rules = [r for r in RULES if r.test == "unique"]
+    for model, df in silver_for(spark, SF_SMALL, rules).items():
+        plan = df.select(silver.MODEL_KEYS.get(model, "id_coleta"))._jdf.queryExecution().optimizedPlan().toString()
+        assert ("md5(" in plan) == (len(table_loads(silver.SILVER_MODELS[model][0])) > 1), model
+
+
+def test_dates_are_stripped_once(spark):
+    """q01_not_null and the other model queries: the strip stands in a projection of its own, read by the rule."""
+    raw = spark.createDataFrame([(" 2024-01-02\u2003",), ("3/4/2024",), ("",), (None,), ("x",)], "data_producao string").repartition(2)
+    df = bronze.normalize_dates(raw, spec_for_file("producao.csv"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("trim(") == 1
+    assert sorted(str(r[0]) for r in df.collect()) == ["2024-01-02", "2024-04-03", "None", "None", "None"]
