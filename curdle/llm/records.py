@@ -43,10 +43,12 @@ _HEADER = struct.Struct("<BBBq")
 _VERSION = 1
 #: Text bytes a shard is made for; a longer document fills one alone.
 SHARD_BYTES = 8 << 20
-#: Texts encoded together.
-GROUP_CHARS = 1 << 20
+#: Texts encoded together: those of a shard, so that each distinct unit of a shard is looked up once.
+GROUP_CHARS = SHARD_BYTES
 #: Units in each of an encoder's two tables, the current one and the one before.
 TABLE = 1 << 18
+#: What Python's str.isspace() takes as white space, as a class of Arrow's regular expressions (whose \s is ASCII alone).
+_SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
 def masked(crc: int) -> int:
@@ -78,7 +80,7 @@ class Encoder:
         specials = [re.escape(x["content"]) for x in j.get("added_tokens", [])]
         byte_level = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
         plain = byte_level.items() <= (j.get("pre_tokenizer") or {}).items() and not j.get("normalizer") and not j.get("post_processor")
-        self.whole = re.compile("|".join([r"\s(?:\s|\Z)", "\0", *specials])) if plain else re.compile("")
+        self.whole = "|".join([rf"{_SPACE}(?:{_SPACE}|\z)", r"\x00", *specials]) if plain else ""
         self.table: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
@@ -110,21 +112,21 @@ class Encoder:
         if len(self.table) > TABLE:  # units in use come over from the table before
             self.before, self.table = self.table, {}
         table, before = self.table, self.before
-        new = [u for u in units if u not in table]
-        met = {u: before[u] for u in new if u in before}
-        new = [u for u in new if u not in met]
-        table.update(met)
-        table.update((u, self._unit(u) if u else b"") for u in new)
-        return [table[u] for u in units]
+        found = list(map(table.get, units))
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            ids = before.get(units[i])
+            table[units[i]] = found[i] = self._unit(units[i]) if ids is None else ids
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Units are cut out, told apart and put together again as Arrow columns; Python sees each distinct one of a group once."""
-        cut = [not self.whole.search(t) for t in texts]
-        marked = pa.array([t for t, c in zip(texts, cut) if c], pa.string())
+        given = pa.array(texts, pa.string())
+        cut = pc.invert(pc.match_substring_regex(given, self.whole))
+        marked, cut = given.filter(cut), cut.to_pylist()
         marked = pc.replace_substring(pc.replace_substring(marked, " ", "\0 "), "\n", "\0\n\0")
         units = pc.split_pattern(marked, "\0")
         coded = units.flatten().dictionary_encode()
-        ids = pa.array(self._units(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
+        ids = pa.array(self._units(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(coded.indices)
         if len(ids):
             _, ends, data = ids.buffers()
             at = np.frombuffer(ends, dtype=np.int64)[units.offsets.to_numpy()] if len(units) else []

@@ -141,6 +141,34 @@ def test_units_make_no_difference(texts):
 _encoder = []
 
 
+def test_a_unit_of_a_shard_is_looked_up_once():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            Counted.asked += 1
+            return super().get(*key)
+
+        def __contains__(self, key):
+            Counted.asked += 1
+            return super().__contains__(key)
+
+    encoder = records.Encoder(bpe.read_spec(PATH))
+    encoder.table = Counted()
+    encoder.encode(["one two three", "two three\nfour", "three two"])
+    assert Counted.asked == len({"one", " two", " three", "two", "\n", "four", "three"})
+    assert records.GROUP_CHARS >= records.SHARD_BYTES
+
+
+def test_white_space_is_that_of_python():
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    characters = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    found = pc.match_substring_regex(pa.array(characters), records._SPACE).to_pylist()
+    assert [c for c, f in zip(characters, found) if f] == [c for c in characters if c.isspace()]
+
+
 def test_records_of_an_empty_table(spark, scratch):
     records.write_records(_docs(spark, []), bpe.read_spec(PATH), f"{scratch}/shards")
     assert records.with_starts(records.build_index(spark, f"{scratch}/shards", f"{scratch}/index")).collect() == []
