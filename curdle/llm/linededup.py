@@ -26,7 +26,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,36 +51,63 @@ def _slot(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(20)).astype(np.int64) & (SLOTS - 1)
 
 
+def _packed(table: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The pieces of a table that hold anything; one that is mostly empty as its places and their values."""
+    for i, piece in enumerate(table.reshape(PIECES, -1)):
+        at = np.flatnonzero(piece)
+        if len(at):
+            packed = at.astype(np.uint32).tobytes() + piece[at].tobytes() if 5 * len(at) < len(piece) else piece.tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([packed], pa.binary())], names=["piece", "n"])
+
+
+def _add_packed(total: np.ndarray, packed: pa.BinaryScalar, add: Callable) -> None:
+    """Adds a packed piece to the piece ``total`` by ``add``."""
+    data = np.frombuffer(packed.as_buffer(), dtype=np.uint8)
+    if len(data) == len(total):
+        total[:] = add(total, data)
+    else:
+        n = len(data) // 5
+        at = data[: 4 * n].view(np.uint32)
+        total[at] = add(total[at], data[4 * n :])
+
+
+def _saturated(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.minimum(np.add(a, b, dtype=np.uint16), 255).astype(np.uint8)
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     count = np.zeros(SLOTS, dtype=np.uint8)
     for batch in batches:
         for _, _, data, offsets in K.text_slices(batch.column(0)):
             slot, n = np.unique(_slot(K.words(data, offsets)[2]), return_counts=True)
             count[slot] = np.minimum(count[slot] + n, 255)
-    if count.any():
-        pieces = count.reshape(PIECES, -1)
-        yield pa.RecordBatch.from_arrays([pa.array(range(PIECES), pa.int32()), pa.array([p.tobytes() for p in pieces], pa.binary())], names=["piece", "n"])
+    yield from _packed(count)
 
 
-def _add_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for piece, n in zip(batch.column(0).to_pylist(), batch.column(1)):
-            counts = np.frombuffer(n.as_buffer(), dtype=np.uint8)
-            total[piece] = np.minimum(total.get(piece, 0) + counts.astype(np.int32), 255)
-    for piece, n in total.items():
-        yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([n.astype(np.uint8).tobytes()], pa.binary())], names=["piece", "n"])
+def _table(parts: DataFrame, add: Callable) -> np.ndarray:
+    """The table whose packed pieces are in ``parts``, summed up by ``add``; PIECES rows of a fixed size reach the driver."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for piece, n in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if piece not in total:
+                    total[piece] = np.zeros(SLOTS // PIECES, dtype=np.uint8)
+                _add_packed(total[piece], n, add)
+        for piece, n in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([n.tobytes()], pa.binary())], names=["piece", "n"])
 
-def word_counts(texts: DataFrame) -> np.ndarray:
-    """Saturated counts of all words of all texts; PIECES rows of a fixed size reach the driver."""
-    parts = texts.mapInArrow(_count_words, "piece int, n binary").repartition(PIECES, "piece")
     out = np.zeros((PIECES, SLOTS // PIECES), dtype=np.uint8)
-    for r in parts.mapInArrow(_add_pieces, "piece int, n binary").collect():
+    for r in parts.repartition(PIECES, "piece").mapInArrow(run, "piece int, n binary").collect():
         out[r["piece"]] = np.frombuffer(r["n"], dtype=np.uint8)
     return out.reshape(-1)
 
 
+def word_counts(texts: DataFrame) -> np.ndarray:
+    """Saturated counts of all words of all texts."""
+    return _table(texts.mapInArrow(_count_words, "piece int, n binary"), _saturated)
+
+
 def lines_with_words(data: np.ndarray, offsets: np.ndarray):
     """Lines with a word: document and number of each, word hashes, and the first word of each (lines + 1)."""
     starts, _, h, _ = K.words(data, offsets)
@@ -89,8 +116,13 @@ def lines_with_words(data: np.ndarray, offsets: np.ndarray):
     some = np.diff(first) > 0
     begin, first = begin[some], np.append(first[:-1][some], len(starts))
     doc = np.searchsorted(offsets, begin, side="right") - 1
-    breaks = np.concatenate([[0], np.cumsum(data == 0x0A)])
-    return doc, breaks[begin] - breaks[offsets[doc]], h, first
+    return doc, _line_numbers(data, offsets, doc, begin), h, first
+
+
+def _line_numbers(data: np.ndarray, offsets: np.ndarray, doc: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Line breaks before each place ``begin`` in its document."""
+    breaks = np.flatnonzero(data == 0x0A)
+    return np.searchsorted(breaks, begin) - np.searchsorted(breaks, offsets)[doc]
 
 
 def slice_lines(data: np.ndarray, offsets: np.ndarray, counts: np.ndarray, ngram: int):
@@ -99,15 +131,25 @@ def slice_lines(data: np.ndarray, offsets: np.ndarray, counts: np.ndarray, ngram
     owner, token = K.shingles(h, first, ngram)
     # The count of a token's rarest word, in the same order as the tokens (shorter lines: of all their words).
     rare = counts[_slot(h)]
-    width = np.minimum(np.diff(first), ngram)
-    at = np.arange(len(owner)) - np.searchsorted(owner, owner) + first[owner]
-    least = rare[at]
+    n = np.bincount(owner, minlength=len(doc))
+    at = np.arange(len(owner)) + (first[:-1] - np.cumsum(n) + n)[owner]
+    padded, least_of = np.append(rare, np.full(ngram, 255, dtype=np.uint8)), rare.copy()
     for i in range(1, ngram):
-        has = i < width[owner]
-        least[has] = np.minimum(least[has], rare[at[has] + i])
-    # By rarity, then token: one sort of both in 64 bits (the token's last 8 bits give way), then a stable one by line.
-    order = np.argsort((least.astype(np.uint64) << np.uint64(56)) | (token >> np.uint64(8)))
-    order = order[np.argsort(owner[order], kind="stable")]
+        np.minimum(least_of, padded[i : i + len(rare)], out=least_of)
+    least, width = least_of[at], np.diff(first)
+    short = np.flatnonzero(width[owner] < ngram)
+    if len(short):
+        least[short] = rare[at[short]]
+        for i in range(1, ngram):
+            has = short[i < width[owner[short]]]
+            least[has] = np.minimum(least[has], rare[at[has] + i])
+    # By line, rarity, then token: one sort of all three in 64 bits, for which the token's last bits give way.
+    bits = max(len(doc) - 1, 1).bit_length()
+    key = (owner.astype(np.uint64) << np.uint64(64 - bits)) | (least.astype(np.uint64) << np.uint64(56 - bits)) | (token >> np.uint64(8 + bits))
+    order = np.argsort(key)
+    tied = key[order[1:]] == key[order[:-1]]
+    if (tied & (token[order[1:]] != token[order[:-1]])).any():  # the bits that gave way tell two tokens of a line apart
+        order = np.lexsort((token, least, owner))
     owner, token, least = owner[order], token[order], least[order]
     keep = np.ones(len(owner), dtype=bool)
     keep[1:] = (owner[1:] != owner[:-1]) | (token[1:] != token[:-1])
@@ -232,28 +274,12 @@ def _mark_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         m = _mark(*(batch.column(i).fill_null(0).to_numpy(zero_copy_only=False) for i in range(3)))
         np.bitwise_or.at(bits, m >> 3, (1 << (m & 7)).astype(np.uint8))
-    pieces = bits.reshape(PIECES, -1)
-    some = np.flatnonzero(pieces.any(axis=1))
-    if len(some):
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([pieces[i].tobytes() for i in some], pa.binary())], names=["piece", "n"])
-
-
-def _or_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for piece, n in zip(batch.column(0).to_pylist(), batch.column(1)):
-            total[piece] = total.get(piece, 0) | np.frombuffer(n.as_buffer(), dtype=np.uint8)
-    for piece, n in total.items():
-        yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([n.tobytes()], pa.binary())], names=["piece", "n"])
+    yield from _packed(bits)
 
 
 def _wanted(lines: DataFrame) -> np.ndarray:
     """A bit table of fixed size with a bit for each wanted line (doc_id, th, line)."""
-    parts = lines.mapInArrow(_mark_pieces, "piece int, n binary").repartition(PIECES, "piece")
-    out = np.zeros((PIECES, SLOTS // PIECES), dtype=np.uint8)
-    for r in parts.mapInArrow(_or_pieces, "piece int, n binary").collect():
-        out[r["piece"]] = np.frombuffer(r["n"], dtype=np.uint8)
-    return out.reshape(-1)
+    return _table(lines.mapInArrow(_mark_pieces, "piece int, n binary"), np.bitwise_or)
 
 
 def _grams(texts: DataFrame, shipped: Broadcast, ngram: int) -> DataFrame:
@@ -263,15 +289,21 @@ def _grams(texts: DataFrame, shipped: Broadcast, ngram: int) -> DataFrame:
         for batch in batches:
             doc_ids, ths = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy()
             for a, b, data, offsets in K.text_slices(batch.column(2)):
-                doc, number, h, border = lines_with_words(data, offsets)
+                begin, end = K.runs(data != 0x0A, offsets)
+                doc = np.searchsorted(offsets, begin, side="right") - 1
+                number = _line_numbers(data, offsets, doc, begin)
                 m = _mark(doc_ids[a + doc], ths[a + doc], number)
                 picked = np.flatnonzero((shipped.value[m >> 3] >> (m & 7).astype(np.uint8)) & 1)
+                # Words are looked for in the lines that are wanted only.
+                n = (end - begin)[picked]
+                borders = np.concatenate([[0], np.cumsum(n)])
+                its_bytes = np.arange(borders[-1]) + np.repeat(begin[picked] - borders[:-1], n)
+                _, _, h, first = K.words(data[its_bytes], borders)
+                some = np.diff(first) > 0
+                picked, borders = picked[some], np.append(first[:-1][some], len(h))
                 if not len(picked):
                     continue
-                n = np.diff(border)[picked]
-                borders = np.concatenate([[0], np.cumsum(n)])
-                its_words = np.arange(borders[-1]) - np.repeat(borders[:-1], n) + np.repeat(border[picked], n)
-                owner, token = K.distinct(*K.shingles(h[its_words], borders, ngram))
+                owner, token = K.distinct(*K.shingles(h, borders, ngram))
                 first = np.searchsorted(owner, np.arange(len(picked) + 1))
                 grams = [token[first[i] : first[i + 1]] for i in range(len(picked))]
                 sid = K.mix(np.array([K.mix(g ^ K.seed(1)).sum(dtype=np.uint64) for g in grams], dtype=np.uint64))
@@ -301,7 +333,7 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ngram
     counts.destroy()
     place = F.struct(F.col("doc_id").isNotNull().alias("has_id"), "doc_id", "th", "line")
     sets, sets_path = stage(
-        full.where("line >= 0").groupBy("sid", "h").agg(F.min(place).alias("at"), F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("places").alias("places")),
+        full.where("line >= 0").groupBy("sid", "h").agg(F.min(place).alias("at"), F.count("*").alias("lines"), F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("places").alias("places")),
         "line-sets",
     )
     # Only places and identities are read from here on; the tokens of all lines go.
@@ -311,11 +343,11 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ngram
         "sid", "n", F.col("e.tokens").alias("token"), F.col("e.places").alias("place")
     )
     # Written, so that both sides of the join are shuffles of their own and a frequent token's rows can be split.
-    sizes, sizes_path = stage(entries.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"), "line-tokens")
+    sizes, sizes_path = stage(sets.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("size")).where("size > 1"), "line-tokens")
     met = in_block_pairs(entries.join(sizes, "token"), "token", "size", FILTER_BLOCK).select("pair", "side", "sid", "n", "place")
     forest = run_pairs(met, _filter_forest(threshold), "a long, b long", _filter_twos(threshold))
     found = materialize(connected_components(forest, "line-candidates"), "line-candidates")
-    known = materialize(sets.select("sid", "at"), "line-set-places")
+    known = materialize(sets.select("sid", "at", "lines"), "line-set-places")
     for path in (sizes_path, sets_path):
         discard(spark, path)
     of_comp = found.groupBy("root").agg(F.count("*").alias("size"))
@@ -330,10 +362,12 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ngram
     grams = grams.join(candidates, "sid").where(same_place)
     blocks = in_block_pairs(grams, "comp", "size", VERIFY_BLOCK).select("pair", "side", "sid", "has_id", "doc_id", "th", "line", "grams")
     later = run_pairs(blocks, _verify(threshold), "sid long").distinct().select("sid", F.lit(True).alias("later"))
-    decided = materialize(known.join(later, "sid", "left"), "line-decisions")
+    # A set of one line that is not removed decides nothing: its line stays without being met.
+    decided = known.join(later, "sid", "left").where("lines > 1 OR later").select("sid", "at", "later")
+    decided = materialize(decided, "line-decisions")
     wanted.destroy()
     judged = lines.select("doc_id", "th", "line", "sid").join(decided, "sid", "left")
-    gone = F.coalesce(F.col("later"), F.lit(False)) | ~place.eqNullSafe(F.col("at"))
+    gone = F.col("later").isNotNull() | (F.col("at").isNotNull() & ~place.eqNullSafe(F.col("at")))
     judged = judged.select("doc_id", "th", "line", F.when((F.col("line") >= 0) & gone, F.col("line")).alias("gone"))
     return judged.groupBy("doc_id", "th").agg(
         F.count_if(F.col("line") >= 0).alias("n_lines"), F.sort_array(F.collect_set("gone")).alias("removed")

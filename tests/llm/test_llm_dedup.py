@@ -129,6 +129,33 @@ def test_lines_in_small_blocks(spark, corpus, monkeypatch):
     assert got == {i: want[i] for i, _ in corpus}
 
 
+def test_few_words_are_few_bytes_of_the_table():
+    import numpy as np
+    import pyarrow as pa
+
+    def pieces(*texts):
+        found = list(linededup._count_words(iter([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])])))
+        return [(p, n) for b in found for p, n in zip(b.column(0).to_pylist(), b.column(1))]
+
+    few, many = pieces("one two one"), pieces(" ".join(map(str, range(400_000))), "one one " * 300)
+    assert sum(len(n.as_buffer()) for _, n in few) == 10
+    total = np.zeros((linededup.PIECES, linededup.SLOTS // linededup.PIECES), dtype=np.uint8)
+    for p, n in [*few, *many, *many]:
+        linededup._add_packed(total[p], n, linededup._saturated)
+    assert 2 * 395_000 < total.sum(dtype=int) < 2 * 400_000 + 2 + 255
+    assert total.max() == 255 and (total > 0).sum() > 390_000
+
+
+def test_lines_are_in_order_of_rarity_where_hashes_share_their_first_bits(monkeypatch):
+    import numpy as np
+
+    words = np.array([7, 5, 7, 6, 5, 1 << 60, 7], dtype=np.uint64)  # equal in all bits that the sort key keeps, but one
+    monkeypatch.setattr(linededup, "lines_with_words", lambda *_: (np.zeros(2, int), np.arange(2), words, np.array([0, 5, 7])))
+    monkeypatch.setattr(linededup.K, "shingles", lambda h, first, n: (np.repeat([0, 1], [5, 2]), h))
+    _, _, owner, token, _ = linededup.slice_lines(None, None, np.ones(linededup.SLOTS, np.uint8), 1)
+    assert owner.tolist() == [0, 0, 0, 1, 1] and token.tolist() == [5, 6, 7, 7, 1 << 60]
+
+
 def test_lines_are_cut_and_other_columns_stay(spark):
     rows = [(2, "p q r s t u\nkeep me here please now"), (1, "p q r s t u\n\nsolo"), (3, "p q r s t u"), (None, "solo"), (4, None), (5, "")]
     df = table(spark, rows).selectExpr("*", "doc_id AS th", "1 AS line", "'x' AS removed", "text AS sid", "7 AS n_lines", "8 AS _d", "9 AS _th", "1 AS id", "2 AS row", "3 AS own", "4 AS `a.b`")
