@@ -81,53 +81,64 @@ def _bit(begin: Column, sets: Column, to: Column, flips: Column) -> Column:
 
 
 def logical_records(lines: DataFrame, delimiter: str = ",", longest: int = LONGEST) -> DataFrame:
-    """(file, block, line, first, record, lost): each record once, at the place of its first line.
+    """(split, line, first, record, lost): each record once, at the place of its first line.
 
-    ``first`` marks the first record of a file (its header). A record has its text in
-    ``record`` with line feeds where it was broken; a line of a record that cannot be
-    joined has its text in ``lost`` instead. Carriage returns that end a record are cut.
+    ``split`` numbers the splits of all files in order. ``first`` marks the first record of a
+    file (its header). A record has its text in ``record`` with line feeds where it was broken;
+    a line of a record that cannot be joined has its text in ``lost`` instead. Carriage returns
+    that end a record are cut.
     """
-    # Written once: places are given by the scan, and several passes have to agree on them.
-    lines = materialize(line_effects(lines, delimiter), "physical-lines")
     split = Window.partitionBy("file", "block").orderBy("line")
-    sets, to, flips = _composed(split)
-    within = lines.withColumns({"sets": sets, "to": to, "flips": flips, "nth": F.row_number().over(split)})
-    # One row a split, and over them one window a file: the bit that each split begins with.
-    last = F.max_by(F.struct("sets", "to", "flips"), "line").alias("e")
-    splits = within.groupBy("file", "block").agg(last)
-    as_effect = splits.select(
-        "file", "block", F.when(F.col("e.sets"), _bit(F.lit(False), F.col("e.sets"), F.col("e.to"), F.col("e.flips"))).otherwise(F.col("e.flips")).alias("from_out"),
-        F.when(F.col("e.sets"), _bit(F.lit(False), F.col("e.sets"), F.col("e.to"), F.col("e.flips"))).otherwise(~F.col("e.flips")).alias("from_in"),
+    effect = _composed(split)
+    within = line_effects(lines, delimiter).withColumns({"out": _bit(F.lit(False), *effect), "in": _bit(F.lit(True), *effect), "nth": F.row_number().over(split)})
+    # For both bits that the split may begin with: how far back the line's record begins (null: before the split).
+    back = {
+        f"back_{c}": F.col("line") - F.last(F.when(~F.lag(c, 1, c == "in").over(split), F.col("line")), ignorenulls=True).over(split) for c in ("out", "in")
+    }
+    within = within.withColumns(back).withColumn("first", (F.col("block") == 0) & (F.col("nth") == 1))
+    # Written once: places are given by the scan, and several passes have to agree on them.
+    within = materialize(within.select(*_AT, "value", "first", "out", "in", *back), "physical-lines")
+    # One row a split, small enough for every task; the lines do not move to meet it.
+    splits = F.broadcast(materialize(_splits(within), "splits"))
+    own = F.when(F.col("begin"), F.col("back_in")).otherwise(F.col("back_out"))
+    placed = within.join(splits, ["file", "block"]).withColumn("back", own)
+    start = F.when(F.col("back").isNotNull(), F.struct("split", (F.col("line") - F.col("back")).alias("line")))
+    placed = placed.select(
+        "split", "line", "value", "first", F.coalesce(F.col("back") > 0, F.lit(True)).alias("begins_in"),
+        F.when(F.col("begin"), F.col("in")).otherwise(F.col("out")).alias("ends_in"), F.coalesce(start, "carried").alias("start"),
     )
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    file_order = Window.partitionBy("file").orderBy("block")
-    after = as_effect.withColumn("after", _bit(F.lit(False), *_composed(file_order)))
-    begins = after.select("file", "block", F.coalesce(F.last("after").over(before), F.lit(False)).alias("begin"))
-    placed = within.join(begins, ["file", "block"]).withColumn("ends_in", _bit(F.col("begin"), F.col("sets"), F.col("to"), F.col("flips")))
-    placed = placed.withColumn("begins_in", F.coalesce(F.lag("ends_in").over(split), F.col("begin")))
-    placed = placed.withColumn("first", (F.col("block") == 0) & (F.col("nth") == 1))
-    placed = placed.withColumn("start", F.last(F.when(~F.col("begins_in"), F.struct("block", "line")), ignorenulls=True).over(split))
-    placed = materialize(placed.select(*_AT, "value", "first", "begins_in", "ends_in", "start"), "placed-lines")
-    whole = placed.where("NOT begins_in AND NOT ends_in").select(*_AT, "first", F.col("value").alias("record"), F.lit(None).cast("string").alias("lost"))
-    return whole.unionByName(_joined(placed.where("begins_in OR ends_in"), placed, longest))
-
-
-def _joined(parts: DataFrame, placed: DataFrame, longest: int) -> DataFrame:
-    """The records of more than one line, from their lines."""
+    whole = placed.where("NOT begins_in AND NOT ends_in").select("split", "line", "first", F.col("value").alias("record"), F.lit(None).cast("string").alias("lost"))
+    return whole.unionByName(_joined(placed.where("begins_in OR ends_in"), longest))
+
+
+def _splits(within: DataFrame) -> DataFrame:
+    """(file, block, split, begin, carried): each split's number and first bit, and the start of the record that it begins in."""
+    effects = within.groupBy("file", "block").agg(F.max_by(F.struct("out", "in", "back_out", "back_in", "line"), "line").alias("e"))
+    per_file = effects.groupBy("file").agg(F.count("*").alias("n"))
+    files = per_file.select("file", F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    order = Window.partitionBy("file").orderBy("block")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    splits = effects.join(files, "file").withColumns({"split": F.col("base") + F.row_number().over(order) - 1, "from_out": F.col("e.out"), "from_in": F.col("e.in")})
+    splits = splits.withColumn("after", _bit(F.lit(False), *_composed(order)))
+    splits = splits.withColumn("begin", F.coalesce(F.last("after").over(before), F.lit(False)))
     # The last start of each split is that of the lines that follow splits begin with.
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = placed.groupBy("file", "block").agg(F.max("start").alias("s"))
-    carried = starts.select("file", "block", F.last("s", ignorenulls=True).over(before).alias("carried"))
-    parts = parts.join(carried, ["file", "block"]).withColumn("start", F.coalesce("start", "carried")).drop("carried")
-    sizes = parts.groupBy("file", "start").agg(F.sum(F.length("value") + 1).alias("size"), F.max_by("ends_in", F.struct("block", "line")).alias("open"))
+    back = F.when(F.col("begin"), F.col("e.back_in")).otherwise(F.col("e.back_out"))
+    last = F.when(back.isNotNull(), F.struct("split", (F.col("e.line") - back).alias("line")))
+    splits = splits.withColumn("last", last).withColumn("carried", F.last("last", ignorenulls=True).over(before))
+    return splits.select("file", "block", "split", "begin", "carried")
+
+
+def _joined(parts: DataFrame, longest: int) -> DataFrame:
+    """The records of more than one line, from their lines."""
+    sizes = parts.groupBy("start").agg(F.sum(F.length("value") + 1).alias("size"), F.max_by("ends_in", F.struct("split", "line")).alias("open"))
     # Few, or of very many lines each: those are the ones whose lines do not meet.
-    apart = sizes.where((F.col("size") > longest) | F.col("open")).select("file", "start", F.lit(True).alias("apart"))
-    judged = parts.join(apart, ["file", "start"], "left")
-    own = F.struct("block", "line", "value")
+    apart = sizes.where((F.col("size") > longest) | F.col("open")).select("start", F.lit(True).alias("apart"))
+    judged = parts.join(apart, "start", "left")
+    own = F.struct("split", "line", "value")
     record = F.concat_ws("\n", F.transform(F.array_sort(F.collect_list(own)), lambda x: x["value"]))
-    joined = judged.where("apart IS NULL").groupBy("file", "start").agg(record.alias("record"), F.bool_or("first").alias("first"))
-    joined = joined.select("file", F.col("start.block").alias("block"), F.col("start.line").alias("line"), "first", "record", F.lit(None).cast("string").alias("lost"))
-    return joined.unionByName(judged.where("apart").select(*_AT, "first", F.lit(None).cast("string").alias("record"), F.col("value").alias("lost")))
+    joined = judged.where("apart IS NULL").groupBy("start").agg(record.alias("record"), F.bool_or("first").alias("first"))
+    joined = joined.select("start.split", "start.line", "first", "record", F.lit(None).cast("string").alias("lost"))
+    return joined.unionByName(judged.where("apart").select("split", "line", "first", F.lit(None).cast("string").alias("record"), F.col("value").alias("lost")))
 
 
 def parse_records(records: DataFrame, header: list[str], delimiter: str, corrupt: str) -> DataFrame:
@@ -137,19 +148,9 @@ def parse_records(records: DataFrame, header: list[str], delimiter: str, corrupt
     Header records and records of white space alone are left out, as the file reader does.
     """
     text = F.coalesce(F.regexp_replace("record", "\r\\z", ""), "lost")
-    rows = rows_in_order(records.where(~F.col("first")).withColumn("_text", text).where("trim(_text) <> ''"))
+    rows = records.where(~F.col("first")).withColumn("_text", text).where("trim(_text) <> ''")
+    rows = rows.withColumn("_line", F.shiftleft("split", 33) + F.col("line").bitwiseAND(F.lit((1 << 33) - 1)))
     names = ", ".join(f"`{c.replace('`', '``')}` string" for c in [*header, corrupt])
     options = {"sep": delimiter, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt, "multiLine": "true"}
     parsed = rows.withColumn("_r", F.when(F.col("lost").isNull(), F.from_csv("_text", names, options)))
     return parsed.select(*[F.col("_r")[c].alias(c) for c in [*header, corrupt]], "_line", F.col("lost").alias("_lost"))
-
-
-def rows_in_order(records: DataFrame) -> DataFrame:
-    """Adds ``_line``: a number that orders the records of a load by file, split and line."""
-    splits = records.select("file", "block").distinct()
-    per_file = splits.groupBy("file").agg(F.count("*").alias("n"))
-    files = per_file.withColumn("base", F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    nth = F.row_number().over(Window.partitionBy("file").orderBy("block")) - 1
-    numbered = splits.withColumn("nth", nth).join(files.select("file", "base"), "file").select("file", "block", (F.col("base") + F.col("nth")).alias("split"))
-    joined = records.join(numbered, ["file", "block"])
-    return joined.withColumn("_line", F.shiftleft("split", 33) + F.col("line").bitwiseAND(F.lit((1 << 33) - 1)))

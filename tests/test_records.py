@@ -6,6 +6,7 @@ import random
 
 import pytest
 
+from curdle.operators import materialize
 from curdle.plans.ingest import load_file, read_bronze, read_quarantine
 from curdle.sources import records
 from curdle.sources.csv import judge_rows, read_delimited
@@ -87,3 +88,13 @@ def test_a_quoted_break_loads_as_one_row(spark, scratch):
     assert (row["status"], row["rows_read"], row["rows_skipped"], row["rows_quarantined"]) == ("SUCCESS", 3, 1, 1)
     assert sorted((r.id_rota, r.nome_rota) for r in read_bronze(spark, wh, "rotas").collect()) == [("1", "Rota\num"), ("2", "R2"), ("2", "R2")]
     assert [r.raw_line for r in read_quarantine(spark, wh).collect()] == ['3,"a",b,c,d,e,f']
+
+
+def test_lines_are_written_once_and_meet_their_split_without_moving(spark, scratch, small_splits):
+    with open(f"{scratch}/p.csv", "w") as f:
+        f.write("a,b\n" + "".join(f'{i},"x\n{i}"\n{i},y\n' for i in range(60)))
+    before = len(materialize._STAGED)
+    found = records.logical_records(records.physical_lines(spark, f"{scratch}/p.csv"))
+    assert [os.path.basename(p).rsplit("-", 1)[0] for _, p in materialize._STAGED[before:]] == ["physical-lines", "splits"]
+    assert "hashpartitioning(file" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.record for r in found.collect() if not r.first) == sorted([f'{i},"x\n{i}"' for i in range(60)] + [f"{i},y" for i in range(60)])
