@@ -48,7 +48,7 @@ SKETCH = 64
 #: Sets of a bucket or component that are compared at once; larger ones meet in pairs of blocks of this size.
 SKETCH_BLOCK, VERIFY_BLOCK = 2048, 512
 #: Token positions expanded at once while paths are walked.
-_STEP = 1 << 22
+_STEP = 1 << 18
 
 _ODD = K.mix(np.arange(1, SKETCH + 1, dtype=np.uint64)) | np.uint64(1)
 

@@ -18,7 +18,7 @@ SEPARATOR = np.zeros(256, dtype=bool)
 SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 #: Bytes of text worked on at once; a longer document is a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
 _BYTE_CODE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -4,7 +4,9 @@ import collections
 import os
 import random
 import sys
+import tracemalloc
 
+import numpy as np
 import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
@@ -185,3 +187,18 @@ def test_components_of_paths_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(50, 90)] + [(200, i) for i in range(201, 260)] + [(5, 5)] + [(300, 301), (301, 300)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {5: 5, 300: 300, 301: 300} | {i: 50 for i in range(50, 91)} | {i: 200 for i in range(200, 260)}
+
+
+def test_walking_paths_takes_little_memory_and_finds_the_same(monkeypatch):
+    """Whole slices were expanded at once: some hundred megabytes in every Python worker."""
+    rng = np.random.default_rng(3)
+    size = rng.integers(5, 60, 3000)
+    first, tokens = np.concatenate([[0], np.cumsum(size)]), rng.integers(0, 2**63, int(size.sum()), dtype=np.uint64)
+    tracemalloc.start()
+    got = chosenpath._walk(first, tokens, chosenpath.runs_for(), chosenpath.THRESHOLD)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64e6
+    monkeypatch.setattr(chosenpath, "_STEP", 1 << 22)
+    for a, b in zip(got, chosenpath._walk(first, tokens, chosenpath.runs_for(), chosenpath.THRESHOLD)):
+        assert all((x == y).all() for x, y in zip(a, b))
