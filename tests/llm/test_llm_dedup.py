@@ -15,6 +15,7 @@ import brute  # noqa: E402
 
 from curdle.llm import chosenpath, linededup, suffix  # noqa: E402
 from curdle.llm.components import connected_components  # noqa: E402
+from curdle.operators import materialize  # noqa: E402
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -131,6 +132,38 @@ def test_lines_in_small_blocks(spark, corpus, monkeypatch):
     assert got == {i: want[i] for i, _ in corpus}
 
 
+def test_lines_that_only_share_phrases_neither_chain_nor_take_all_their_tokens_along(spark, monkeypatch):
+    """op10_line_join, pipeline: such chains were verified as one group, which grew faster than the corpus."""
+    rng, seen = random.Random(8), {}
+    phrase = lambda k: " ".join(f"p{k}x{j}" for j in range(5))
+    rows = [(k, f"{phrase(k)} {prose(rng, 40, 50)} {phrase(k + 1)}") for k in range(40)]
+    rows += [(100, rows[7][1] + " more"), (101, rows[7][1])]
+    pairs, stage = linededup.in_block_pairs, linededup.stage
+
+    def watched(members, key, size, block):
+        seen[key] = members.selectExpr(f"max({size})").first()[0]
+        return pairs(members, key, size, block)
+
+    def written(df, name):
+        out, path = stage(df, name)
+        seen[name] = out.selectExpr("sum(size(tokens))").first()[0] if "tokens" in out.columns else None
+        return out, path
+
+    monkeypatch.setattr(linededup, "in_block_pairs", watched)
+    monkeypatch.setattr(linededup, "stage", written)
+    got = {r.doc_id: r.removed for r in linededup.decisions(table(spark, rows)).collect()}
+    assert got == {i: [0] if i >= 100 else [] for i, _ in rows}
+    assert seen["comp"] == 2
+    assert seen["line-sets"] < 2 * len(rows) + 20 < seen["lines"]
+
+
+def test_deduplicate_keeps_only_what_its_result_reads(spark, corpus):
+    before = len(materialize._STAGED)
+    linededup.deduplicate(table(spark, corpus[:40]))
+    left = {os.path.basename(p).rsplit("-", 1)[0] for _, p in materialize._STAGED[before:]}
+    assert "line-removed" in left and not left & {"line-places", "line-decisions", "line-set-places", "line-candidate-places"}
+
+
 def test_few_words_are_few_bytes_of_the_table():
     import numpy as np
     import pyarrow as pa

@@ -153,3 +153,15 @@ def test_shuffle_files_go_with_the_query_that_wrote_them(spark, scratch):
     assert held() <= before
     assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, rows.collect())) == sorted(map(tuple, staged.collect()))
     materialize.discard(spark, path)
+
+
+def test_staging_has_shuffle_files_removed_whoever_calls(spark, scratch):
+    """pipeline: its stages are also called one by one, on a session that nobody has set up."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    spark.conf.set(key, "false")
+    try:
+        _, path = materialize.stage(spark.range(3), "any")
+        materialize.discard(spark, path)
+        assert spark.conf.get(key) == "true"
+    finally:
+        apply_runtime_tuning(spark)
