@@ -12,11 +12,12 @@ from curdle.functions.dates import normalize_date
 from curdle.functions.text import numeric_like
 from curdle.operators.ordering import with_row_number
 from curdle.plans.bronze import fixture_bronze, fixture_flags
-from curdle.plans.ingest import load_file, load_rows, read_bronze, read_log, schema_history
+from curdle.plans.ingest import BRONZE, KEYS, load_file, load_rows, read_bronze, read_log, schema_history
 from curdle.session import scratch_path
 from curdle.sources.csv import CORRUPT, judge_rows
 from curdle.sources.fixtures import FIXTURE_FILES
 from curdle.sources.manifest import BRONZE_TABLES, COLLECTION_LAYOUTS, COLLECTION_NUMERIC_LIKE, COLLECTION_WIDE_COLUMNS, MANIFEST, spec_for_file
+from curdle.sources.store import Store
 from curdle.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,13 +114,17 @@ def b07_ingestion_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every file of every run through the load path, in order, and the log that this leaves; times are left out (not deterministic)."""
     warehouse = scratch_path(spark, f"curdle/b07-{uuid.uuid4().hex}")
     raw = {spec.file: FIXTURE_FILES[spec.file](spark, sf_dir) for spec in MANIFEST}
-    runs = sorted({r[0] for found in raw.values() for r in found.select("_batch").distinct().collect()})
-    for run in runs:
-        for file, rows in raw.items():
-            rows = rows.where(F.col("_batch") == run).drop("_batch")
-            if not rows.isEmpty():  # a run need not bring every file
-                _load(spark, _in_file_headers(rows, file), file, warehouse, run)
-    return with_row_number(read_log(spark, warehouse), [F.col("ingested_at")]).drop("duration_ms", "ingested_at")
+    brings = {(r[0], file) for file, found in raw.items() for r in found.select("_batch").distinct().collect()}  # a run need not bring every file
+    loads = [(run, spec) for run in sorted({run for run, _ in brings}) for spec in MANIFEST if (run, spec.file) in brings]
+    store = Store(spark, warehouse)
+    for i, (run, spec) in enumerate(loads, 1):
+        _load(spark, _in_file_headers(raw[spec.file].where(F.col("_batch") == run).drop("_batch"), spec.file), spec.file, warehouse, run)
+        if all(later.table != spec.table for _, later in loads[i:]):  # no load compares itself with its rows any more, and the log alone is read
+            store.drop(BRONZE, spec.table)
+            store.drop(KEYS, spec.table)
+    log = with_row_number(read_log(spark, warehouse), [F.col("ingested_at")])  # writes it anew
+    store.remove([BRONZE, KEYS])
+    return log.drop("duration_ms", "ingested_at")
 
 
 def b08_schema_evolution_union(spark: SparkSession, sf_dir: str) -> DataFrame:

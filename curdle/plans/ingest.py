@@ -1,10 +1,10 @@
 """Raw files → bronze tables, one manifest entry at a time.
 
 Per file: scan (all text) → judge malformed rows → normalise → hash and stamp →
-stage to the shared checkpoint folder → flag against the hashes of earlier loads →
-write the load's rows, its hashes and its unloadable rows to folders of their own →
-switch the catalog to them in one commit → append one log row. The file is parsed once;
-every count is observed while rows are written.
+write the rows to a folder of their own → flag against the hashes of earlier loads →
+write the load's hashes and its unloadable rows to folders of their own, and its rows once
+more where any are flagged or unloadable → switch the catalog to them in one commit →
+append one log row. The file is parsed once; every count is observed while rows are written.
 
 Loads are ordered by (run, place in the manifest). A row is a duplicate iff an
 earlier load, or an earlier row of its own load, has its content; when a load stood
@@ -35,7 +35,7 @@ from curdle.sources import files
 from curdle.sources.catalog import table_path
 from curdle.sources.csv import judge_rows, read_delimited
 from curdle.sources.manifest import SourceSpec
-from curdle.sources.store import COMPACTED, FILE, RUN, Change, Column, Store
+from curdle.sources.store import CODEC, COMPACTED, FILE, RUN, Change, Column, Store
 
 log = logging.getLogger(__name__)
 
@@ -157,21 +157,30 @@ class _Attempt:
         table, counts = self.spec.table, {"n": 0, "dup": 0, "bad": 0}
         if len([c for c in judged.columns if not c.startswith("_")]):
             stamped = stamp(normalize_rows(judged, self.spec), self.spec, F.lit(ingested_at).cast("timestamp"), F.lit(self.load[0]), ["_quarantined"])
-            seen = Observation()
-            staged, path = stage(stamped.observe(seen, F.count_if(F.col("_quarantined").isNull()).alias("n"), F.count("_quarantined").alias("bad")), f"stage-{table}-{self.load[0]}")
-            self._staged.append(path)
-            counts |= {"n": seen.get["n"], "bad": seen.get["bad"]}
+            counts |= self._write_first(stamped)
+            staged = self.spark.read.schema(self._schema).parquet(self._first)
         if counts["bad"]:
             self._quarantine(staged.where(F.col("_quarantined").isNotNull()))
         elif self._has(BRONZE, QUARANTINE_TABLE):
             self.changes.append(Change(BRONZE, QUARANTINE_TABLE, None, self.load))
         if counts["n"]:
-            counts["dup"] = self._rows(staged.where(F.col("_quarantined").isNull()).drop("_quarantined"), counts["n"])
+            counts["dup"] = self._rows(staged.where(F.col("_quarantined").isNull()).drop("_quarantined", DUP), counts["n"], not counts["bad"])
         elif self._has(BRONZE, table):
             self.changes += [Change(BRONZE, table, None, self.load), Change(KEYS, table, None, self.load)]
             self._reflag(self.spark.createDataFrame([], f"{HASH} string, _row_id bigint"))
         return counts
 
+    def _write_first(self, stamped: DataFrame) -> dict:
+        """Write the stamped rows, none of them flagged, where they stay unless some are flagged or unloadable; returns how many load and how many do not."""
+        table, seen = self.spec.table, Observation()
+        known = {c.name.lower(): c.name for c in self.store.columns(BRONZE, table)} if self.store.exists(BRONZE, table) else {}
+        rows = stamped.select(*[F.col(f"`{c}`").alias(known.get(c.lower(), c)) for c in stamped.columns if c not in (RUN, FILE)]).withColumn(DUP, F.lit(False))
+        self._first, self._schema = self.store.new_folder(BRONZE, table), rows.schema
+        self._staged.append(self._first)
+        observed = rows.observe(seen, F.count_if(F.col("_quarantined").isNull()).alias("n"), F.count("_quarantined").alias("bad"))
+        observed.write.option("compression", CODEC).parquet(self._first)
+        return {"n": seen.get["n"], "bad": seen.get["bad"]}
+
     def _has(self, layer: str, table: str) -> bool:
         return self.store.exists(layer, table) and self.load in self.store.loads(layer, table)
 
@@ -187,11 +196,11 @@ class _Attempt:
         if new := [c for c in own if c.name.lower() not in known]:
             self.store.add_columns(BRONZE, table, new)
 
-    def _rows(self, good: DataFrame, n: int) -> int:
+    def _rows(self, good: DataFrame, n: int, all_good: bool) -> int:
         """Write flagged rows and hashes; returns how many of the ``n`` rows are duplicates.
 
         Only places of duplicates are looked for, in narrow rows: the rows themselves meet them where there are any,
-        by broadcast while they are few.
+        by broadcast while they are few. Rows that are ``all_good`` and hold none stay as they were first written.
         """
         table = self.spec.table
         self._define(good)
@@ -207,10 +216,12 @@ class _Attempt:
         if n_new < n:
             again, path = stage(repeats(good, new, ["_row_id"]), f"repeats-{table}")
             self._staged.append(path)
-            marked = mark_repeats(good, again, ["_row_id"])
+            place, flagged = self._write_rows(mark_repeats(good, again, ["_row_id"]))
+        elif all_good:
+            place, flagged = self._first, 0
+            self._staged.remove(place)
         else:
-            marked = good.withColumn(DUP, F.lit(False))
-        place, flagged = self._write_rows(marked)
+            place, flagged = self._write_rows(good.withColumn(DUP, F.lit(False)))
         self.changes += [Change(BRONZE, table, place, self.load), Change(KEYS, table, keys, self.load)]
         self._reflag(own)
         return flagged
@@ -220,7 +231,7 @@ class _Attempt:
         have = {c.lower() for c in rows.columns}
         columns = [c.name for c in self.store.columns(BRONZE, self.spec.table) if c.name.lower() in have]
         place, seen = self.store.new_folder(BRONZE, self.spec.table), Observation()
-        rows.select(*[F.col(f"`{c}`").alias(c) for c in columns]).observe(seen, F.count_if(DUP).alias("dup")).write.parquet(place)
+        rows.select(*[F.col(f"`{c}`").alias(c) for c in columns]).observe(seen, F.count_if(DUP).alias("dup")).write.option("compression", CODEC).parquet(place)
         return place, seen.get["dup"]
 
     def _stored(self, where) -> DataFrame:

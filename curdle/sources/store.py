@@ -39,6 +39,8 @@ BUCKET = "_bucket"
 PARTS = {"": (), "load": ((RUN, "bigint"), (FILE, "string")), "bucket": ((BUCKET, "int"),)}
 Part = tuple[int, str] | tuple[int]
 JOURNAL = "_journal"
+#: Codec of rows and hashes that stay: hashes are hex text, of which this codec stores half the bytes.
+CODEC = "zstd"
 COMPACTED = "compacted"
 
 
@@ -203,14 +205,28 @@ class Store:
         return self.read(layer, table)
 
     def write_bucketed(self, df: DataFrame, columns: Sequence[Column], key: str, buckets: int, layer: str, table: str) -> tuple[str, str]:
-        """Write ``df`` in ``buckets`` files by ``key``; returns the folder and a table over it, to be dropped by ``forget``."""
+        """Write ``df``, which is grouped by ``key``, in ``buckets`` files by it; returns the folder and a table over it, to be dropped by ``forget``."""
         place, name = self.new_folder(layer, table, "keys"), f"{self.database(layer)}.`_new_{uuid.uuid4().hex}`"
         self.spark.sql(
-            f"CREATE TABLE {name} ({_ddl(columns)}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{sql_str(place)}'"
+            f"CREATE TABLE {name} ({_ddl(columns)}) USING parquet OPTIONS (compression '{CODEC}') CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{sql_str(place)}'"
         )
-        df.select(*[c.name for c in columns]).repartition(buckets, key).write.insertInto(name)
+        rows = df.select(*[c.name for c in columns])
+        if int(self.spark.conf.get("spark.sql.shuffle.partitions")) != buckets:  # else the grouping has dealt them out as the buckets ask
+            rows = rows.repartition(buckets, key)
+        rows.write.insertInto(name)
         return place, name
 
+    def drop(self, layer: str, table: str) -> None:
+        """Remove a table and all its folders, for a warehouse that goes; the journal still names them."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}")
+        files.delete(self.spark, table_path(self.warehouse, layer, table))
+
+    def remove(self, layers: Sequence[str]) -> None:
+        """Remove the whole warehouse, and the databases of its layers from the catalog."""
+        for layer in layers:
+            self.spark.sql(f"DROP DATABASE IF EXISTS {self.database(layer)} CASCADE")
+        files.delete(self.spark, self.warehouse)
+
     def forget(self, name: str) -> None:
         """Drop a name; the files stay (the table has a location of its own)."""
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
